@@ -43,11 +43,8 @@ def _apply(firm: DataFrame, changes: DataFrame, columns: dict[str, Column]) -> D
     """Replace columns in the firms a change exists for; ``changes`` has one row per firm."""
     change = changes.select("firm_id", F.struct(
         *[c.alias(name) for name, c in columns.items()]).alias("_c"))
-    joined = firm.join(change, "firm_id", "left")
-    hit = F.col("_c").isNotNull()
-    return joined.select([
-        F.when(hit, F.col(f"_c.{c}")).otherwise(F.col(c)).alias(c) if c in columns
-        else F.col(c) for c in firm.columns])
+    return firm.join(change, "firm_id", "left").selectExpr(*[
+        f"IF(_c IS NULL, {c}, _c.{c}) AS {c}" if c in columns else c for c in firm.columns])
 
 
 def _payload() -> dict[str, Column]:
@@ -55,11 +52,12 @@ def _payload() -> dict[str, Column]:
 
 
 def update_matched(firm: DataFrame, oa: DataFrame, run_ts: Column, key_mode: str = "multi",
-                   resolved: DataFrame | None = None) -> DataFrame:
+                   resolved: DataFrame | None = None, hot: dict | None = None) -> DataFrame:
     """Phase 1: matched firms take the master's values next to their own old ones."""
     firm = add_tracking_columns(firm)
     variant = "v2" if key_mode == "multi" else "v1"
-    hot = firm_hot_keys(firm)
+    if hot is None:
+        hot = firm_hot_keys(firm)
     if resolved is None:
         resolved = resolve_matches(firm, oa, key_mode, variant, hot=hot)
     m = with_master(firm, oa, resolved, key_mode, hot=hot)
@@ -195,19 +193,12 @@ def allocate_ids(rows: DataFrame, key: str, start: Column, bits: int = 20) -> Da
             .withColumn("new_id", start + F.col("_o") + F.col("_l")).drop("_b", "_l", "_o"))
 
 
-def insert_new(firm: DataFrame, oa: DataFrame, run_ts: Column, status: str = v.NEW_FROM_OA,
-               key_mode: str = "multi", known: DataFrame | None = None) -> DataFrame:
-    """Phase 3: append the master rows no firm matches, under fresh consecutive ids.
-
-    ``known`` is the table to look for matches in and to number after (default: ``firm``). Passing
-    the table as it was before a strict deletion gives the same rows without depending on it.
-    """
-    known = firm if known is None else known
-    firm = add_tracking_columns(firm)
-    highest = known.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
-    numbered = allocate_ids(new_rows(oa, known, key_mode), "firm_id", highest)
+def new_firm_columns(run_ts: Column, status: str = v.NEW_FROM_OA,
+                     key_mode: str = "multi") -> list[Column]:
+    """Columns of a firm made from a master row that was given a ``new_id``."""
     new_id = canonical_payer_id() if key_mode == "multi" else F.col("payer_id")
     via = payer_source("via") if key_mode == "multi" else F.lit(None).cast("string")
+    # fixed values: audit texts
     if status == v.RELOADED_FROM_OA:
         details = F.lit("Reloaded from OA after cleanup")
     elif key_mode == "multi":
@@ -215,12 +206,25 @@ def insert_new(firm: DataFrame, oa: DataFrame, run_ts: Column, status: str = v.N
                            payer_source("primary"))
     else:
         details = F.lit("New record inserted from insurance_firm_oa")
-    added = numbered.select(
-        F.col("new_id").cast("bigint").alias("firm_id"), new_id.alias("payer_id"), "name",
-        *v.PAYLOAD_COLS, new_id.alias("payer_id_new"), F.col("name").alias("name_new"),
+    return [
+        F.col("new_id").cast("bigint").alias("firm_id"), new_id.alias("payer_id"), F.col("name"),
+        *map(F.col, v.PAYLOAD_COLS), new_id.alias("payer_id_new"), F.col("name").alias("name_new"),
         F.lit(status).alias("sync_status"), details.alias("sync_details"),
-        run_ts.alias("last_synced_at"), via.alias("matched_via"))
-    return firm.unionByName(added)
+        run_ts.alias("last_synced_at"), via.alias("matched_via")]
+
+
+def insert_new(firm: DataFrame, oa: DataFrame, run_ts: Column, status: str = v.NEW_FROM_OA,
+               key_mode: str = "multi", known: DataFrame | None = None) -> DataFrame:
+    """Phase 3: append the master rows no firm matches, under fresh consecutive ids.
+
+    ``known`` is the table to look for matches in and to number after (default: ``firm``). Passing
+    the table as it was before a strict deletion gives the same rows without depending on it.
+    """
+    known = firm if known is None else known
+    highest = known.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
+    numbered = allocate_ids(new_rows(oa, known, key_mode), "firm_id", highest)
+    return add_tracking_columns(firm).unionByName(
+        numbered.select(*new_firm_columns(run_ts, status, key_mode)))
 
 
 # ---------------------------------------------------------------- usage-based cleanup

@@ -37,9 +37,11 @@ def synced(tables: Tables, run_ts: Column, option: str = "A", mode: str = "stric
     master rows are new, so those are looked for in the table as it came in.
     """
     firm, oa, pat = tables.firm, tables.oa, tables.patients
+    hot = firm_hot_keys(firm)
     if profile is None:
-        profile = match_profile(firm, oa, hot=firm_hot_keys(firm))
-    updated = update_matched(firm, oa, run_ts, resolved=resolve_matches(firm, oa, profile=profile))
+        profile = match_profile(firm, oa, hot=hot)
+    resolved = resolve_matches(firm, oa, profile=profile)
+    updated = update_matched(firm, oa, run_ts, resolved=resolved, hot=hot)
     garbage = _garbage(profile, mode)
     if option == "B":
         kept, pat = delete_garbage(updated, oa, pat, "B", mode, garbage)

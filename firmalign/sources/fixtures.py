@@ -23,75 +23,53 @@ def _read(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{table}.parquet")
 
 
-def _payload_nulls():
-    return [F.lit(None).cast("string").alias(c) for c in v.PAYLOAD_COLS]
-
-
 def insurance_firm(spark: SparkSession, path: str) -> DataFrame:
-    k, c_name = F.col("c_custkey").cast("bigint"), F.col("c_name")
-    digit = k % 10
-
-    def coded(prefix, number=k):
-        return F.concat(F.lit(prefix), number.cast("string"))
-
-    payer = (
-        F.when(k % 50 == 12, coded("FAC", k - 2))
-        .when(digit.isin(0, 1, 2, 8), coded("FAC"))
-        .when(digit.isin(3, 4), coded("PRO"))
-        .when(digit == 5, coded("ELG"))
-        .when(digit == 6, coded("OLD"))
-        .when(digit == 9, coded("GARB"))
-    )
-    name = (
-        F.when(k % 97 == 0, F.lit(None))
-        .when(digit == 8, F.concat(c_name, F.lit(" Inc")))
-        .when(digit == 9, coded("TEST "))
-        .when(k % 23 == 0, F.concat(F.lit(" "), c_name, F.lit("  x ")))
-        .when(k % 2 == 0, F.upper(c_name))
-        .otherwise(c_name)
-    )
-    return _read(spark, path, "customer").select(
-        k.alias("firm_id"), payer.alias("payer_id"), name.alias("name"), *_payload_nulls())
+    return _read(spark, path, "customer").selectExpr(
+        "CAST(c_custkey AS BIGINT) AS k", "c_name", "CAST(c_custkey % 10 AS INT) AS digit",
+    ).selectExpr(
+        "k AS firm_id",
+        """CASE WHEN k % 50 = 12 THEN concat('FAC', k - 2)
+                WHEN digit IN (0, 1, 2, 8) THEN concat('FAC', k)
+                WHEN digit IN (3, 4) THEN concat('PRO', k)
+                WHEN digit = 5 THEN concat('ELG', k)
+                WHEN digit = 6 THEN concat('OLD', k)
+                WHEN digit = 9 THEN concat('GARB', k) END AS payer_id""",
+        """CASE WHEN k % 97 = 0 THEN NULL
+                WHEN digit = 8 THEN concat(c_name, ' Inc')
+                WHEN digit = 9 THEN concat('TEST ', k)
+                WHEN k % 23 = 0 THEN concat(' ', c_name, '  x ')
+                WHEN k % 2 = 0 THEN upper(c_name)
+                ELSE c_name END AS name""",
+        *[f"CAST(NULL AS STRING) AS {c}" for c in v.PAYLOAD_COLS])
 
 
 def insurance_firm_with_sub_ids(spark: SparkSession, path: str) -> DataFrame:
     """Firms whose unmatched rows already store sub-payer ids of an earlier life."""
-    k = F.col("firm_id")
-    lost = k % 10 == 9
-
-    def stored(prefix, back):
-        return F.when(lost, F.concat(F.lit(prefix), (k - back).cast("string")))
-
     return insurance_firm(spark, path).withColumns({
-        "payer_id_fac": stored("FAC", 1), "payer_id_pro": stored("PRO", 2)})
+        "payer_id_fac": F.expr("IF(firm_id % 10 = 9, concat('FAC', firm_id - 1), NULL)"),
+        "payer_id_pro": F.expr("IF(firm_id % 10 = 9, concat('PRO', firm_id - 2), NULL)")})
 
 
 def insurance_firm_oa(spark: SparkSession, path: str, key_mode: str = "multi") -> DataFrame:
     # Most customers give one master row, some a second one that fans their matches out.
     customer = _read(spark, path, "customer").selectExpr(
-        "CAST(c_custkey AS BIGINT) AS k", "c_name").select("k", F.expr("""
+        "CAST(c_custkey AS BIGINT) AS k", "c_name").selectExpr("k", """
             inline(filter(array(
                 struct(k AS firm_id, c_name AS name, k % 10 <> 9 AS kept),
                 struct(2000000 + k AS firm_id, IF(k % 80 = 1, c_name, concat(c_name, ' DUP')) AS name,
-                       k % 40 = 1 AS kept)), r -> r.kept))""")).drop("kept")
+                       k % 40 = 1 AS kept)), r -> r.kept))""").drop("kept")
     supplier = _read(spark, path, "supplier").selectExpr(
-        "1000000 + CAST(s_suppkey AS BIGINT) AS k", "s_name AS name").withColumn(
-        "firm_id", F.col("k"))
-    rows = customer.unionByName(supplier)
-    k = F.col("k")
-
-    def unless(gap, prefix):
-        return F.when(~(gap | (k % 50 == 6)), F.concat(F.lit(prefix), k.cast("string")))
-
-    def yes_no(modulus):
-        return F.when(k % modulus == 0, "Yes").otherwise("No")
-
-    ids = {"payer_id_fac": unless(k % 7 == 3, "FAC"), "payer_id_pro": unless(k % 11 == 5, "PRO"),
-           "payer_id_elig": unless(k % 13 == 4, "ELG")}
-    flags = {c: yes_no(i) for i, c in enumerate(v.FLAG_COLS + v.ENROLLMENT_COLS, 2)}
-    out = rows.withColumns(ids).withColumns(flags)
-    payer = F.coalesce(*v.ID_COLS) if key_mode == "single" else F.lit(None).cast("string")
-    return out.withColumn("payer_id", payer).select(*v.MASTER_COLS)
+        "1000000 + CAST(s_suppkey AS BIGINT) AS k", "s_name").selectExpr(
+        "k", "k AS firm_id", "s_name AS name")
+    ids = [f"IF({gap} OR k % 50 = 6, NULL, concat('{prefix}', k)) AS {c}" for c, prefix, gap in (
+        ("payer_id_fac", "FAC", "k % 7 = 3"), ("payer_id_pro", "PRO", "k % 11 = 5"),
+        ("payer_id_elig", "ELG", "k % 13 = 4"))]
+    flags = [f"IF(k % {i} = 0, 'Yes', 'No') AS {c}"
+             for i, c in enumerate(v.FLAG_COLS + v.ENROLLMENT_COLS, 2)]
+    payer = "coalesce(payer_id_fac, payer_id_pro, payer_id_elig)"
+    payer = payer if key_mode == "single" else "CAST(NULL AS STRING)"
+    return customer.unionByName(supplier).selectExpr("firm_id", "name", *ids, *flags).selectExpr(
+        "firm_id", f"{payer} AS payer_id", "name", *v.PAYLOAD_COLS)
 
 
 def patient_insurance(spark: SparkSession, path: str) -> DataFrame:
