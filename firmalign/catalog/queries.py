@@ -14,6 +14,7 @@ from ..operators import (
 from ..plans.sync import Tables, synced
 from ..plans.usage_cleanup import cleaned
 from ..sources import fixtures as fx
+from ..sources.versions import cut_lineage
 
 
 class Data:
@@ -74,6 +75,19 @@ class Data:
         """After a sync that deletes all garbage in reference mode and so orphans patients."""
         return synced(self.tables, self.ts, "C", "reference")[0]
 
+    @cached_property
+    def stored(self):
+        """The synced table as later steps find it: written, so that they do not sync again."""
+        return cut_lineage(self.synced, "synced")
+
+    @cached_property
+    def stored_shaken(self):
+        return cut_lineage(self.shaken, "shaken")
+
+    @cached_property
+    def stored_v1(self):
+        return cut_lineage(mu.update_matched(self.firm, self.oa1, self.ts, "single"), "updated-v1")
+
     @cached_property
     def annotated(self):
         return mu.annotate_matches(self.firm_ids, self.oa1, self.ts)
@@ -341,11 +355,10 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "delete_unused": lambda d: mu.delete_unused(d.firm, d.pat, d.claims),
     "delete_unused__safe": lambda d: mu.delete_unused(d.firm, d.pat, d.claims, "safe"),
     "delete_unused__count": lambda d: mu.delete_unused_count(d.firm, d.pat, d.claims),
-    "late_sync": lambda d: mu.late_sync(d.synced, d.oa, d.ts),
-    "late_sync__all": lambda d: mu.late_sync(d.synced, d.oa, d.ts, only_missing=False),
-    "late_sync__v1": lambda d: mu.late_sync(
-        mu.update_matched(d.firm, d.oa1, d.ts, "single"), d.oa1, d.ts, True, "single"),
-    "fix_orphans": lambda d: mu.fix_orphans(d.pat, d.shaken, d.firm),
+    "late_sync": lambda d: mu.late_sync(d.stored, d.oa, d.ts),
+    "late_sync__all": lambda d: mu.late_sync(d.stored, d.oa, d.ts, only_missing=False),
+    "late_sync__v1": lambda d: mu.late_sync(d.stored_v1, d.oa1, d.ts, True, "single"),
+    "fix_orphans": lambda d: mu.fix_orphans(d.pat, d.stored_shaken, d.firm),
     "fix_orphans__null": lambda d: mu.fix_orphans(d.pat, d.shaken, mode="null"),
     "fix_orphans__delete": lambda d: mu.fix_orphans(d.pat, d.shaken, mode="delete"),
     "migrate": lambda d: mu.migrate(d.synced, d.ts),

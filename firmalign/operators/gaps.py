@@ -68,12 +68,17 @@ def remaining_garbage(firm, oa, mode="reference") -> DataFrame:
 
 
 # ---------------------------------------------------------------- new master rows
-def new_rows(oa: DataFrame, firm: DataFrame, key_mode: str = "multi") -> DataFrame:
-    """Master rows no firm matches, with all their columns."""
+def new_ids(oa: DataFrame, firm: DataFrame, key_mode: str = "multi") -> DataFrame:
+    """Ids of the master rows no firm matches."""
     known = firm_keys(firm, "in").select("key").distinct()
     hits = lookup(master_keys(oa, key_mode, "in"), known, "key", "oa_id", how="left_semi")
-    return oa.join(hits.select(F.col("oa_id").alias("firm_id")).distinct(), "firm_id",
-                   "left_anti")
+    return oa.select("firm_id").join(hits.select(F.col("oa_id").alias("firm_id")).distinct(),
+                                     "firm_id", "left_anti")
+
+
+def new_rows(oa: DataFrame, firm: DataFrame, key_mode: str = "multi") -> DataFrame:
+    """Master rows no firm matches, with all their columns."""
+    return oa.join(new_ids(oa, firm, key_mode), "firm_id", "left_semi")
 
 
 def new_from_oa(oa, firm, key_mode="multi") -> DataFrame:
@@ -85,7 +90,7 @@ def new_from_oa(oa, firm, key_mode="multi") -> DataFrame:
 
 def new_from_oa_count(oa, firm, key_mode="multi") -> DataFrame:
     total = row_count(oa)
-    n = new_rows(oa, firm, key_mode).agg(F.count(F.lit(1)).alias("predicted_insert_count"))
+    n = new_ids(oa, firm, key_mode).agg(F.count(F.lit(1)).alias("predicted_insert_count"))
     return n.withColumn("percentage_of_oa", percent("predicted_insert_count", total))
 
 
@@ -203,7 +208,7 @@ def deletion_decision(firm, oa, pat, mode="reference") -> DataFrame:
 def prediction_summary(firm, oa, mode="reference") -> DataFrame:
     """Expected effect of a sync on the number of firms."""
     gone = garbage_count(firm, oa, mode).select(F.col("garbage_count").alias("predicted_deletions"))
-    added = new_rows(oa, firm).agg(F.count(F.lit(1))).scalar()
+    added = new_ids(oa, firm).agg(F.count(F.lit(1))).scalar()
     return (gone.withColumn("current_firm_count", row_count(firm))
             .withColumn("oa_count", row_count(oa))
             .withColumn("predicted_insertions", added)

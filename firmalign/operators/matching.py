@@ -113,8 +113,8 @@ def master_index(oa: DataFrame, key_mode: str = "multi") -> DataFrame:
 
 
 # ---------------------------------------------------------------- profile
-def firm_hot_keys(firm: DataFrame) -> dict:
-    return hot_keys(firm_keys(firm), "key")
+def firm_hot_keys(firm: DataFrame, alt_name: str | None = None) -> dict:
+    return hot_keys(firm_keys(firm, alt_name=alt_name), "key")
 
 
 def match_profile(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
@@ -258,8 +258,8 @@ def resolve_matches(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
             add(v.PAYER_ID_ONLY, via, "i", F.col(f"best_i_{via}"))
         add(v.NAME_ONLY, "name", "n", F.col("best_name"))
         add(v.NAME_ONLY, None, "w", F.col("best_alt"))
-    return (profile.select("firm_id", "payer_id", "name", F.coalesce(*picks).alias("m"))
-            .where(F.col("m").isNotNull()).select("firm_id", "payer_id", "name", "m.*"))
+    return (profile.select("firm_id", "payer_id", "name", "void", F.coalesce(*picks).alias("m"))
+            .where(F.col("m").isNotNull()).select("firm_id", "payer_id", "name", "void", "m.*"))
 
 
 def with_master(firm: DataFrame, oa: DataFrame, resolved: DataFrame, key_mode: str = "multi",

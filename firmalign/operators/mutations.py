@@ -8,7 +8,7 @@ from ..functions import vocabulary as v
 from ..functions.expressions import (
     any_null, canonical_payer_id, invalid_payer_predicate, payer_source, quoted, sync_details,
     values_differ)
-from .gaps import FK, fact_counts, garbage_firms, new_rows, used_ids
+from .gaps import FK, fact_counts, garbage_firms, new_ids, used_ids
 from .matching import (
     firm_hot_keys, match_profile, resolve_matches, unmatched_firms, unmatched_outcome, with_master)
 from .names import correct_id_by_name, sub_payer_match
@@ -52,8 +52,13 @@ def _payload() -> dict[str, Column]:
 
 
 def update_matched(firm: DataFrame, oa: DataFrame, run_ts: Column, key_mode: str = "multi",
-                   resolved: DataFrame | None = None, hot: dict | None = None) -> DataFrame:
-    """Phase 1: matched firms take the master's values next to their own old ones."""
+                   resolved: DataFrame | None = None, hot: dict | None = None,
+                   mark: Column | None = None) -> DataFrame:
+    """Phase 1: matched firms take the master's values next to their own old ones.
+
+    ``mark`` is an expression over the resolved match, kept as column ``_mark`` (NULL where
+    nothing matched), for a later phase to go by without matching again.
+    """
     firm = add_tracking_columns(firm)
     variant = "v2" if key_mode == "multi" else "v1"
     if hot is None:
@@ -71,6 +76,8 @@ def update_matched(firm: DataFrame, oa: DataFrame, run_ts: Column, key_mode: str
     }
     if key_mode == "multi":
         columns["matched_via"] = F.col("matched_via")
+    if mark is not None:
+        firm, columns["_mark"] = firm.withColumn("_mark", F.lit(None).cast("boolean")), mark
     return _apply(firm, m, columns)
 
 
@@ -222,7 +229,8 @@ def insert_new(firm: DataFrame, oa: DataFrame, run_ts: Column, status: str = v.N
     """
     known = firm if known is None else known
     highest = known.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
-    numbered = allocate_ids(new_rows(oa, known, key_mode), "firm_id", highest)
+    # Number the bare ids first; the wide rows move only once, to meet their number.
+    numbered = oa.join(allocate_ids(new_ids(oa, known, key_mode), "firm_id", highest), "firm_id")
     return add_tracking_columns(firm).unionByName(
         numbered.select(*new_firm_columns(run_ts, status, key_mode)))
 
@@ -276,12 +284,15 @@ def late_sync(firm, oa, run_ts: Column, only_missing: bool = True,
     if key_mode == "single":
         as_new = todo.select("firm_id", F.col("payer_id_new").alias("payer_id"),
                              F.col("name_new").alias("name"))
-        m = with_master(as_new, oa, resolve_matches(as_new, oa, "single", "v1"), "single")
+        hot = firm_hot_keys(as_new)
+        m = with_master(as_new, oa, resolve_matches(as_new, oa, "single", "v1", hot=hot),
+                        "single", hot=hot)
         return _apply(firm, m, {**_payload(), "sync_status": F.lit(v.SYNCED_LATE),
                                 "sync_details": F.lit("Synced in cleanup phase"),
                                 "last_synced_at": run_ts})
-    profile = match_profile(todo, oa, alt_name="name_new")
-    m = with_master(todo, oa, resolve_matches(todo, oa, profile=profile))
+    hot = firm_hot_keys(todo, "name_new")
+    profile = match_profile(todo, oa, alt_name="name_new", hot=hot)
+    m = with_master(todo, oa, resolve_matches(todo, oa, profile=profile), hot=hot)
     return _apply(firm, m, {
         "payer_id_new": canonical_payer_id(OA_IDS), "name_new": F.col("oa_name"), **_payload(),
         "sync_status": F.lit(v.SYNCED_LATE),
@@ -436,7 +447,7 @@ def mutation_counts(firm, oa, pat, option: str = "A", mode: str = "strict") -> D
     updated = resolve_matches(firm, oa).agg(F.count(F.lit(1))).scalar()
     kept = delete_garbage(firm, oa, pat, option, mode, garbage)
     kept = kept[0] if option == "B" else kept
-    inserted = new_rows(oa, firm if mode == "strict" else kept).agg(F.count(F.lit(1))).scalar()
+    inserted = new_ids(oa, firm if mode == "strict" else kept).agg(F.count(F.lit(1))).scalar()
     total = firm.agg(F.count(F.lit(1))).scalar()
     return kept.agg(F.count(F.lit(1)).alias("k")).select(
         updated.alias("records_updated"), (total - F.col("k")).alias("records_deleted"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import vocabulary as v
 from ..functions.expressions import name_length_compare, quoted, space_count, whitespace_issue
+from ..sources.versions import cut_lineage
 from .skew import grid_join, lookup
 
 
@@ -93,32 +94,40 @@ def _distinct_names(df: DataFrame, side: str) -> DataFrame:
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """All pairs of distinct names with similarity above ``threshold``, each once.
 
-    Set-similarity join with prefix filtering: of two sets of sizes a and b that agree above t,
-    one of the ``a - ceil(t*a) + 1`` rarest members of the first is among the rarest of the
-    second. Joining on those, rarest first, leaves common grams out.
+    Set-similarity join with prefix filtering. Two sets that agree above t share more than t times
+    the size of either. Sorted rarest member first, the first ``size - shared + 2`` members of
+    both then have two members in common, so joining on pairs of such members misses nothing and
+    leaves common grams out. (Below one half, one common member is all that is certain.)
     """
+    together = 2 if threshold >= 0.5 else 1
     sets = left.select("name").unionByName(right.select("name")).distinct().select(
         "name", trigrams(F.col("name")).alias("grams")).where(F.size("grams") > 0)
-    freq = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("df"))
-    exploded = sets.select("name", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-    ranked = lookup(exploded, freq, "gram", "name", how="inner").select(
-        "name", "gram", "size", F.row_number().over(
-            Window.partitionBy("name").orderBy("df", "gram")).alias("pos"))
-    keep = F.col("size") - F.ceil(F.lit(threshold) * F.col("size")) + 1
-    prefix = ranked.where(F.col("pos") <= keep)
+    exploded = sets.select("name", F.explode("grams").alias("gram"))
+    freq = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # A name has few grams: the list per name is bounded by the length of the name.
+    ranked = lookup(exploded, freq, "gram", "name", how="inner").groupBy("name").agg(
+        F.expr("transform(array_sort(collect_list(struct(df, gram))), x -> x.gram)").alias("g"))
+    shared = f"floor({threshold} * size(g) - 1e-9) + 1"
+    prefix = ranked.withColumn("p", F.expr(f"slice(g, 1, int(size(g) - ({shared}) + {together}))"))
+    if together == 2:
+        keys = ("flatten(transform(p, (x, i) -> transform(slice(p, i + 2, size(p)), "
+                "y -> concat(x, y))))")
+    else:
+        keys = "p"
+    prefix = prefix.selectExpr("name", "size(g) AS size", f"explode({keys}) AS key")
+    prefix = cut_lineage(prefix, "name-prefixes")   # read for both sides and their hot keys
 
     def side(df, tag):
         return prefix.join(df.select("name"), "name", "left_semi").select(
-            "gram", F.col("name").alias(f"{tag}_name"), F.col("size").alias(f"{tag}_size"))
+            "key", F.col("name").alias(f"{tag}_name"), F.col("size").alias(f"{tag}_size"))
 
-    pairs = grid_join(side(left, "firm"), side(right, "oa"), "gram", "firm_name", "oa_name")
+    pairs = grid_join(side(left, "firm"), side(right, "oa"), "key", "firm_name", "oa_name")
     fits = ((F.col("firm_size") > threshold * F.col("oa_size"))
             & (F.col("oa_size") > threshold * F.col("firm_size")))
     pairs = pairs.where(fits).select("firm_name", "oa_name").distinct()
     a, b = trigrams(F.col("firm_name")), trigrams(F.col("oa_name"))
-    shared = F.size(F.array_intersect(a, b)).cast("double")
-    score = shared / (F.size(a) + F.size(b) - shared)
+    both = F.size(F.array_intersect(a, b)).cast("double")
+    score = both / (F.size(a) + F.size(b) - both)
     return pairs.withColumn("name_similarity", score).where(F.col("name_similarity") > threshold)
 
 
@@ -138,8 +147,10 @@ def fuzzy_name_matches(firm: DataFrame, oa: DataFrame, lo: float = 0.6, hi: floa
                 .join(right.withColumnRenamed("name", "oa_name"), "oa_name")
                 .orderBy(*order).limit(k))
         # One row per name pair is enough: rows of later pairs sort after k earlier ones.
-        if threshold == lo or best.count() >= k:
+        found = best.collect()   # k rows at most
+        if len(found) >= k:
             break
+    best = firm.sparkSession.createDataFrame(found, best.schema)
 
     def lowest(df, names, tag):
         """The k lowest rows of each wanted name; ranked before the shuffle, so bounded."""

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import vocabulary as v
-from ..operators.gaps import new_rows
+from ..operators.gaps import used_ids
 from ..operators.matching import firm_hot_keys, match_profile, resolve_matches
 from ..operators.mutations import (
     add_tracking_columns, delete_garbage, insert_new, update_matched)
@@ -23,32 +23,37 @@ class Tables:
     claims: DataFrame | None = None
 
 
-def _garbage(profile: DataFrame, mode: str) -> DataFrame:
-    rows = F.when(F.col("matched"), F.col("void") if mode == "reference" else F.lit(0)).otherwise(1)
-    return (profile.select("firm_id", "payer_id", "name", rows.cast("bigint").alias("joined_rows"))
-            .where("joined_rows > 0"))
-
-
 def synced(tables: Tables, run_ts: Column, option: str = "A", mode: str = "strict",
            profile: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(firms, patients) after a sync, as a lazy plan.
 
-    One match profile serves the update and the deletion. A strict deletion cannot change which
-    master rows are new, so those are looked for in the table as it came in.
+    The firms are matched once: the update marks which of them are garbage, and the deletion goes
+    by that mark. An update never changes the columns firms are matched on, so what is new is
+    looked for in the narrow input table, less the firms a reference-mode deletion removes.
     """
     firm, oa, pat = tables.firm, tables.oa, tables.patients
     hot = firm_hot_keys(firm)
     if profile is None:
         profile = match_profile(firm, oa, hot=hot)
     resolved = resolve_matches(firm, oa, profile=profile)
-    updated = update_matched(firm, oa, run_ts, resolved=resolved, hot=hot)
-    garbage = _garbage(profile, mode)
-    if option == "B":
-        kept, pat = delete_garbage(updated, oa, pat, "B", mode, garbage)
+    # A matched firm is kept, but not by reference rules if a row without ids carries its name.
+    known_good = F.lit(True) if mode == "strict" else F.col("void") == 0
+    marked = update_matched(firm, oa, run_ts, resolved=resolved, hot=hot, mark=known_good)
+    good = F.coalesce("_mark", F.lit(False))
+    if option == "A":
+        used = used_ids(pat).withColumn("_used", F.lit(True))
+        kept = marked.join(used, "firm_id", "left").where(good | F.col("_used")).drop("_used")
+    elif option == "C":
+        kept = marked.where(good)
+    elif option == "B":
+        garbage = marked.where(~good).select("firm_id")
+        kept, pat = delete_garbage(marked, oa, pat, "B", mode, garbage)
     else:
-        kept = delete_garbage(updated, oa, pat, option, mode, garbage)
-    known = firm if mode == "strict" else kept
-    return insert_new(kept, oa, run_ts, known=known), pat
+        raise ValueError("option must be 'A', 'B' or 'C'")
+    known = firm
+    if mode != "strict":
+        known = firm.join(kept.select("firm_id"), "firm_id", "left_semi")
+    return insert_new(kept.drop("_mark"), oa, run_ts, known=known), pat
 
 
 class SyncStopped(RuntimeError):

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
-from .sources.versions import CHECKPOINT_DIR
-
 
 def local_session(app: str, cpus: str | int = "8", **conf) -> SparkSession:
     builder = (
@@ -25,6 +22,4 @@ def local_session(app: str, cpus: str | int = "8", **conf) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get(CHECKPOINT_DIR, None):   # only on a machine without a cluster setting
-        spark.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="firmalign-"))
     return spark

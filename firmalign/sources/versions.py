@@ -7,6 +7,7 @@ overwritten while it is being read.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from datetime import datetime, timezone
 
@@ -16,10 +17,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints."""
+    """The shared folder the cluster names for checkpoints; a scratch folder in local mode only."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+        root = tempfile.mkdtemp(prefix="firmalign-")
+        spark.conf.set(CHECKPOINT_DIR, root)
     return root.rstrip("/")
 
 
