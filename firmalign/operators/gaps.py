@@ -70,10 +70,11 @@ def remaining_garbage(firm, oa, mode="reference") -> DataFrame:
 # ---------------------------------------------------------------- new master rows
 def new_ids(oa: DataFrame, firm: DataFrame, key_mode: str = "multi") -> DataFrame:
     """Ids of the master rows no firm matches."""
-    known = firm_keys(firm, "in").select("key").distinct()
-    hits = lookup(master_keys(oa, key_mode, "in"), known, "key", "oa_id", how="left_semi")
-    return oa.select("firm_id").join(hits.select(F.col("oa_id").alias("firm_id")).distinct(),
-                                     "firm_id", "left_anti")
+    known = firm_keys(firm, "in").select("key").distinct().withColumn("hit", F.lit(1))
+    keys = master_keys(oa, key_mode, "in", every_row=True).select("oa_id", "key")
+    return (lookup(keys, known, "key", "oa_id", keyless=False)
+            .groupBy(F.col("oa_id").alias("firm_id")).agg(F.count("hit").alias("hits"))
+            .where("hits = 0").select("firm_id"))
 
 
 def new_rows(oa: DataFrame, firm: DataFrame, key_mode: str = "multi") -> DataFrame:

@@ -74,8 +74,11 @@ def firm_keys(firm: DataFrame, kinds: str = "xin", alt_name: str | None = None)
 
 
 def master_keys(oa: DataFrame, key_mode: str = "multi", kinds: str = "xin",
-                keep: tuple = ()) -> DataFrame:
-    """One row per master row and key. An id listed twice counts for its first column only."""
+                keep: tuple = (), every_row: bool = False) -> DataFrame:
+    """One row per master row and key. An id listed twice counts for its first column only.
+
+    ``every_row`` gives rows without a name a key no firm has, so that each row has some key.
+    """
     ids = id_columns(key_mode)
     rows = []
     for i, (c, via) in enumerate(zip(ids, vias(key_mode))):
@@ -87,7 +90,8 @@ def master_keys(oa: DataFrame, key_mode: str = "multi", kinds: str = "xin",
         if "x" in kinds:
             rows.append(("x", _both_key(first), via))
     if "n" in kinds:
-        rows.append(("n", _name_key("name"), "name"))
+        key = _name_key("name")
+        rows.append(("n", f"coalesce({key}, concat('=:', firm_id))" if every_row else key, "name"))
     return (oa.select(F.col("firm_id").alias("oa_id"), *keep, _key_rows(rows))
             .where("key IS NOT NULL"))
 
@@ -127,7 +131,7 @@ def match_profile(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
     empty id. ``best_*`` hold the lowest master ``firm_id`` of a group.
     """
     keys = firm_keys(firm, alt_name=alt_name)
-    joined = lookup(keys, master_index(oa, key_mode), "key", "firm_id", hot=hot)
+    joined = lookup(keys, master_index(oa, key_mode), "key", "firm_id", hot=hot, keyless=False)
 
     def at(kind, col, name):
         return f"max(IF(kind = '{kind}', {col}, NULL)) AS {name}"
@@ -303,7 +307,7 @@ def unmatched_firms(firm: DataFrame, oa: DataFrame, key_mode: str = "multi") ->
     keys = firm_keys(firm, "in")
     known = (master_keys(oa, key_mode, "in").select("key").distinct()
              .withColumn("hit", F.lit(1)))
-    return (lookup(keys, known, "key", "firm_id")
+    return (lookup(keys, known, "key", "firm_id", keyless=False)
             .groupBy("firm_id", "payer_id", "name").agg(F.count("hit").alias("hits"))
             .where("hits = 0").drop("hits"))
 

@@ -114,21 +114,22 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
                 "y -> concat(x, y))))")
     else:
         keys = "p"
-    prefix = prefix.selectExpr("name", "size(g) AS size", f"explode({keys}) AS key")
+    prefix = prefix.selectExpr("name", "g", f"explode({keys}) AS key")
     prefix = cut_lineage(prefix, "name-prefixes")   # read for both sides and their hot keys
 
     def side(df, tag):
         return prefix.join(df.select("name"), "name", "left_semi").select(
-            "key", F.col("name").alias(f"{tag}_name"), F.col("size").alias(f"{tag}_size"))
+            "key", F.col("name").alias(f"{tag}_name"), F.col("g").alias(f"{tag}_g"))
 
     pairs = grid_join(side(left, "firm"), side(right, "oa"), "key", "firm_name", "oa_name")
-    fits = ((F.col("firm_size") > threshold * F.col("oa_size"))
-            & (F.col("oa_size") > threshold * F.col("firm_size")))
-    pairs = pairs.where(fits).select("firm_name", "oa_name").distinct()
-    a, b = trigrams(F.col("firm_name")), trigrams(F.col("oa_name"))
-    both = F.size(F.array_intersect(a, b)).cast("double")
-    score = both / (F.size(a) + F.size(b) - both)
-    return pairs.withColumn("name_similarity", score).where(F.col("name_similarity") > threshold)
+    # Sizes rule most pairs out before their members are compared.
+    pairs = pairs.where(f"size(firm_g) > {threshold} * size(oa_g) "
+                        f"AND size(oa_g) > {threshold} * size(firm_g)")
+    scored = pairs.selectExpr(
+        "firm_name", "oa_name", "size(firm_g) + size(oa_g) AS total",
+        "CAST(size(array_intersect(firm_g, oa_g)) AS DOUBLE) AS shared")
+    return (scored.selectExpr("firm_name", "oa_name", "shared / (total - shared) AS name_similarity")
+            .where(F.col("name_similarity") > threshold).distinct())
 
 
 def fuzzy_name_matches(firm: DataFrame, oa: DataFrame, lo: float = 0.6, hi: float = 1.0,

@@ -48,13 +48,14 @@ def every_salt(n: Column) -> Column:
 
 
 def lookup(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "left",
-           hot: dict | None = None) -> DataFrame:
+           hot: dict | None = None, keyless: bool = True) -> DataFrame:
     """Join to a side holding at most one row per key, splitting the keys hot on the left.
 
     ``by`` is a column of the left side that tells rows of one key apart. Rows without a key
-    match nothing and bypass the join, as they would otherwise all meet in one task.
+    match nothing and bypass the join, as they would otherwise all meet in one task;
+    ``keyless=False`` states that there are none.
     """
-    keyed = left.where(F.col(key).isNotNull())
+    keyed = left.where(F.col(key).isNotNull()) if keyless else left
     if hot is None:
         hot = hot_keys(keyed, key)
     if hot:
@@ -63,7 +64,7 @@ def lookup(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "lef
             right.withColumn("_s", every_salt(n)), [key, "_s"], how).drop("_s")
     else:
         joined = keyed.join(right, key, how)
-    if how in ("inner", "left_semi"):
+    if not keyless or how in ("inner", "left_semi"):
         return joined
     return joined.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
 
