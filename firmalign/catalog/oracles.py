@@ -356,7 +356,7 @@ def _columns(df_table, spec_found) -> str:
         over = f"count(*) filter (where length({c}) > {limit})" if limit and spec_found else "0"
         nulls = f"count(*) filter (where {c} is null)" if spec_found else "cast(null as bigint)"
         rows.append(f"select {lit(c)} as column_name, '{'found' if spec_found else 'missing'}' as status, "
-                    f"{lit(t if spec_found else None)} as data_type, cast({limit or 'null'} as bigint) as max_length, "
+                    f"cast({lit(t if spec_found else None)} as varchar) as data_type, cast({limit or 'null'} as bigint) as max_length, "
                     f"count(*) as total_rows, {nulls} as null_rows, cast({over} as bigint) as over_length_rows "
                     f"from {df_table}")
     return _stack(rows)
