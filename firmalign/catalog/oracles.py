@@ -405,7 +405,6 @@ _SEGMENTS = {
     "unused": "(select count(*) from firm where firm_id not in (select firm_id from pat_ids))",
     "total": "(select count(*) from firm)",
 }
-_LATE_STATUS = f"case when lower(name_new) = lower(oa_name) and not ({NAMES}) and not {HIT} then 'X' else {STATUS_V2} end"
 
 
 def _late(where) -> str:
@@ -618,10 +617,10 @@ S: dict[str, str] = {
             from common c join a on a.firm_id = c.firm_id join b on b.firm_id = c.oa_id)
         select * from scored where name_similarity > 0.6 and name_similarity < 1.0
         order by name_similarity desc, firm_id, oa_id limit 20""",
-    "correct_id_by_name": """select firm_id, name as payer_name, payer_id as current_payer_id_in_firm,
-        correct_name_from_oa, (select arg_min(o.payer_id, o.firm_id) from (select firm_id, ifnull(payer_id, '~') as payer_id, name from oa1) o
-            where lower(o.name) = lower(annotated.name)) as raw_id, match_details
-        from annotated where match_status = 'NAME_ONLY'""",
+    "correct_id_by_name": """select a.firm_id, a.name as payer_name, a.payer_id as current_payer_id_in_firm,
+        a.correct_name_from_oa, o.payer_id as correct_payer_id_in_oa, a.match_details from annotated a
+        left join (select lower(name) as l, min(firm_id) as firm_id from oa1 group by 1) x on x.l = lower(a.name)
+        left join oa1 o on o.firm_id = x.firm_id where a.match_status = 'NAME_ONLY'""",
     "sub_payer_probe": f"""select firm_id, payer_id, name, {IDS}, """ + ", ".join(
         f"(select count(*) from oa1 o where o.payer_id = annotated.payer_id_{k}) as {k}_id_in_oa" for k in v.KINDS)
         + " from annotated where match_status = 'NO_MATCH'",
@@ -953,10 +952,6 @@ def _duplicates(table, key, value, label) -> str:
 S["duplicate_keys"] = _duplicates("firm", "payer_id", "name", "different_name")
 S["duplicate_keys__oa_payer_ids"] = _duplicates("oa1", "payer_id", "name", "different_name")
 S["duplicate_keys__oa_names"] = _duplicates("oa", "name", f"coalesce({NEW_ID}, 'NULL')", "different_payer_id")
-S["correct_id_by_name"] = """select a.firm_id, a.name as payer_name, a.payer_id as current_payer_id_in_firm,
-    a.correct_name_from_oa, o.payer_id as correct_payer_id_in_oa, a.match_details from annotated a
-    left join (select lower(name) as l, min(firm_id) as firm_id from oa1 group by 1) x on x.l = lower(a.name)
-    left join oa1 o on o.firm_id = x.firm_id where a.match_status = 'NAME_ONLY'"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,8 +8,8 @@ from ..functions import vocabulary as v
 from ..functions.expressions import (
     canonical_payer_id, impact_level, payer_source, percent, quoted, threshold_label)
 from .matching import (
-    classify_matches, firm_keys, id_columns, master_keys, match_pairs, match_profile,
-    outcome_counts, unmatched_firms)
+    classify_matches, firm_keys, master_keys, match_pairs, match_profile, outcome_counts,
+    unmatched_firms)
 from .skew import lookup
 
 FK = "insurance_firm_id"
