@@ -16,15 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+_own_roots: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names for checkpoints; a scratch folder in local mode only."""
+    """The shared folder the cluster names; where none is set, a scratch folder in local mode only."""
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="firmalign-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _own_roots:
+        _own_roots[app] = tempfile.mkdtemp(prefix="firmalign-")
+    return _own_roots[app]
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:
