@@ -6,11 +6,13 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from firmalign.sources.versions import checkpoint_root, cut_lineage
 
-__all__ = ["arrow_schema", "cut_lineage", "cut_rows", "map_arrow", "shared_folder", "table", "texts_of"]
+__all__ = ["arrow_schema", "cut_lineage", "cut_rows", "map_arrow", "open_file",
+           "shared_folder", "spread", "table", "task_file", "texts_of"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,3 +58,24 @@ def cut_rows(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20) -> It
         step = max(1, int(rows * most_bytes / max(batch.nbytes, 1)))
         for at in range(0, rows, step):
             yield batch.slice(at, step)
+
+
+def open_file(path: str, mode: str):
+    """A file in a folder that all executors share, by path or URI."""
+    from pyarrow.fs import FileSystem
+    fs, local = FileSystem.from_uri(path)
+    if mode == "w":
+        fs.create_dir(local.rsplit("/", 1)[0], recursive=True)
+        return fs.open_output_stream(local)
+    return fs.open_input_file(local)
+
+
+def task_file(folder: str, suffix: str) -> str:
+    """A file name of this attempt of this task: a repeated task never writes over another's."""
+    task = TaskContext.get()
+    return f"{folder}/part-{task.partitionId():06d}-{task.taskAttemptId()}{suffix}"
+
+
+def spread(df: DataFrame, parts: int) -> DataFrame:
+    """Deal the few rows of a list of files out, about one to a task."""
+    return df.repartition(max(1, parts))
