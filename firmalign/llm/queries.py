@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, packing, sharding
+from firmalign.llm import archive, decontam, packing, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": packing.op1_pack,
         "op5_shard": sharding.op5_shard,
+        "op6_decontaminate": decontam.op6_decontaminate,
         "op9_warc": archive.op9_warc,
     }
 
