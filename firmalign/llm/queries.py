@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, decontam, packing, sharding
+from firmalign.llm import archive, decontam, lines, packing, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_shard": sharding.op5_shard,
         "op6_decontaminate": decontam.op6_decontaminate,
         "op9_warc": archive.op9_warc,
+        "op10_line_quality": lines.op10_line_quality,
     }
 
 
