@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, decontam, lines, packing, sharding
+from firmalign.llm import archive, decontam, lines, neardup, packing, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pack": packing.op1_pack,
         "op5_shard": sharding.op5_shard,
         "op6_decontaminate": decontam.op6_decontaminate,
+        "op7_near_duplicates": neardup.op7_near_duplicates,
         "op9_warc": archive.op9_warc,
         "op10_line_quality": lines.op10_line_quality,
     }
