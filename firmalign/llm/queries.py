@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, coder, decontam, lines, neardup, packing, sharding
+from firmalign.llm import archive, coder, decontam, lines, neardup, packing, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": packing.op1_pack,
         "op3_token_files": coder.op3_token_files,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_shard": sharding.op5_shard,
         "op6_decontaminate": decontam.op6_decontaminate,
         "op7_near_duplicates": neardup.op7_near_duplicates,
