@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, coder, decontam, lines, neardup, packing, sharding, toxicity
+from firmalign.llm import archive, coder, decontam, lines, neardup, packing, pii, sharding, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": packing.op1_pack,
+        "op2_pii": pii.op2_pii,
         "op3_token_files": coder.op3_token_files,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_shard": sharding.op5_shard,
