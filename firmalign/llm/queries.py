@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, coder, decontam, lines, neardup, packing, pii, sharding, toxicity
+from firmalign.llm import archive, coder, decontam, lines, neardup, packing, pii, sharding, templates, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_shard": sharding.op5_shard,
         "op6_decontaminate": decontam.op6_decontaminate,
         "op7_near_duplicates": neardup.op7_near_duplicates,
+        "op8_main_text": templates.op8_main_text,
         "op9_warc": archive.op9_warc,
         "op10_line_quality": lines.op10_line_quality,
     }
