@@ -105,6 +105,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, without all but one of each component.
+
+    Of rows repeated with the same doc_id and text one stays. Texts without words all stay.
+    """
+    found = cut_lineage(near_duplicates(docs), "near-found")
+    gone = found.where(~F.col("kept") & F.col("component_id").isNotNull()).select("doc_id")
+    left = docs.join(gone.where("doc_id IS NOT NULL").distinct(), "doc_id", "left_anti").select(
+        *docs.columns)
+    repeated = found.where("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    repeated = cut_lineage(repeated, "near-repeated")
+    return left.join(repeated, "doc_id", "left_anti").unionByName(
+        left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])).select(
+        *docs.columns)
+
+
 def _join(source: DataFrame, classes: DataFrame, shingle: int,
           percent: int) -> DataFrame:
     """(class, label) of all classes that have a confirmed link."""
