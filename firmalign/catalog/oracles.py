@@ -144,10 +144,10 @@ _text_v2 = details("v2", "m.match_status", "f.payer_id", "f.name",
 _text_v1 = details("v1", "m.match_status", "f.payer_id", "f.name", "o.payer_id", "o.name")
 
 
-def _insert(fresh, known, status="'NEW_FROM_OA'", text=None, new_id=NEW_ID, via=None) -> str:
+def _insert(fresh, status="'NEW_FROM_OA'", text=None, new_id=NEW_ID, via=None) -> str:
     text = text or f"'New record from OA. Primary payer ID: ' || {source('primary')}"
     via = via or source("via")
-    return (f"select row_number() over (order by firm_id) + (select max(firm_id) from {known}) as firm_id, "
+    return (f"select row_number() over (order by firm_id) + (select max(firm_id) from firm) as firm_id, "
             f"{new_id} as payer_id, name, {PAYLOAD}, {new_id} as payer_id_new, name as name_new, "
             f"{status} as sync_status, {text} as sync_details, {TS} as last_synced_at, "
             f"{via} as matched_via from {fresh}")
@@ -183,11 +183,13 @@ B: dict[str, str] = {
         {_flags} from oa_rows""",
     "oa1": f"select * replace ({NEW_ID} as payer_id) from oa",
     "pat": """select o_orderkey as patient_insurance_id,
-        case when o_orderkey % 203 = 0 then null when o_orderkey % 101 = 0 then o_custkey + 10000000
-             else o_custkey end as insurance_firm_id from orders where o_custkey % 3 <> 0""",
+        case when o_orderkey % 203 = 0 then null when o_orderkey % 101 = 0 then cust + 10000000
+             else cust end as insurance_firm_id from (select o_orderkey,
+             case when o_custkey % 3 = 0 then o_custkey - 1 else o_custkey end as cust from orders)""",
     "claims": """select l_orderkey * 10 + l_linenumber as claim_id,
-        case when l_orderkey % 211 = 0 then null else o_custkey end as insurance_firm_id
-        from lineitem join orders on l_orderkey = o_orderkey where o_custkey % 4 <> 0""",
+        case when l_orderkey % 211 = 0 then null when o_custkey % 4 = 0 then o_custkey - 1
+             else o_custkey end as insurance_firm_id
+        from lineitem join orders on l_orderkey = o_orderkey""",
     "feed": f"""select payer_id, name, tx as "transaction" from oa1
         cross join (values {", ".join(f"({lit(t)})" for t in TRANSACTIONS)}) t(tx)
         where payer_id is not null and not (firm_id % 9 = 0 and tx like '%Eligibility%')""",
@@ -240,12 +242,12 @@ B: dict[str, str] = {
                         via="cast(null as varchar)"),
     "kept": """select * from updated where firm_id not in (select firm_id from lost)
         or firm_id in (select firm_id from pat_ids)""",
-    "inserted": _insert("fresh", "firm"),
+    "inserted": _insert("fresh"),
     "synced": "select * from kept union all by name select * from inserted",
     "kept_c": "select * from updated where firm_id not in (select firm_id from garbage)",
     "fresh_c": """select * from oa where firm_id not in
         (select oa_id from hits where firm_id in (select firm_id from kept_c))""",
-    "shaken": f"select * from kept_c union all by name {_insert('fresh_c', 'kept_c')}",
+    "shaken": f"select * from kept_c union all by name {_insert('fresh_c')}",
     "annotated": f"""select f.firm_id, f.payer_id, f.name, {", ".join(
         f"case when st <> 'NO_MATCH' then o.{c} else f.{c} end as {c}" for c in v.PAYLOAD_COLS)},
         st as match_status, {details("v0", "st", "f.payer_id", "f.name", "o.payer_id", "o.name")} as match_details,
@@ -294,7 +296,7 @@ def _cleaned(members, tag) -> dict[str, str]:
         f"fresh_{tag}": f"""select * from oa where firm_id not in
             (select oa_id from hits where firm_id in (select firm_id from used_{tag}))""",
         f"cleaned_{tag}": f"select * from used_{tag} union all by name " + _insert(
-            f"fresh_{tag}", f"used_{tag}", "'RELOADED_FROM_OA'", "'Reloaded from OA after cleanup'"),
+            f"fresh_{tag}", "'RELOADED_FROM_OA'", "'Reloaded from OA after cleanup'"),
     }
 
 
@@ -608,7 +610,8 @@ S: dict[str, str] = {
         where not ({ALL_NULL}) and firm_id in (select firm_id from pat_ids)""",
     "fuzzy_name_matches": f"""with a as (select firm_id, name, payer_id, {_GRAMS.format('lower(name)')} as g from firm
             where name is not null),
-        b as (select firm_id, name, payer_id, {_GRAMS.format('lower(name)')} as g from oa where name is not null),
+        b as (select firm_id, name, payer_id, {_GRAMS.format('lower(name)')} as g from oa1
+            where name is not null and payer_id is not null),
         ag as (select firm_id, unnest(g) as gram from a), bg as (select firm_id, unnest(g) as gram from b),
         common as (select ag.firm_id, bg.firm_id as oa_id, count(*) as n from ag join bg using (gram) group by 1, 2),
         scored as (select c.firm_id, c.oa_id, a.name as insurance_firm_name, b.name as payers_oa_name,
@@ -842,10 +845,10 @@ S: dict[str, str] = {
     "reassign_patients": "select * from moved",
     "insert_new": "select * from tracked union all by name select * from inserted",
     "insert_new__v1": "select * from tracked union all by name " + _insert(
-        "fresh1", "firm", text="'New record inserted from insurance_firm_oa'", new_id="payer_id",
+        "fresh1", text="'New record inserted from insurance_firm_oa'", new_id="payer_id",
         via="cast(null as varchar)"),
     "insert_new__reload": "select * from tracked union all by name " + _insert(
-        "fresh", "firm", "'RELOADED_FROM_OA'", "'Reloaded from OA after cleanup'"),
+        "fresh", "'RELOADED_FROM_OA'", "'Reloaded from OA after cleanup'"),
     "update_active": "select * from active_ref",
     "update_active__safe": "select * from active_safe",
     "delete_unused": f"select * from firm where firm_id in ({_USED})",

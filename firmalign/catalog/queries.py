@@ -234,7 +234,8 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "patient_impact__sample": lambda d: g.patient_impact_sample(d.firm, d.oa, d.pat),
     "null_payer_impact": lambda d: g.null_payer_impact(d.firm, d.pat),
     "reassignable_firms": lambda d: g.reassignable_firms(d.firm, d.oa, d.pat),
-    "fuzzy_name_matches": lambda d: n.fuzzy_name_matches(d.firm, d.oa),
+    "fuzzy_name_matches": lambda d: n.fuzzy_name_matches(
+        d.firm, d.oa1.where("payer_id IS NOT NULL")),
     "correct_id_by_name": lambda d: n.name_only_review(d.annotated, d.oa1),
     "sub_payer_probe": lambda d: n.sub_payer_probe(d.annotated, d.oa1),
     "sub_payer_match": lambda d: n.sub_payer_match(d.annotated, d.oa1),

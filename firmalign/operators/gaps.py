@@ -150,8 +150,8 @@ def patient_impact_sample(firm, oa, pat, mode="reference", k=20, key_mode="multi
     first = (lookup(pat, garbage, FK, "patient_insurance_id", how="inner")
              .orderBy("patient_insurance_id").limit(k))
     # A firm listed n times yields n rows; the first k rows lie within the first k patients.
-    return (first.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                        F.col("joined_rows"))))
+    return (first.withColumn("_i", F.explode(F.sequence(
+        F.lit(1).cast("bigint"), F.least("joined_rows", F.lit(k)))))
             .select("patient_insurance_id", F.col(FK).alias("firm_id"),
                     F.col("payer_id").alias("firm_payer_id"), F.col("name").alias("firm_name"))
             .orderBy("patient_insurance_id").limit(k))
@@ -258,8 +258,8 @@ def sample_matches(firm, oa, status, k=10) -> DataFrame:
     """First k matches of a status with what changes, as issue text."""
     if status == v.NO_MATCH:
         rows = garbage_firms(firm, oa, "reference").orderBy("firm_id").limit(k)
-        return (rows.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                           F.col("joined_rows"))))
+        return (rows.withColumn("_i", F.explode(F.sequence(
+            F.lit(1).cast("bigint"), F.least("joined_rows", F.lit(k)))))
                 .select("firm_id", "payer_id", "name", F.lit(v.NO_MATCH_REASON).alias("reason"))
                 .orderBy("firm_id").limit(k))
     variant = "preflight" if status == v.NAME_ONLY else "v2"

@@ -145,7 +145,7 @@ def match_profile(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
             aggs += [number(kind, f"n_{via}", f"{kind}_{via}"),
                      at(kind, f"best_{via}", f"best_{kind}_{via}")]
     aggs += [number("n", "n_name", "same_name"), at("n", "best_name", "best_name"),
-             at("w", "best_name", "best_alt")]
+             at("w", "best_name", "best_alt"), at("w", "key", "alt_key")]
     for sort in _SORTS:
         aggs += [number("n", f"n_{sort}", sort), at("n", f"best_{sort}", f"best_{sort}")]
     aggs += [number("x", "n_named", "named"), number("x", "n_named_full", "named_full")]
@@ -262,8 +262,9 @@ def resolve_matches(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
             add(v.PAYER_ID_ONLY, via, "i", F.col(f"best_i_{via}"))
         add(v.NAME_ONLY, "name", "n", F.col("best_name"))
         add(v.NAME_ONLY, None, "w", F.col("best_alt"))
-    return (profile.select("firm_id", "payer_id", "name", "void", F.coalesce(*picks).alias("m"))
-            .where(F.col("m").isNotNull()).select("firm_id", "payer_id", "name", "void", "m.*"))
+    out = ["firm_id", "payer_id", "name", "void", "alt_key"]
+    return (profile.select(*out, F.coalesce(*picks).alias("m"))
+            .where(F.col("m").isNotNull()).select(*out, "m.*"))
 
 
 def with_master(firm: DataFrame, oa: DataFrame, resolved: DataFrame, key_mode: str = "multi",
@@ -281,13 +282,13 @@ def with_master(firm: DataFrame, oa: DataFrame, resolved: DataFrame, key_mode: s
     right = oa.select(F.col("firm_id").alias("oa_id"),
                       *[F.col(c).alias(f"oa_{c}") for c in cols])
     if not hot:
-        return resolved.join(right, "oa_id").drop("key_kind")
+        return resolved.join(right, "oa_id").drop("key_kind", "alt_key")
     matched_key = F.expr(f"CASE key_kind WHEN 'i' THEN {_id_key('payer_id')} "
-                         f"WHEN 'n' THEN {_name_key('name')} END")
+                         f"WHEN 'n' THEN {_name_key('name')} WHEN 'w' THEN alt_key END")
     of_row = [F.expr(_id_key(f"oa_{c}")) for c in ids] + [F.expr(_name_key("oa_name"))]
     left = resolved.withColumn("_s", one_salt(salts_of(hot, matched_key), "firm_id"))
     right = right.withColumn("_s", every_salt(F.greatest(*[salts_of(hot, k) for k in of_row])))
-    return left.join(right, ["oa_id", "_s"]).drop("_s", "key_kind")
+    return left.join(right, ["oa_id", "_s"]).drop("_s", "key_kind", "alt_key")
 
 
 def resolved_details(firm: DataFrame, oa: DataFrame) -> DataFrame:

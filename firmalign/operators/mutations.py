@@ -123,16 +123,20 @@ def annotate_from_feed(firm: DataFrame, pivot: DataFrame, run_ts: Column) -> Dat
 
 
 # ---------------------------------------------------------------- phase 2: delete
-def reassignment_map(firm: DataFrame, oa: DataFrame, mode: str = "strict") -> DataFrame:
+def reassignment_map(firm: DataFrame, oa: DataFrame, mode: str = "strict",
+                     garbage: DataFrame | None = None,
+                     resolved: DataFrame | None = None) -> DataFrame:
     """Garbage firm -> lowest surviving firm known under one of the ids it stores itself.
 
     A garbage firm matches no master row, so its stored sub-payer ids are the only lead. A
     survivor is known under its own payer id and every id of the master row it resolves to.
+    ``garbage`` and ``resolved`` are taken as given where they are known already.
     """
-    garbage = garbage_firms(firm, oa, mode).select("firm_id")
+    garbage = (garbage_firms(firm, oa, mode) if garbage is None else garbage).select("firm_id")
     hot = firm_hot_keys(firm)
-    resolved = with_master(firm, oa, resolve_matches(firm, oa, hot=hot), payload=v.ID_COLS,
-                           hot=hot)
+    if resolved is None:
+        resolved = resolve_matches(firm, oa, hot=hot)
+    resolved = with_master(firm, oa, resolved, payload=v.ID_COLS, hot=hot)
     known = (resolved.join(garbage, "firm_id", "left_anti")
              .select("firm_id", F.explode(F.array("payer_id", *OA_IDS)).alias("key"))
              .where("key IS NOT NULL").groupBy("key").agg(F.min("firm_id").alias("new_firm_id")))
@@ -158,7 +162,8 @@ def reassignment_preview(mapping: DataFrame, pat: DataFrame) -> DataFrame:
 
 
 def delete_garbage(firm: DataFrame, oa: DataFrame, pat: DataFrame, option: str = "A",
-                   mode: str = "strict", garbage: DataFrame | None = None):
+                   mode: str = "strict", garbage: DataFrame | None = None,
+                   resolved: DataFrame | None = None):
     """Phase 2. ``A`` spares firms with patients, ``C`` deletes all garbage.
 
     ``B`` first moves patients to surviving firms and then deletes what nobody refers to any
@@ -172,7 +177,7 @@ def delete_garbage(firm: DataFrame, oa: DataFrame, pat: DataFrame, option: str =
     if option == "C":
         return firm.join(ids, "firm_id", "left_anti")
     if option == "B":
-        moved = reassign_patients(pat, reassignment_map(firm, oa, mode))
+        moved = reassign_patients(pat, reassignment_map(firm, oa, mode, ids, resolved))
         gone = ids.join(used_ids(moved), "firm_id", "left_anti")
         return firm.join(gone, "firm_id", "left_anti"), moved
     raise ValueError("option must be 'A', 'B' or 'C'")
@@ -221,14 +226,18 @@ def new_firm_columns(run_ts: Column, status: str = v.NEW_FROM_OA,
 
 
 def insert_new(firm: DataFrame, oa: DataFrame, run_ts: Column, status: str = v.NEW_FROM_OA,
-               key_mode: str = "multi", known: DataFrame | None = None) -> DataFrame:
+               key_mode: str = "multi", known: DataFrame | None = None,
+               numbered_after: DataFrame | None = None) -> DataFrame:
     """Phase 3: append the master rows no firm matches, under fresh consecutive ids.
 
-    ``known`` is the table to look for matches in and to number after (default: ``firm``). Passing
-    the table as it was before a strict deletion gives the same rows without depending on it.
+    ``known`` is the table to look for matches in (default: ``firm``). Passing the table as it was
+    before a strict deletion gives the same rows without depending on it. Numbers start after the
+    highest id of ``numbered_after`` (default: ``known``): pass the table as it was before any
+    deletion, as facts may still point at a deleted firm, whose id must not be used again.
     """
     known = firm if known is None else known
-    highest = known.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
+    numbered_after = known if numbered_after is None else numbered_after
+    highest = numbered_after.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
     # Number the bare ids first; the wide rows move only once, to meet their number.
     numbered = oa.join(allocate_ids(new_ids(oa, known, key_mode), "firm_id", highest), "firm_id")
     return add_tracking_columns(firm).unionByName(

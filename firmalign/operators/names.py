@@ -28,9 +28,7 @@ def trim_names(firm: DataFrame) -> DataFrame:
 def correct_id_by_name(firm: DataFrame, oa: DataFrame) -> DataFrame:
     """Firms matched by name only, with the payer id of the lowest master row of that name."""
     ids = oa.where("name IS NOT NULL").groupBy(F.lower("name").alias("lname")).agg(
-        F.min("firm_id").alias("firm_id"))
-    ids = oa.select("firm_id", "payer_id").join(ids, "firm_id").select(
-        "lname", F.col("payer_id").alias("correct_payer_id_in_oa"))
+        F.min_by("payer_id", "firm_id").alias("correct_payer_id_in_oa"))
     rows = firm.where(F.col("match_status") == v.NAME_ONLY).withColumn("lname", F.lower("name"))
     return lookup(rows, ids, "lname", "firm_id").drop("lname")
 
@@ -91,22 +89,30 @@ def _distinct_names(df: DataFrame, side: str) -> DataFrame:
             .agg(F.min("firm_id").alias(f"{side}_min")))
 
 
-def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def ranked_grams(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The grams of every name, the rarest first. Ranked once and written, for any threshold."""
+    sets = left.select("name").unionByName(right.select("name")).distinct().select(
+        "name", trigrams(F.col("name")).alias("grams")).where(F.size("grams") > 0)
+    exploded = sets.select("name", F.explode("grams").alias("gram"))
+    freq = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # A name has few grams: the list per name is bounded by the length of the name.
+    return cut_lineage(lookup(exploded, freq, "gram", "name", how="inner", keyless=False).groupBy(
+        "name").agg(F.expr("transform(array_sort(collect_list(struct(df, gram))), x -> x.gram)")
+                    .alias("g")), "name-grams")
+
+
+def similar_names(left: DataFrame, right: DataFrame, threshold: float,
+                  ranked: DataFrame | None = None, equal: bool = True) -> DataFrame:
     """All pairs of distinct names with similarity above ``threshold``, each once.
 
     Set-similarity join with prefix filtering. Two sets that agree above t share more than t times
     the size of either. Sorted rarest member first, the first ``size - shared + 2`` members of
     both then have two members in common, so joining on pairs of such members misses nothing and
     leaves common grams out. (Below one half, one common member is all that is certain.)
+    Other columns of both sides are carried along; ``equal=False`` leaves out equal names.
     """
     together = 2 if threshold >= 0.5 else 1
-    sets = left.select("name").unionByName(right.select("name")).distinct().select(
-        "name", trigrams(F.col("name")).alias("grams")).where(F.size("grams") > 0)
-    exploded = sets.select("name", F.explode("grams").alias("gram"))
-    freq = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    # A name has few grams: the list per name is bounded by the length of the name.
-    ranked = lookup(exploded, freq, "gram", "name", how="inner").groupBy("name").agg(
-        F.expr("transform(array_sort(collect_list(struct(df, gram))), x -> x.gram)").alias("g"))
+    ranked = ranked_grams(left, right) if ranked is None else ranked
     shared = f"floor({threshold} * size(g) - 1e-9) + 1"
     prefix = ranked.withColumn("p", F.expr(f"slice(g, 1, int(size(g) - ({shared}) + {together}))"))
     if together == 2:
@@ -118,17 +124,22 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     prefix = cut_lineage(prefix, "name-prefixes")   # read for both sides and their hot keys
 
     def side(df, tag):
-        return prefix.join(df.select("name"), "name", "left_semi").select(
-            "key", F.col("name").alias(f"{tag}_name"), F.col("g").alias(f"{tag}_g"))
+        carried = [c for c in df.columns if c != "name"]
+        return prefix.join(df, "name").select(
+            "key", F.col("name").alias(f"{tag}_name"), F.col("g").alias(f"{tag}_g"), *carried)
 
     pairs = grid_join(side(left, "firm"), side(right, "oa"), "key", "firm_name", "oa_name")
+    if not equal:
+        pairs = pairs.where("firm_name <> oa_name")
     # Sizes rule most pairs out before their members are compared.
     pairs = pairs.where(f"size(firm_g) > {threshold} * size(oa_g) "
                         f"AND size(oa_g) > {threshold} * size(firm_g)")
+    out = [c for df in (left, right) for c in df.columns if c != "name"]
     scored = pairs.selectExpr(
-        "firm_name", "oa_name", "size(firm_g) + size(oa_g) AS total",
+        "firm_name", "oa_name", *out, "size(firm_g) + size(oa_g) AS total",
         "CAST(size(array_intersect(firm_g, oa_g)) AS DOUBLE) AS shared")
-    return (scored.selectExpr("firm_name", "oa_name", "shared / (total - shared) AS name_similarity")
+    return (scored.selectExpr("firm_name", "oa_name", *out,
+                              "shared / (total - shared) AS name_similarity")
             .where(F.col("name_similarity") > threshold).distinct())
 
 
@@ -142,11 +153,10 @@ def fuzzy_name_matches(firm: DataFrame, oa: DataFrame, lo: float = 0.6, hi: floa
     """
     left, right = _distinct_names(firm, "firm"), _distinct_names(oa, "oa")
     order = [F.desc("name_similarity"), "firm_min", "oa_min"]
+    ranked = ranked_grams(left, right)
     for threshold in [t for t in steps if t > lo] + [lo]:
-        pairs = similar_names(left, right, threshold).where(F.col("name_similarity") < hi)
-        best = (pairs.join(left.withColumnRenamed("name", "firm_name"), "firm_name")
-                .join(right.withColumnRenamed("name", "oa_name"), "oa_name")
-                .orderBy(*order).limit(k))
+        pairs = similar_names(left, right, threshold, ranked, equal=hi > 1.0)
+        best = pairs.where(F.col("name_similarity") < hi).orderBy(*order).limit(k)
         # One row per name pair is enough: rows of later pairs sort after k earlier ones.
         found = best.collect()   # k rows at most
         if len(found) >= k:

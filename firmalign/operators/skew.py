@@ -1,42 +1,64 @@
 """Joins that keep hot keys spread over many tasks.
 
 A key with more rows than a fair share of the shuffle partitions is split into salts, in
-proportion to its share. Nothing is dropped or capped: the other side repeats its rows for that
-key once per salt. There are at most as many hot keys as shuffle partitions, and their salts add
-up to no more than twice that number, however large the data is.
+proportion to its share. Nothing is dropped: the other side repeats its rows for that key once per
+salt. The sketch that looks for hot keys grows with the number of shuffle partitions, up to the
+million items Spark's own sketch can track; below 62,500 partitions every key above a fair share
+is found and split, beyond that the 62,500 most frequent ones. The salts add up to no more than
+twice the number of partitions, however large the data is.
 
 Hot keys are found by one sketch pass over the key column before the join is planned. They only
-decide where rows go, never which rows match, so an estimate is good enough. Without a hot key
-the join is a plain one and keeps any partitioning its sides already have.
+decide where rows go, never which rows match, so an estimate is good enough. A key counts as hot
+from ``spark.firmalign.hotKeyMinRows`` rows on (100,000 unless set), below which a task has little
+to gain. Rows without a key, which match nothing, are spread by a salt of their own in the same
+join, so the large side is read once.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_HOT_ROWS = "spark.firmalign.hotKeyMinRows"
-_MAX_TRACKED = 16384
+#: Fixed value: the most items Spark's sketch tracks. It needs several for each key asked for.
+_MOST_TRACKED, _TRACKED_PER_KEY = 1_000_000, 16
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(df: DataFrame, key: str) -> dict:
     """Hot key -> number of salts. A bounded result: at most one entry per shuffle partition."""
-    conf = df.sparkSession.conf
-    parts = int(conf.get("spark.sql.shuffle.partitions"))
-    min_rows = int(conf.get(MIN_HOT_ROWS, "100000"))
-    top = min(max(parts, 16), 1024)
+    parts = _partitions(df)
+    min_rows = int(df.sparkSession.conf.get(MIN_HOT_ROWS, "100000"))
+    top = min(max(parts, 16), _MOST_TRACKED // _TRACKED_PER_KEY)
     row = df.select(F.col(key).alias("k")).where("k IS NOT NULL").agg(
-        F.expr(f"approx_top_k(k, {top}, {_MAX_TRACKED})").alias("top"),
+        F.expr(f"approx_top_k(k, {top}, {max(16384, _TRACKED_PER_KEY * top)})").alias("top"),
         F.count(F.lit(1)).alias("n")).first()
     fair = max(row["n"] / parts, min_rows)
     return {t["item"]: -(-t["count"] * parts // row["n"]) for t in row["top"] if t["count"] > fair}
 
 
 def salts_of(hot: dict, key: Column) -> Column:
-    """Number of salts of a key: 1 unless it is hot."""
+    """Number of salts of a key: 1 unless it is hot.
+
+    Entries lie in a literal array of small maps, by a checksum of the key, so that looking one
+    up takes the same time however many there are.
+    """
     if not hot:
         return F.lit(1)
-    entries = [F.lit(x) for pair in hot.items() for x in pair]
-    return F.coalesce(F.try_element_at(F.create_map(*entries), key), F.lit(1)).cast("int")
+    cells: list[list] = [[] for _ in range(1 << max(0, (len(hot) - 1).bit_length()))]
+    place = lambda k: zlib.crc32(str(k).encode()) % len(cells)
+    for pair in hot.items():
+        cells[place(pair[0])] += pair
+    # An empty cell holds a key that belongs to another cell and so is never looked up in it.
+    spare = next(iter(hot.items()))
+    maps = [F.create_map(*[F.lit(x) for x in cell or spare]) for cell in cells]
+    at = F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(len(cells))).cast("int")
+    cell = maps[0] if len(maps) == 1 else F.get(F.array(*maps), at)
+    return F.coalesce(F.try_element_at(cell, key), F.lit(1)).cast("int")
 
 
 def one_salt(n: Column, by: str) -> Column:
@@ -52,21 +74,20 @@ def lookup(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "lef
     """Join to a side holding at most one row per key, splitting the keys hot on the left.
 
     ``by`` is a column of the left side that tells rows of one key apart. Rows without a key
-    match nothing and bypass the join, as they would otherwise all meet in one task;
-    ``keyless=False`` states that there are none.
+    match nothing; ``keyless=False`` states that there are none.
     """
-    keyed = left.where(F.col(key).isNotNull()) if keyless else left
+    if keyless and how in ("inner", "left_semi"):
+        left, keyless = left.where(F.col(key).isNotNull()), False
     if hot is None:
-        hot = hot_keys(keyed, key)
-    if hot:
-        n = salts_of(hot, F.col(key))
-        joined = keyed.withColumn("_s", one_salt(n, by)).join(
-            right.withColumn("_s", every_salt(n)), [key, "_s"], how).drop("_s")
-    else:
-        joined = keyed.join(right, key, how)
-    if not keyless or how in ("inner", "left_semi"):
-        return joined
-    return joined.unionByName(left.where(F.col(key).isNull()), allowMissingColumns=True)
+        hot = hot_keys(left, key)
+    if not hot and not keyless:
+        return left.join(right, key, how)
+    n = salts_of(hot, F.col(key))
+    salt = one_salt(n, by) if hot else F.lit(0)
+    if keyless:
+        salt = F.when(F.col(key).isNull(), one_salt(F.lit(_partitions(left)), by)).otherwise(salt)
+    right = right.withColumn("_s", every_salt(n) if hot else F.lit(0))
+    return left.withColumn("_s", salt).join(right, [key, "_s"], how).drop("_s")
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, left_by: str,

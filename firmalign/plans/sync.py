@@ -47,13 +47,13 @@ def synced(tables: Tables, run_ts: Column, option: str = "A", mode: str = "stric
         kept = marked.where(good)
     elif option == "B":
         garbage = marked.where(~good).select("firm_id")
-        kept, pat = delete_garbage(marked, oa, pat, "B", mode, garbage)
+        kept, pat = delete_garbage(marked, oa, pat, "B", mode, garbage, resolved)
     else:
         raise ValueError("option must be 'A', 'B' or 'C'")
     known = firm
     if mode != "strict":
         known = firm.join(kept.select("firm_id"), "firm_id", "left_semi")
-    return insert_new(kept.drop("_mark"), oa, run_ts, known=known), pat
+    return insert_new(kept.drop("_mark"), oa, run_ts, known=known, numbered_after=firm), pat
 
 
 class SyncStopped(RuntimeError):

@@ -21,7 +21,8 @@ def cleaned(tables: Tables, run_ts: Column, scope: str = "safe") -> DataFrame:
     kept = delete_unused(active, tables.patients, tables.claims, scope)
     # The update leaves the matched-on columns alone, so look for new rows in the narrow input.
     known = delete_unused(tables.firm, tables.patients, tables.claims, scope)
-    return insert_new(kept, tables.oa, run_ts, status=v.RELOADED_FROM_OA, known=known)
+    return insert_new(kept, tables.oa, run_ts, status=v.RELOADED_FROM_OA, known=known,
+                      numbered_after=tables.firm)
 
 
 def run_usage_cleanup(tables: Tables, target: VersionedTable, run_ts: Column,

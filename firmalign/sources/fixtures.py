@@ -51,6 +51,7 @@ def insurance_firm_with_sub_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def insurance_firm_oa(spark: SparkSession, path: str, key_mode: str = "multi") -> DataFrame:
+    """Master rows; customers whose number ends in 9 have none, which makes their firms garbage."""
     # Most customers give one master row, some a second one that fans their matches out.
     customer = _read(spark, path, "customer").selectExpr(
         "CAST(c_custkey AS BIGINT) AS k", "c_name").selectExpr("k", """
@@ -73,24 +74,28 @@ def insurance_firm_oa(spark: SparkSession, path: str, key_mode: str = "multi") -
 
 
 def patient_insurance(spark: SparkSession, path: str) -> DataFrame:
-    order, cust = F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint")
+    # Every third firm has no patients: its orders point at the firm before it.
+    order = F.col("o_orderkey").cast("bigint")
+    cust = F.expr("CAST(o_custkey - IF(o_custkey % 3 = 0, 1, 0) AS BIGINT)")
     firm = (F.when(order % 203 == 0, F.lit(None)).when(order % 101 == 0, cust + 10000000)
             .otherwise(cust))
-    return _read(spark, path, "orders").where("o_custkey % 3 <> 0").select(
+    return _read(spark, path, "orders").select(
         order.alias("patient_insurance_id"), firm.alias("insurance_firm_id"))
 
 
 def pms_claims(spark: SparkSession, path: str) -> DataFrame:
     line = _read(spark, path, "lineitem").select("l_orderkey", "l_linenumber")
-    order = _read(spark, path, "orders").select("o_orderkey", "o_custkey").where(
-        "o_custkey % 4 <> 0")
+    # Every fourth firm has no claims, in the same way.
+    order = _read(spark, path, "orders").selectExpr(
+        "o_orderkey", "CAST(o_custkey - IF(o_custkey % 4 = 0, 1, 0) AS BIGINT) AS cust")
     key = F.col("l_orderkey").cast("bigint")
-    firm = F.when(key % 211 == 0, F.lit(None)).otherwise(F.col("o_custkey").cast("bigint"))
+    firm = F.when(key % 211 == 0, F.lit(None)).otherwise(F.col("cust"))
     return line.join(order, line.l_orderkey == order.o_orderkey).select(
         (key * 10 + F.col("l_linenumber")).alias("claim_id"), firm.alias("insurance_firm_id"))
 
 
 def payers_oa(spark: SparkSession, path: str) -> DataFrame:
+    """Three feed rows per payer; every ninth master row lacks one, for the cardinality check."""
     return (
         insurance_firm_oa(spark, path, "single").where("payer_id IS NOT NULL")
         .select("firm_id", "payer_id", "name",
