@@ -2,15 +2,16 @@
 
 Documents with the same set of word shingles form one class, and the classes are joined. Each of
 ``TREES`` independent trees puts a class into a node by one minwise token. A small node is compared
-exhaustively. A large one is compared with a pivot of its own and then branches: the path picks a
-few further token positions at random, and a class follows each of them to the node of the token it
-has there. Two sets of similarity s agree on a token with probability s, so they part in all trees
-with probability (1 - s) ** TREES, and branching keeps them together as (1 - (1 - s) ** BRANCHES)
-per level. Every candidate is confirmed on the full sets.
-
-A node whose members all belong to one component by confirmed links needs no further look, and no
-pair within a component is compared: a large group of near copies collapses onto its pivots in the
-first round and never becomes a set of pairs.
+exhaustively. A large one is compared with a pivot of its own and then branches: the path picks one
+or two further token positions at random, new ones at every level, and a class follows each of them
+to the node of the token it has there. Two sets of similarity s agree on a token with probability s,
+so they part in all trees with probability (1 - s) ** TREES. With 1.5 branches on average a pair of
+similarity 0.8 stays together in 1.2 nodes for each one before, and pairs below 2/3 die out. Every candidate is confirmed on the full sets.
+
+Before any node is compared exhaustively, each class is compared with one pivot only, the one that
+it meets in most nodes, in a few rounds. A node whose members all belong to one component by confirmed links
+needs no further look, and no pair within a component is compared: a large group of near copies
+collapses onto its pivots in these rounds and never becomes a set of pairs.
 """
 
 from __future__ import annotations
@@ -20,13 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from firmalign.llm import textwords
 from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table
 
 SHINGLE, PERCENT = 4, 80
-TOKENS, TREES, BRANCHES, SMALL_NODE, MAX_DEPTH = 40, 12, 2, 12, 8
+TOKENS, TREES, SMALL_NODE, MAX_DEPTH = 40, 12, 4, 14
+#: So many pairs across components for each class may be compared without further branching.
+PAIRS_PER_CLASS = 4
+#: Ids of classes that are broadcast at most, eight bytes each.
+MOST_BROADCAST = 500_000
+#: Rounds in which each class is compared with the best pivot of its nodes only.
+PIVOT_ROUNDS = 2
 #: Share of equal tokens below which a pair isn't compared on its sets: at similarity 0.8 it is 4.7
 #: standard deviations below the mean.
 LEAST_AGREEMENT = 0.5
@@ -128,7 +135,8 @@ def _join(source: DataFrame, classes: DataFrame, shingle: int,
           percent: int) -> DataFrame:
     """(class, label) of all classes that have a confirmed link."""
     start = classes.select("class", "n", F.posexplode(F.slice("tokens", 1, TREES)).alias(
-        "tree", "token")).select("class", F.xxhash64("tree", "token").alias("node"))
+        "tree", "token")).select("class", F.xxhash64("tree", "token").alias("node")).withColumn(
+            "root", F.col("node"))
     shared = start.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = start.join(shared.select("node"), "node")
     # Classes met in too few trees to be similar to any other leave the join here.
@@ -141,16 +149,27 @@ def _join(source: DataFrame, classes: DataFrame, shingle: int,
             "doc_id", "text"), _sets(shingle), "class bigint, shingles binary"), "near-sets")
     codes = met.select("class", "n", "tokens")
 
-    links, labels = None, None
+    labels = None
+    for turn in range(PIVOT_ROUNDS):
+        best = _stars(_labelled(members, labels), F.xxhash64("class", F.lit(turn))).groupBy(
+            "class", "pivot").agg(F.count(F.lit(1)).alias("met")).groupBy("class").agg(
+                F.max_by("pivot", F.struct("met", "pivot")).alias("pivot"))
+        likely = _agreeing(best, "class", "pivot", codes, percent)
+        labels = _merged(labels, _confirmed(_ordered(likely, "class", "pivot"), sets, percent))
+    enough = PAIRS_PER_CLASS * met.count()
     for depth in range(MAX_DEPTH + 1):
-        # What is still together after that many equal tokens is compared in full.
-        pairs = _candidates(_labelled(members, labels), last=depth == MAX_DEPTH)
-        links = _more(links, _confirmed(pairs, codes, sets, percent))
-        labels = _components(links)
-        if depth < MAX_DEPTH:
-            members = cut_lineage(_branch(_mixed(_labelled(members, labels)), codes), "near-nodes")
-            if members.isEmpty():
-                break
+        # Few pairs, or what still is together after so many equal tokens, are compared in full.
+        known = cut_lineage(_labelled(members, labels), "near-known")
+        last = depth == MAX_DEPTH or _pairs_left(known) <= enough
+        pairs = _candidates(known, depth, last)
+        labels = _merged(labels, _confirmed(_agreeing(pairs, "a", "b", codes, percent), sets,
+                                            percent))
+        if last:
+            break
+        members = cut_lineage(_branch(_mixed(_labelled(members, labels)), codes, depth),
+                              "near-nodes")
+        if members.isEmpty():
+            break
     return labels
 
 
@@ -169,6 +188,14 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
+def _pairs_left(known: DataFrame) -> int:
+    """Pairs across components within nodes, counted from sizes."""
+    n = F.col("n").cast("double")   # a square may exceed a long
+    nodes = known.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
+        ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("pairs"))
+    return int(nodes.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
+
+
 def _mixed(known: DataFrame) -> DataFrame:
     """Members of the large nodes that hold more than one component."""
     large = known.groupBy("node").agg(
@@ -178,54 +205,78 @@ def _mixed(known: DataFrame) -> DataFrame:
     return known.drop("label").join(large, "node")
 
 
-def _branch(members: DataFrame, codes: DataFrame) -> DataFrame:
-    """Each member follows its tokens at the positions that the node's path picks."""
-    picks = F.explode(F.sequence(F.lit(1), F.lit(BRANCHES)))
-    place = F.pmod(F.xxhash64("node", "pick"), F.lit(TOKENS - TREES)) + TREES
+def _branch(members: DataFrame, codes: DataFrame, depth: int) -> DataFrame:
+    """Each member follows its tokens at the positions that its tree and node pick.
+
+    The root of a tree orders the positions, so those of two levels differ.
+    """
+    picks = F.explode(F.sequence(F.lit(0), F.pmod(F.xxhash64("node"), F.lit(2)).cast("int")))
+    place = F.pmod(F.pmod(F.xxhash64("root"), F.lit(TOKENS - TREES)) + 2 * depth + F.col("pick"),
+                   F.lit(TOKENS - TREES)) + TREES
     children = members.join(codes, "class").withColumn("pick", picks).withColumn(
-        "place", place.cast("int")).select(
-            "class", F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"))
-    children = children.distinct()
+        "place", place.cast("int")).select("class", "root", F.xxhash64(
+            "node", "place", F.get("tokens", F.col("place"))).alias("node"))
     shared = children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return children.join(shared.select("node"), "node")
 
 
-def _candidates(known: DataFrame, last: bool) -> DataFrame:
+def _stars(known: DataFrame, order: Column, least_size: int = 1) -> DataFrame:
+    """(class, pivot): the members of each node with its first in order, across components."""
+    nodes = known.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(
+        order.alias("order"), F.col("class").alias("pivot"),
+        F.col("label").alias("pivot_label"))).alias("p")).where(F.col("size") > least_size)
+    return known.join(nodes.select("node", "p.pivot", "p.pivot_label"), "node").where(
+        "label != pivot_label")
+
+
+def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
+    return pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
+
+
+def _candidates(known: DataFrame, depth: int, last: bool) -> DataFrame:
     """Pairs across components: all of a small node, each with the pivot of a large one."""
     nodes = known.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.min(F.struct(F.xxhash64("class", "node").alias("order"), "class", "label")).alias("pivot"))
+        F.count(F.lit(1)).alias("size"), F.min("label").alias("low"),
+        F.max("label").alias("high")).where("low != high")
     small = nodes.where(F.lit(last) | (F.col("size") <= SMALL_NODE)).select("node")
     inside = known.join(small, "node")
     right = inside.select("node", F.col("class").alias("b"), F.col("label").alias("label_b"))
     pairs = inside.select("node", F.col("class").alias("a"), "label").join(right, "node").where(
         "a < b AND label != label_b").select("a", "b")
     if not last:
-        star = known.join(nodes.where(F.col("size") > SMALL_NODE), "node").where(
-            "label != pivot.label").select(F.least("class", "pivot.class").alias("a"),
-                                           F.greatest("class", "pivot.class").alias("b"))
-        pairs = pairs.unionByName(star)
+        pairs = pairs.unionByName(_ordered(_stars(known, F.xxhash64(
+            "class", "node", F.lit(depth)), SMALL_NODE), "class", "pivot"))
     return pairs.distinct()
 
 
-def _confirmed(pairs: DataFrame, codes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose tokens agree enough and whose full sets are similar."""
+def _agreeing(pairs: DataFrame, one: str, other: str, codes: DataFrame,
+              percent: int) -> DataFrame:
+    """The pairs whose sizes and tokens allow them to be similar, with the number of equal tokens."""
     # One byte of each token is enough for the estimate and keeps the rows short.
-    code = codes.select("class", "n", F.transform("tokens", lambda t: (t.bitwiseAND(255) - 128).cast(
-        "tinyint")).alias("code"))
-    side = lambda c: code.select(F.col("class").alias(c), F.col("n").alias(f"n_{c}"),
-                                 F.col("code").alias(f"code_{c}"))
-    agree = F.aggregate(F.zip_with("code_a", "code_b", lambda x, y: (x == y).cast("int")),
-                        F.lit(0), lambda total, one: total + one)
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (agree >= int(LEAST_AGREEMENT * TOKENS))).select("a", "b")
-    likely = cut_lineage(likely, "near-likely")
+    code = codes.select("class", "n", F.transform("tokens", lambda t: (
+        t.bitwiseAND(255) - 128).cast("tinyint")).alias("code"))
+    side = lambda c, k: code.select(F.col("class").alias(c), F.col("n").alias(f"n{k}"),
+                                    F.col("code").alias(f"code{k}"))
+    agree = F.aggregate(F.zip_with("code1", "code2", lambda x, y: (x == y).cast("int")),
+                        F.lit(0), lambda total, equal: total + equal)
+    return pairs.join(side(one, 1), one).join(side(other, 2), other).where(
+        100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")).select(
+        one, other, agree.alias("agree")).where(F.col("agree") >= int(LEAST_AGREEMENT * TOKENS))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar."""
+    likely = cut_lineage(pairs.select("a", "b").distinct(), "near-likely")
+    # Only the sets that are asked for are shuffled, if their list is short enough to broadcast.
+    wanted = likely.select(F.col("a").alias("class")).unionByName(
+        likely.select(F.col("b").alias("class"))).distinct()
+    if 2 * likely.count() <= MOST_BROADCAST:
+        sets = sets.join(F.broadcast(wanted), "class", "left_semi")
     full = likely.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")),
                        "a").join(sets.select(F.col("class").alias("b"),
                                              F.col("shingles").alias("set_b")), "b")
-    return map_arrow(full.select("a", "b", "set_a", "set_b"), _comparing(percent),
-                     "a bigint, b bigint")
+    return cut_lineage(map_arrow(full.select("a", "b", "set_a", "set_b"), _comparing(percent),
+                                 "a bigint, b bigint").distinct(), "near-links")
 
 
 def _comparing(percent: int):
@@ -241,9 +292,25 @@ def _comparing(percent: int):
     return run
 
 
-def _more(links: DataFrame | None, new: DataFrame) -> DataFrame:
-    new = new if links is None else links.unionByName(new)
-    return cut_lineage(new.distinct(), "near-links")
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels after more links: components of the graph of the labels so far."""
+    if labels is None:
+        return _components(links)
+    for side in ("a", "b"):
+        links = links.join(labels.select(F.col("class").alias(side), F.col("label").alias(
+            f"label_{side}")), side, "left").withColumn(
+                f"label_{side}", F.coalesce(f"label_{side}", side))
+    bridges = cut_lineage(links.where("label_a != label_b").select("a", "b", "label_a", "label_b"),
+                          "near-bridges")
+    if bridges.isEmpty():
+        return labels
+    above = _components(_ordered(bridges, "label_a", "label_b").distinct()).select(
+        F.col("class").alias("label"), F.col("label").alias("above"))
+    alone = [bridges.select(F.col(c).alias("class"), F.col(f"label_{c}").alias("label"))
+             for c in ("a", "b")]
+    every = labels.unionByName(alone[0]).unionByName(alone[1]).distinct()
+    return cut_lineage(every.join(above, "label", "left").select(
+        "class", F.coalesce("above", "label").alias("label")), "near-labels")
 
 
 def _both(links: DataFrame) -> DataFrame:

@@ -198,9 +198,11 @@ def test_components(documents, corpus, odd, empty):
     assert left.columns == odd.columns
 
 
-def test_large_groups_and_chains(spark, monkeypatch):
+@pytest.mark.parametrize("pairs", [0, 4])
+def test_large_groups_and_chains(spark, monkeypatch, pairs):
     """Near copies of one text, a chain of small changes, and a passage that many texts share."""
     monkeypatch.setattr(neardup, "SMALL_NODE", 4)
+    monkeypatch.setattr(neardup, "PAIRS_PER_CLASS", pairs)
     rng = random.Random(6)
     first, passage = prose(rng, 80), prose(rng, 60)
     rows = [first] + [near_copy(rng, first, rng.randint(1, 5)) for _ in range(60)]
