@@ -130,3 +130,14 @@ def test_late_sync_only_missing_touches_incomplete_rows_only(data):
     changed = late.where(F.col("sync_status") == v.SYNCED_LATE).select("firm_id")
     whole = data.synced.where(" AND ".join(f"{c} IS NOT NULL" for c in v.ID_COLS))
     assert count(changed.join(whole, "firm_id", "left_semi")) == 0
+
+
+@pytest.mark.parametrize("option, mode", [("C", "reference"), ("C", "strict"), ("A", "reference")])
+def test_ids_of_deleted_firms_are_not_used_again(data, option, mode):
+    """A new firm must not inherit the patients and claims of a deleted one."""
+    before = {r[0] for r in data.firm.select("firm_id").collect()}
+    done, _ = synced(Tables(data.firm, data.oa, data.pat, data.claims), data.ts, option, mode)
+    new = {r[0] for r in done.where("sync_status = 'NEW_FROM_OA'").select("firm_id").collect()}
+    facts = data.pat.select("insurance_firm_id").unionByName(data.claims.select("insurance_firm_id"))
+    pointed_at = {r[0] for r in facts.distinct().collect()}
+    assert new and min(new) > max(before) and not new & pointed_at

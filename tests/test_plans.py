@@ -5,8 +5,8 @@ import re
 import pytest
 
 from firmalign.catalog.queries import Q
-from firmalign.operators.mutations import add_tracking_columns
-from firmalign.operators.references import top_firms
+from firmalign.operators.mutations import add_tracking_columns, fix_orphans, reassign_patients
+from firmalign.operators.references import orphans, top_firms
 from firmalign.operators.views import v_sync_dashboard
 
 CASES = [
@@ -57,3 +57,14 @@ def test_facts_are_counted_before_they_are_joined(data, no_broadcast):
     tree = plan_of(top_firms(add_tracking_columns(data.firm), data.pat))
     join, scan = tree.index("Join"), tree.index("orders.parquet")
     assert tree.index("partial_count(1)") < scan and join < tree.index("partial_count(1)")
+
+
+def test_the_fact_table_is_read_once(data):
+    mapping = data.firm.selectExpr("firm_id AS old_firm_id", "firm_id + 1 AS new_firm_id",
+                                   "payer_id AS old_payer_id")
+    for df in (orphans(data.pat, data.firm, "patient_insurance_id"),
+               reassign_patients(data.pat, mapping),
+               fix_orphans(data.pat, data.firm, mode="null"),
+               fix_orphans(data.pat, data.firm, mode="delete")):
+        tree = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Relation \[[^\]]*o_orderkey", tree)) == 1

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firmalign.operators import gaps as g, mutations as mu, references as r
-from firmalign.operators.skew import MIN_HOT_ROWS, grid_join, hot_keys, lookup
+from firmalign.operators.skew import MIN_HOT_ROWS, grid_join, hot_keys, lookup, salts_of
 
 
 @pytest.fixture
@@ -61,3 +61,26 @@ def test_fact_operators(facts, firms, split):
                        ("delete", {k: f for k, f in ids.items() if k not in orphans})):
         assert {x[0]: x[1] for x in mu.fix_orphans(facts, firm, mode=mode).select(
             "patient_insurance_id", g.FK).collect()} == want
+
+
+def test_as_many_hot_keys_as_partitions_get_salts(spark, split):
+    """1,500 keys above a fair share of 2,000 partitions; none may be left to one task."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        rows = spark.range(300_000).selectExpr("id", "id % 1500 AS k")
+        hot = hot_keys(rows, "k")
+        assert len(hot) == 1500 and all(n >= 2 for n in hot.values())
+        salts = spark.range(1600).select("id", salts_of(hot, F.col("id")).alias("n")).collect()
+        assert all(r_["n"] == hot.get(r_["id"], 1) for r_ in salts)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_a_key_are_spread_in_the_same_join(facts, firms, how):
+    firm = firms([(i, f"P{i}", f"n{i}") for i in range(30)])
+    ids = firm.select(F.col("firm_id").alias(g.FK))
+    tree = lookup(facts, ids, g.FK, "patient_insurance_id", how=how
+                  )._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in tree and "pmod" in tree
