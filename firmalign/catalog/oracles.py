@@ -185,9 +185,9 @@ B: dict[str, str] = {
     "pat": """select o_orderkey as patient_insurance_id,
         case when o_orderkey % 203 = 0 then null when o_orderkey % 101 = 0 then cust + 10000000
              else cust end as insurance_firm_id from (select o_orderkey,
-             case when o_custkey % 3 = 0 then o_custkey - 1 else o_custkey end as cust from orders)""",
+             case when o_custkey = 0 then 1 when o_custkey % 3 = 0 then o_custkey - 1 else o_custkey end as cust from orders)""",
     "claims": """select l_orderkey * 10 + l_linenumber as claim_id,
-        case when l_orderkey % 211 = 0 then null when o_custkey % 4 = 0 then o_custkey - 1
+        case when l_orderkey % 211 = 0 then null when o_custkey = 0 then 1 when o_custkey % 4 = 0 then o_custkey - 1
              else o_custkey end as insurance_firm_id
         from lineitem join orders on l_orderkey = o_orderkey""",
     "feed": f"""select payer_id, name, tx as "transaction" from oa1
@@ -934,6 +934,11 @@ S: dict[str, str] = {
         where {_NEEDS_REVIEW} order by review_reason, name nulls first, firm_id limit 10""",
     "run_sync": f"select {TABLE_COLS} from synced",
     "run_sync__option_c_reference": f"select {TABLE_COLS} from shaken",
+    "run_sync__published": f"select {TABLE_COLS} from synced",
+    "run_sync__option_b_patients": "select * from moved",
+    "rollback__version": "select * from tracked",
+    "snapshot__restore": "select * from firm",
+    "run_usage_cleanup__published": f"select {TABLE_COLS} from cleaned_ref",
     "run_usage_cleanup": f"select {TABLE_COLS} from cleaned_ref",
     "run_usage_cleanup__safe": f"select {TABLE_COLS} from cleaned_safe",
 }

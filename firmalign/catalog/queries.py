@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -11,10 +12,12 @@ from ..functions import expressions as e, vocabulary as v
 from ..operators import (
     gaps as g, matching as m, mutations as mu, names as n, profiling as p, references as r,
     usage as u, views as w)
-from ..plans.sync import Tables, synced
-from ..plans.usage_cleanup import cleaned
+from ..plans.sync import Tables, run_sync, synced
+from ..plans.usage_cleanup import cleaned, run_usage_cleanup
 from ..sources import fixtures as fx
-from ..sources.versions import cut_lineage
+from ..sources.tables import load_tables
+from ..sources.versions import (
+    VersionedTable, checkpoint_root, cut_lineage, restore, snapshot)
 
 
 class Data:
@@ -101,17 +104,40 @@ class Data:
         return cleaned(self.tables, self.ts, "reference")
 
 
+def _folder(d: Data, name: str) -> str:
+    return f"{checkpoint_root(d.spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _load_tables(d: Data) -> DataFrame:
+    """The five tables written to a shared folder and read back by the reader."""
     parts = {"insurance_firm": d.firm, "insurance_firm_oa": d.oa, "patient_insurance": d.pat,
              "pms_claims": d.claims, "payers_oa": d.feed}
-    out = None
+    folder = _folder(d, "tables")
     for name, df in parts.items():
+        df.write.parquet(f"{folder}/{name}")
+    out = None
+    for name, df in load_tables(d.spark, folder).items():
         row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count")
         out = row if out is None else out.unionByName(row)
     return out
 
 
+def _published(d: Data, option: str = "A") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(firms, patients, firms rolled back to the backup) after a published sync."""
+    firms, patients = (VersionedTable(_folder(d, n)) for n in ("firms", "patients"))
+    tables = Tables(d.firm_ids if option == "B" else d.firm, d.oa, d.pat, d.claims)
+    report = run_sync(tables, firms, d.ts, option, patients_target=patients)
+    done = firms.read(d.spark)
+    return done, patients.read(d.spark), firms.rollback(d.spark, report["backup"])
+
+
+def _published_cleanup(d: Data) -> DataFrame:
+    target = VersionedTable(_folder(d, "cleaned"))
+    run_usage_cleanup(d.tables, target, d.ts, "reference")
+    return target.read(d.spark)
+
+
 def _pairs(d: Data, key_mode: str, how: str) -> DataFrame:
     oa = d.oa if key_mode == "multi" else d.oa1
     return m.match_pairs(d.firm, oa, key_mode, how)
@@ -390,6 +416,11 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     # whole runs
     "run_sync": lambda d: d.synced,
     "run_sync__option_c_reference": lambda d: d.shaken,
+    "run_sync__published": lambda d: _published(d)[0],
+    "run_sync__option_b_patients": lambda d: _published(d, "B")[1],
+    "rollback__version": lambda d: _published(d)[2],
+    "snapshot__restore": lambda d: restore(d.spark, snapshot(d.firm, _folder(d, "snapshot"))),
+    "run_usage_cleanup__published": _published_cleanup,
     "run_usage_cleanup": lambda d: d.cleaned,
     "run_usage_cleanup__safe": lambda d: cleaned(d.tables, d.ts, "safe"),
 }

@@ -70,27 +70,56 @@ def check_gate(profile: DataFrame, max_no_match: float = 30.0) -> dict:
     return {"firms": row["firms"], "unmatched": row["unmatched"], "unmatched_share": share}
 
 
+def check_quality(firm: DataFrame, max_blank: float = 30.0) -> dict:
+    """Stop if more than ``max_blank`` percent of the firms have neither an id nor a name."""
+    blank = (F.coalesce("payer_id", F.lit("")) == "") & (F.coalesce("name", F.lit("")) == "")
+    row = firm.agg(F.count(F.lit(1)).alias("n"), F.count_if(blank).alias("blank")).first()
+    share = 100.0 * row["blank"] / row["n"] if row["n"] else 0.0
+    if share > max_blank:
+        raise SyncStopped(f"{share:.2f}% of the firms have no id and no name (limit {max_blank}%)")
+    return {"blank_share": share}
+
+
 def run_sync(tables: Tables, target: VersionedTable, run_ts: Column, option: str = "A",
-             mode: str = "strict", max_no_match: float = 30.0) -> dict:
-    """Check, back up, sync and publish a new version of the firm table; returns the counts.
+             mode: str = "strict", max_no_match: float = 30.0,
+             patients_target: VersionedTable | None = None, max_orphans: int | None = None,
+             max_blank: float = 30.0) -> dict:
+    """Check, back up, sync and publish new versions of the firm and patient tables.
 
     The match profile is written once to the shared checkpoint folder, where the check, the
-    update and the deletion read it back, so a lost executor costs no second match.
+    update and the deletion read it back, so a lost executor costs no second match. Both tables
+    are backed up first; option B moves patients and therefore needs ``patients_target``. With
+    ``max_orphans`` the run stops before anything is made current if more patients would be left
+    without their firm.
     """
+    if option == "B" and patients_target is None:
+        raise ValueError("option B moves patients: name the table to publish them in")
     spark = tables.firm.sparkSession
     profile = cut_lineage(match_profile(tables.firm, tables.oa), "profile")
-    report = check_gate(profile, max_no_match)
+    report = check_gate(profile, max_no_match) | check_quality(tables.firm, max_blank)
     firm, pat = synced(tables, run_ts, option, mode, profile)
-    backup = target.publish(add_tracking_columns(tables.firm), label="backup")
-    version = target.publish(firm, label="synced")
-    done = target.read(spark)
+    report["backup"] = target.publish(add_tracking_columns(tables.firm), label="backup")
+    if patients_target is not None:
+        report["patients_backup"] = patients_target.publish(tables.patients, label="backup")
+        moved = patients_target.write(pat, label="synced")
+        pat = patients_target.read(spark, moved)
+    version = target.write(firm, label="synced")
+    done = target.read(spark, version)
+    report["orphaned_patients"] = orphan_total(pat, done).first()[0]
+    if max_orphans is not None and report["orphaned_patients"] > max_orphans:
+        raise SyncStopped(f"{report['orphaned_patients']} patients would have no firm "
+                          f"(limit {max_orphans})")
+    # Patients first: until the firms follow, those they are moved to exist in the old table, too.
+    if patients_target is not None:
+        patients_target.point(spark, moved)
+        report["patients_version"] = moved
+    target.point(spark, version)
     statuses = done.agg(
         F.count(F.lit(1)).alias("final_count"),
         F.count_if(F.col("sync_status").isin(*v.MATCHED)).alias("updated"),
         F.count_if(F.col("sync_status") == v.NEW_FROM_OA).alias("inserted")).first()
     report.update(
-        backup=backup, version=version, updated=statuses["updated"],
-        inserted=statuses["inserted"], final_count=statuses["final_count"],
-        deleted=report["firms"] + statuses["inserted"] - statuses["final_count"],
-        orphaned_patients=orphan_total(pat, done).first()[0], patients=pat)
+        version=version, updated=statuses["updated"], inserted=statuses["inserted"],
+        final_count=statuses["final_count"],
+        deleted=report["firms"] + statuses["inserted"] - statuses["final_count"])
     return report

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import vocabulary as v
-from ..operators.mutations import delete_unused, insert_new, update_active
+from ..operators.mutations import (
+    add_tracking_columns, delete_unused, insert_new, update_active)
 from ..operators.references import cleanup_summary
 from ..sources.versions import VersionedTable
 from .sync import Tables
@@ -27,9 +28,10 @@ def cleaned(tables: Tables, run_ts: Column, scope: str = "safe") -> DataFrame:
 
 def run_usage_cleanup(tables: Tables, target: VersionedTable, run_ts: Column,
                       scope: str = "safe") -> dict:
-    """Clean up, publish a new version and return its counters."""
+    """Back up, clean up, publish a new version and return its counters."""
+    backup = target.publish(add_tracking_columns(tables.firm), label="backup")
     version = target.publish(cleaned(tables, run_ts, scope), label="cleaned")
     done = target.read(tables.firm.sparkSession)
     report = cleanup_summary(done, tables.patients, tables.claims).first().asDict()
-    report.update(version=version, final_count=done.agg(F.count(F.lit(1))).first()[0])
+    report.update(backup=backup, version=version, final_count=done.agg(F.count(F.lit(1))).first()[0])
     return report

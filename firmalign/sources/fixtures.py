@@ -13,6 +13,9 @@ from ..functions import vocabulary as v
 # fixed values: feed transactions, and the run time stamped on derived results
 TRANSACTIONS = ("837P Professional", "837I Institutional", "270 Eligibility")
 RUN_TS = "2024-01-01 00:00:00"
+# A customer whose number the divisor divides hands its rows to the one before, the first to the next.
+_NEIGHBOUR = ("CAST(o_custkey + CASE WHEN o_custkey % {0} <> 0 THEN 0 WHEN o_custkey = 0 THEN 1 "
+              "ELSE -1 END AS BIGINT)")
 
 
 def run_ts():
@@ -74,9 +77,9 @@ def insurance_firm_oa(spark: SparkSession, path: str, key_mode: str = "multi") -
 
 
 def patient_insurance(spark: SparkSession, path: str) -> DataFrame:
-    # Every third firm has no patients: its orders point at the firm before it.
+    # Every third firm has no patients: its orders point at a neighbour.
     order = F.col("o_orderkey").cast("bigint")
-    cust = F.expr("CAST(o_custkey - IF(o_custkey % 3 = 0, 1, 0) AS BIGINT)")
+    cust = F.expr(_NEIGHBOUR.format(3))
     firm = (F.when(order % 203 == 0, F.lit(None)).when(order % 101 == 0, cust + 10000000)
             .otherwise(cust))
     return _read(spark, path, "orders").select(
@@ -87,7 +90,7 @@ def pms_claims(spark: SparkSession, path: str) -> DataFrame:
     line = _read(spark, path, "lineitem").select("l_orderkey", "l_linenumber")
     # Every fourth firm has no claims, in the same way.
     order = _read(spark, path, "orders").selectExpr(
-        "o_orderkey", "CAST(o_custkey - IF(o_custkey % 4 = 0, 1, 0) AS BIGINT) AS cust")
+        "o_orderkey", _NEIGHBOUR.format(4) + " AS cust")
     key = F.col("l_orderkey").cast("bigint")
     firm = F.when(key % 211 == 0, F.lit(None)).otherwise(F.col("cust"))
     return line.join(order, line.l_orderkey == order.o_orderkey).select(

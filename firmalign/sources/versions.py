@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -53,33 +54,51 @@ def restore(spark: SparkSession, path: str) -> DataFrame:
 
 
 class VersionedTable:
-    """A table published as immutable versions below one path."""
+    """A table published as immutable versions below one path.
+
+    Pointers are numbered. The highest number names the current version, and a number that exists
+    is refused, so of two writers that publish at the same time one fails.
+    """
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
 
     def publish(self, df: DataFrame, label: str = "v") -> str:
         """Write a new version, then make it the current one."""
+        version = self.write(df, label)
+        self.point(df.sparkSession, version)
+        return version
+
+    def write(self, df: DataFrame, label: str = "v") -> str:
+        """Write a version that isn't the current one yet."""
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         version = f"{stamp}-{label}-{uuid.uuid4().hex[:8]}"
         df.write.mode("errorifexists").parquet(f"{self.path}/versions/{version}")
-        self._point(df.sparkSession, version)
         return version
 
-    def _point(self, spark: SparkSession, version: str) -> None:
-        # Appending a line is atomic per file; the newest line wins.
-        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-        spark.createDataFrame([(stamp, version)], "at string, version string").coalesce(
-            1).write.mode("append").json(f"{self.path}/current")
+    def _pointers(self, spark: SparkSession) -> list:
+        try:
+            rows = spark.read.schema("version string, n bigint").json(f"{self.path}/current")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return rows.orderBy(rows["n"].desc()).limit(1).collect()
+
+    def point(self, spark: SparkSession, version: str) -> None:
+        """Make a written version the current one."""
+        last = self._pointers(spark)
+        number = last[0]["n"] + 1 if last else 1
+        spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode(
+            "errorifexists").json(f"{self.path}/current/n={number}")
 
     def current(self, spark: SparkSession) -> str:
-        rows = spark.read.schema("at string, version string").json(f"{self.path}/current")
-        return rows.orderBy(rows["at"].desc()).first()["version"]
+        return self._pointers(spark)[0]["version"]
 
     def read(self, spark: SparkSession, version: str | None = None) -> DataFrame:
         return spark.read.parquet(f"{self.path}/versions/{version or self.current(spark)}")
 
     def rollback(self, spark: SparkSession, version: str) -> DataFrame:
         """Make an earlier version, such as a backup, the current one again."""
-        self._point(spark, version)
+        self.point(spark, version)
         return self.read(spark)

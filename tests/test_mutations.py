@@ -42,7 +42,7 @@ def test_update_is_idempotent_and_keeps_old_values(data):
 
 def test_options(data):
     before = r.orphan_total(data.pat, data.firm).first()[0]
-    assert r.orphan_total(data.pat, data.synced).first()[0] == before == 14
+    assert r.orphan_total(data.pat, data.synced).first()[0] == before == 22
     everything, _ = synced(data.tables, run_ts(), "C")
     expected = g.prediction_summary(data.firm, data.oa, "strict").first()["expected_final_count"]
     assert count(everything) == expected
@@ -86,7 +86,7 @@ def test_run_sync_publishes_and_can_be_rolled_back(spark, data, tmp_path):
     assert rows(target.read(spark)) == rows(data.synced)
     counts = mu.mutation_counts(data.firm, data.oa, data.pat).first()
     assert (report["updated"], report["deleted"], report["inserted"]) == tuple(counts)
-    assert report["orphaned_patients"] == 14
+    assert report["orphaned_patients"] == 22
     assert rows(target.rollback(spark, report["backup"])) == rows(mu.add_tracking_columns(data.firm))
     with pytest.raises(SyncStopped):
         check_gate(m.match_profile(data.firm, data.oa), max_no_match=5)
@@ -141,3 +141,29 @@ def test_ids_of_deleted_firms_are_not_used_again(data, option, mode):
     facts = data.pat.select("insurance_firm_id").unionByName(data.claims.select("insurance_firm_id"))
     pointed_at = {r[0] for r in facts.distinct().collect()}
     assert new and min(new) > max(before) and not new & pointed_at
+
+
+def test_option_b_needs_a_place_for_the_patients(data, tmp_path):
+    with pytest.raises(ValueError, match="publish"):
+        run_sync(data.tables, VersionedTable(str(tmp_path / "firm")), run_ts(), "B")
+
+
+def test_nothing_becomes_current_when_a_gate_stops(spark, data, tmp_path):
+    firms, patients = VersionedTable(str(tmp_path / "f")), VersionedTable(str(tmp_path / "p"))
+    with pytest.raises(SyncStopped, match="no firm"):
+        run_sync(data.tables, firms, run_ts(), "C", patients_target=patients, max_orphans=0)
+    assert "backup" in firms.current(spark) and "backup" in patients.current(spark)
+    with pytest.raises(SyncStopped, match="no id and no name"):
+        run_sync(data.tables, firms, run_ts(), max_blank=-1.0)
+
+
+def test_a_pointer_number_is_used_once(spark, tmp_path, monkeypatch):
+    table = VersionedTable(str(tmp_path / "t"))
+    first = table.publish(spark.range(1))
+    stale = table._pointers(spark)
+    table.publish(spark.range(2))
+    monkeypatch.setattr(table, "_pointers", lambda _: stale)
+    with pytest.raises(Exception, match="already exists"):
+        table.point(spark, first)
+    monkeypatch.undo()
+    assert table.read(spark).count() == 2 and table.rollback(spark, first).count() == 1
