@@ -102,7 +102,10 @@ def read_payloads(archive: Archive, with_bytes: bool = False) -> DataFrame:
 
 def read_records(archive: Archive, with_bytes: bool = False) -> DataFrame:
     """The archived records, joined with their payloads; a digest that differs is an error."""
-    found = read_headers(archive).join(read_payloads(archive, with_bytes), "digest", "left")
+    # Spark judges both sides by the short lists of files they are read from, so it would broadcast
+    # payloads of any size; the hint makes it shuffle both.
+    payloads = read_payloads(archive, with_bytes).hint("merge")
+    found = read_headers(archive).join(payloads, "digest", "left")
     same = F.col("sha1").eqNullSafe(F.col("found_sha1"))
     return found.withColumn("sha1", F.when(same, F.col("sha1")).otherwise(
         F.raise_error(F.concat(F.lit("payload differs from its record: "), "digest")).cast(
