@@ -2,11 +2,12 @@
 
 Documents with the same set of word shingles form one class, and the classes are joined. Each of
 ``TREES`` independent trees puts a class into a node by one minwise token. A small node is compared
-exhaustively. A large one is compared with a pivot of its own and then branches: the path picks one
-or two further token positions at random, new ones at every level, and a class follows each of them
-to the node of the token it has there. Two sets of similarity s agree on a token with probability s,
-so they part in all trees with probability (1 - s) ** TREES. With 1.5 branches on average a pair of
-similarity 0.8 stays together in 1.2 nodes for each one before, and pairs below 2/3 die out. Every candidate is confirmed on the full sets.
+exhaustively. A large one is compared with a pivot of its own and then branches: each node draws
+two token positions of its own, and a class follows both to the nodes of the tokens it has there. Two
+sets of similarity s agree on a token with probability s, so they part in all trees with probability
+(1 - s) ** TREES. As the nodes of a pair draw apart from each other, a pair of similarity 0.8 stays
+together in 1.6 nodes for each one before, and pairs below 1/2 die out. Every candidate is confirmed
+on the full sets.
 
 Before any node is compared exhaustively, each class is compared with one pivot only, the one that
 it meets in most nodes, in a few rounds. A node whose members all belong to one component by confirmed links
@@ -27,7 +28,7 @@ from firmalign.llm import textwords
 from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table
 
 SHINGLE, PERCENT = 4, 80
-TOKENS, TREES, SMALL_NODE, MAX_DEPTH = 40, 12, 4, 14
+TOKENS, TREES, SMALL_NODE, MAX_DEPTH = 40, 12, 4, 8
 #: So many pairs across components for each class may be compared without further branching.
 PAIRS_PER_CLASS = 4
 #: Ids of classes that are broadcast at most, eight bytes each.
@@ -135,8 +136,7 @@ def _join(source: DataFrame, classes: DataFrame, shingle: int,
           percent: int) -> DataFrame:
     """(class, label) of all classes that have a confirmed link."""
     start = classes.select("class", "n", F.posexplode(F.slice("tokens", 1, TREES)).alias(
-        "tree", "token")).select("class", F.xxhash64("tree", "token").alias("node")).withColumn(
-            "root", F.col("node"))
+        "tree", "token")).select("class", F.xxhash64("tree", "token").alias("node"))
     shared = start.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = start.join(shared.select("node"), "node")
     # Classes met in too few trees to be similar to any other leave the join here.
@@ -166,7 +166,7 @@ def _join(source: DataFrame, classes: DataFrame, shingle: int,
                                             percent))
         if last:
             break
-        members = cut_lineage(_branch(_mixed(_labelled(members, labels)), codes, depth),
+        members = cut_lineage(_branch(_mixed(_labelled(members, labels)), codes),
                               "near-nodes")
         if members.isEmpty():
             break
@@ -205,17 +205,15 @@ def _mixed(known: DataFrame) -> DataFrame:
     return known.drop("label").join(large, "node")
 
 
-def _branch(members: DataFrame, codes: DataFrame, depth: int) -> DataFrame:
-    """Each member follows its tokens at the positions that its tree and node pick.
-
-    The root of a tree orders the positions, so those of two levels differ.
-    """
-    picks = F.explode(F.sequence(F.lit(0), F.pmod(F.xxhash64("node"), F.lit(2)).cast("int")))
-    place = F.pmod(F.pmod(F.xxhash64("root"), F.lit(TOKENS - TREES)) + 2 * depth + F.col("pick"),
-                   F.lit(TOKENS - TREES)) + TREES
-    children = members.join(codes, "class").withColumn("pick", picks).withColumn(
-        "place", place.cast("int")).select("class", "root", F.xxhash64(
-            "node", "place", F.get("tokens", F.col("place"))).alias("node"))
+def _branch(members: DataFrame, codes: DataFrame) -> DataFrame:
+    """Each member follows its tokens at the two different positions that its node draws."""
+    free = TOKENS - TREES
+    first = F.pmod(F.xxhash64("node"), F.lit(free))
+    step = F.col("pick") * (1 + F.pmod(F.xxhash64("node", F.lit(1)), F.lit(free - 1)))
+    children = members.join(codes, "class").withColumn("pick", F.explode(F.array(
+        F.lit(0), F.lit(1)))).withColumn(
+            "place", (F.pmod(first + step, F.lit(free)) + TREES).cast("int")).select(
+                "class", F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"))
     shared = children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return children.join(shared.select("node"), "node")
 

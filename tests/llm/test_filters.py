@@ -216,6 +216,41 @@ def test_large_groups_and_chains(spark, monkeypatch, pairs):
     check_components(frame(spark, rows), rows)
 
 
+def test_branches_keep_pairs_together(spark):
+    """Pairs of similarity 0.8 whose nodes are all large still share a node at the last level."""
+    rng = random.Random(31)
+    codes, members = [], []
+    for k in range(300):
+        one = [rng.getrandbits(60) for _ in range(neardup.TOKENS)]
+        other = [t if rng.random() < .8 else rng.getrandbits(60) for t in one]
+        codes += [(2 * k, one), (2 * k + 1, other)]
+        members += [(2 * k + side, 100 * k + tree) for tree in range(neardup.TREES)
+                    for side in (0, 1) if one[tree] == other[tree]]
+    codes = spark.createDataFrame(codes, "class bigint, tokens array<bigint>").cache()
+    members = spark.createDataFrame(members, "class bigint, root bigint").select(
+        "class", F.xxhash64("root").alias("node"))
+    for _ in range(neardup.MAX_DEPTH):
+        members = neardup.cut_lineage(neardup._branch(members, codes), "near-nodes")
+    assert members.select("class").distinct().count() == 600
+
+
+def test_pairs_in_a_hot_template_are_found(spark, monkeypatch):
+    """Isolated pairs among many texts that are mostly template: all their nodes are large."""
+    monkeypatch.setattr(neardup, "PAIRS_PER_CLASS", 0)
+    rng = random.Random(21)
+    template = prose(rng, 170).replace("\n", " ")
+    rows = [template + " " + prose(rng, 40).replace("\n", " ") for _ in range(150)]
+    for text in rows[:30]:
+        own = text.split(" ")
+        for at in range(180, 205, 5):
+            own[at] = "changed"
+        rows.append(" ".join(own))
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    assert len({c for _, _, c in components_by_hand(rows)}) == 150
+    check_components(frame(spark, rows), rows)
+
+
 # --- toxicity
 
 def toxic_rows(n=900):
