@@ -1,9 +1,9 @@
 """Quality rules with cross-document line frequency.
 
 Normalised lines are hashed and the distinct documents of each host that hold a line are counted;
-documents with the same text count once, so exact copies do not make a line frequent. A line above
-both limits is removed, and a document that loses too much is rejected. The plain counts of a
-document's own text come first.
+documents with the same text count once, so exact copies do not make a line frequent. A line from
+the limit on is removed, whatever the size of its host, and a document that loses too much is
+rejected. The plain counts of a document's own text come first.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firmalign.llm import textwords
 from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table, texts_of
 
-#: A line is frequent in a host from so many distinct documents and so many percent of them on.
-LEAST_DOCS, LEAST_PERCENT = 20, 5
+#: A line is frequent in a host, large or small, from so many distinct documents on.
+LEAST_DOCS = 6
 #: A document is depleted if more than this percentage of its words is in frequent lines.
 MOST_LOST_PERCENT = 50
 MIN_WORDS, MAX_REPEAT_PERCENT, RUN = 10, 20, 5
@@ -81,7 +81,6 @@ def _facts(batches) -> Iterator[list]:
 
 
 def line_quality(docs: DataFrame, host: str = "source", least_docs: int = LEAST_DOCS,
-                 least_percent: float = LEAST_PERCENT,
                  most_lost_percent: float = MOST_LOST_PERCENT) -> DataFrame:
     """Counts, verdict and removed lines (numbers from 0) of every document.
 
@@ -97,13 +96,9 @@ def line_quality(docs: DataFrame, host: str = "source", least_docs: int = LEAST_
         "lines", "line_words")).alias("at", "line")).select(
             "uid", "host", "text_hash", "at", F.col("line.lines").alias("line"),
             F.col("line.line_words").alias("words")).where("line IS NOT NULL")
-    counts = held.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(
-        F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= least_docs)
-    hosts = facts.select("host", "text_hash").distinct().groupBy("host").agg(
-        F.count(F.lit(1)).alias("host_docs"))
-    frequent = cut_lineage(counts.join(hosts, "host").where(
-        F.col("docs") * 100 >= F.col("host_docs") * least_percent).select("host", "line"),
-        "frequent-lines")
+    frequent = cut_lineage(held.select("host", "line", "text_hash").distinct().groupBy(
+        "host", "line").agg(F.count(F.lit(1)).alias("docs")).where(
+            F.col("docs") >= least_docs).select("host", "line"), "frequent-lines")
     removed = held.join(frequent, ["host", "line"]).groupBy("uid").agg(
         F.sum("words").alias("lost"), F.array_sort(F.collect_list("at")).alias("removed_lines"))
     lost = F.coalesce("lost", F.lit(0))

@@ -151,6 +151,24 @@ def test_frequent_lines(spark):
         assert texts[k] == "\n".join(x for j, x in enumerate(own) if j not in gone)
 
 
+def test_planted_lines_of_a_hot_host_are_removed(spark):
+    """A line in 1% of a large host, and one in a small host, whatever share that is."""
+    rng = random.Random(18)
+    notice = "all rights of this notice belong to the owner of the page"
+    rows = []
+    for host, n, planted in (("hot", 3000, 30), ("small", 20, 8), ("few", 20, 3)):
+        for k in range(n):
+            own = " ".join(words(rng, 11))
+            rows.append((host, k < planted, f"{own}\n{notice}" if k < planted else own))
+    df = spark.createDataFrame([(k, h, t) for k, (h, _, t) in enumerate(rows)],
+                               "doc_id bigint, source string, text string")
+    result = {r["doc_id"]: r for r in lines.line_quality(df).collect()}
+    for k, (host, planted, _) in enumerate(rows):
+        gone = planted and host != "few"
+        assert result[k]["removed_lines"] == ([1] if gone else [])
+        assert result[k]["kept"] != gone
+
+
 # --- near duplicates
 
 def shingles(text, size=4):
