@@ -3,8 +3,8 @@
 The tokens of a page are its structural tags, told apart by their path of tags, classes and ids. For
 each host the tokens are grouped by their occurrence vector, the number of times they occur in each
 page: tokens with the same vector over enough pages form an equivalence class. Classes whose tokens
-hang below tokens of valid classes nest into the host's template. The slot of the template that
-holds most of the pages' text is the article; slots below it that hold mostly links are left out.
+hang below tokens of valid classes nest into the host's template. The deepest slot that leaves out no text
+but the host's constant text and, outside article and main, lists of links is the article slot.
 
 Vectors are never collected: a vector is compared by the exclusive or of hashes of (page, count),
 which Spark sums up per host and token with partial aggregation. Pages aren't shuffled by host
@@ -27,8 +27,8 @@ from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table, texts_
 
 #: A class is valid with so many pages, and this share of the pages of its host.
 LEAST_PAGES, LEAST_SHARE = 3, 0.5
-#: The article slot holds this share of the text at least; a slot of links has this share of links.
-ARTICLE_SHARE, LINK_SHARE = 0.6, 0.6
+#: A slot of links has this share of its text in links.
+LINK_SHARE = 0.6
 
 # Names from the HTML standard and usual class names.
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
@@ -67,7 +67,7 @@ def _signed(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "role", "chrome", "main", "chars", "links")
+    __slots__ = ("tag", "role", "chrome", "main", "chars", "links", "said", "own", "words")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         names = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(attributes)} \
@@ -84,7 +84,7 @@ class Element:
         header = tag == "header" and not (parent is not None and parent.main)
         self.chrome = inside or own or header
         self.main = (self.main or (parent is not None and parent.main)) and not self.chrome
-        self.chars = self.links = 0
+        self.chars = self.links = self.said = self.own = self.words = 0
 
 
 def events(html: str) -> Iterator[tuple]:
@@ -139,14 +139,21 @@ def events(html: str) -> Iterator[tuple]:
         yield "close", stack.pop()
 
 
-def page_tokens(html: str) -> list[tuple[int, int, int, int, int]]:
-    """(role, parent role, times, characters of text, of these in links) of each token of a page."""
+def _joined(said: int, more: int) -> int:
+    """The hash, as a bigint, of a text and the one that follows it."""
+    return (said * 1_000_003 + more + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def page_tokens(html: str) -> list[tuple]:
+    """(role, parent role, times, characters of text, of these in links, hash of the text, 1 in main
+    or article, characters outside other tokens, their hash) of each token of a page."""
     found: dict[int, list] = {}
     stack: list[Element] = []
     link = 0
     for kind, *rest in events(html):
         if kind == "open":
-            own = found.setdefault(rest[0].role, [stack[-1].role if stack else 0, 0, 0, 0])
+            own = found.setdefault(rest[0].role, [stack[-1].role if stack else 0, 0, 0, 0, 0,
+                                                 int(rest[0].main), 0, 0])
             own[1] += 1
             stack.append(rest[0])
         elif kind == "close":
@@ -154,13 +161,22 @@ def page_tokens(html: str) -> list[tuple[int, int, int, int, int]]:
             own = found[gone.role]
             own[2] += gone.chars
             own[3] += gone.links
+            own[4] = _joined(own[4], gone.said)
+            own[6] += gone.own
+            own[7] = _joined(own[7], gone.words)
             if stack and not gone.chrome:
                 stack[-1].chars += gone.chars
                 stack[-1].links += gone.links
+                stack[-1].said = _joined(stack[-1].said, gone.said)
         elif kind == "link":
             link = rest[0]
         elif kind == "text" and stack and not stack[-1].chrome:
-            n = len(rest[0].strip())
+            own_text = rest[0].strip()
+            n = len(own_text)
+            if n:
+                stack[-1].said = _joined(stack[-1].said, _signed(own_text))
+                stack[-1].own += n
+                stack[-1].words = _joined(stack[-1].words, _signed(own_text))
             stack[-1].chars += n
             stack[-1].links += n * link
     return [(role, *own) for role, own in found.items()]
@@ -204,7 +220,8 @@ def main_text(html: str, article: int | None = None, dropped: frozenset = frozen
 
 
 TOKENS = ("host string, page bigint, roles array<bigint>, parents array<bigint>, marks array<bigint>, "
-          "chars array<bigint>, links array<bigint>, once array<int>")
+          "chars array<bigint>, links array<bigint>, once array<int>, said array<bigint>, "
+          "main array<int>, own array<bigint>, words array<bigint>")
 
 
 def _tokens(batches) -> Iterator[list]:
@@ -215,7 +232,8 @@ def _tokens(batches) -> Iterator[list]:
             own = page_tokens(html)
             rows.append((host_of(url), page_id, [t[0] for t in own], [t[1] for t in own],
                          [_signed(f"{page_id} {url} {t[2]}") for t in own], [t[3] for t in own],
-                         [t[4] for t in own], [int(t[2] == 1) for t in own]))
+                         [t[4] for t in own], [int(t[2] == 1) for t in own], [t[5] for t in own],
+                         [t[6] for t in own], [t[7] for t in own], [t[8] for t in own]))
         yield [list(c) for c in zip(*rows, strict=True)]
 
 
@@ -227,15 +245,23 @@ def deduce(pages: DataFrame, least_pages: int = LEAST_PAGES,
         F.col("html").cast("string")), _tokens, TOKENS), "page-tokens")
     hosts = tokens.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     each = tokens.select("host", F.explode(F.arrays_zip(
-        "roles", "parents", "marks", "chars", "links", "once")).alias("t"))
+        "roles", "parents", "marks", "chars", "links", "once", "said", "main", "own",
+        "words")).alias("t"))
     roles = each.groupBy("host", F.col("t.roles").alias("role")).agg(
         F.count(F.lit(1)).alias("support"), F.bit_xor("t.marks").alias("vector"),
         F.first("t.parents").alias("parent"), F.sum("t.chars").alias("chars"),
-        F.sum("t.links").alias("links"), F.sum("t.once").alias("once"))
+        F.sum("t.links").alias("links"), F.sum("t.once").alias("once"),
+        (F.min("t.said") == F.max("t.said")).alias("constant"), F.max("t.main").alias("main"),
+        F.when(F.min("t.words") != F.max("t.words"), F.sum("t.own")).otherwise(0).alias("own"))
+    roles = cut_lineage(roles.join(hosts, "host").withColumn(
+        "often", (F.col("support") >= least_pages)
+        & (F.col("support") >= F.col("n_pages") * F.lit(least_share))), "page-roles")
+    # The text of slots that few pages have counts as text of the slot around them.
+    rare = roles.where("NOT often AND chars > 0").groupBy("host", F.col("parent").alias("role")).agg(
+        F.sum("chars").alias("rare"))
     # A host keeps at most 1 / least_share times the tokens of a page on average.
-    frequent = roles.join(hosts, "host").where(
-        (F.col("support") >= least_pages)
-        & (F.col("support") >= F.col("n_pages") * F.lit(least_share)))
+    frequent = roles.where("often").drop("often").join(rare, ["host", "role"], "left").withColumn(
+        "own", F.col("own") + F.coalesce("rare", F.lit(0))).drop("rare")
     return cut_lineage(frequent.groupBy("host").applyInPandas(
         _template, "host string, n_pages bigint, article bigint, dropped array<bigint>, "
                    "template array<bigint>"), "templates")
@@ -243,6 +269,7 @@ def deduce(pages: DataFrame, least_pages: int = LEAST_PAGES,
 
 def _template(rows: pd.DataFrame) -> pd.DataFrame:
     """Nest the valid classes of one host and choose its article slot."""
+    rows = rows.assign(**{c: 0 for c in ("own", "constant", "main") if c not in rows})
     by_role = {r.role: r for r in rows.itertuples()}
     valid: dict[int, bool] = {}
 
@@ -262,13 +289,17 @@ def _template(rows: pd.DataFrame) -> pd.DataFrame:
     if roots:
         root = max(roots, key=lambda r: (by_role[r].chars, r))
         article, vector = root, by_role[root].vector
+        aside = lambda r: not by_role[r].main and by_role[r].chars and (
+            by_role[r].constant or by_role[r].links >= LINK_SHARE * by_role[r].chars)
         while True:
             # Tokens of the root's own class, or near it, that occur once in a page.
-            inner = [r for r in template if by_role[r].parent == article
+            children = [r for r in template if by_role[r].parent == article]
+            left = by_role[article].own + sum(by_role[r].chars for r in children if not aside(r))
+            inner = [r for r in children if not aside(r)
                      and (by_role[r].vector == vector
                           or by_role[r].once == by_role[r].support
                           and by_role[r].support >= 0.9 * by_role[root].support)
-                     and by_role[r].chars >= ARTICLE_SHARE * by_role[root].chars]
+                     and by_role[r].chars >= max(left, 1)]
             if not inner:
                 break
             article = max(inner, key=lambda r: (by_role[r].chars, r))
@@ -278,8 +309,8 @@ def _template(rows: pd.DataFrame) -> pd.DataFrame:
             more = {r for r in template if by_role[r].parent in below} - below
             below |= more
             grew = bool(more)
-        dropped = [r for r in below - {article} if by_role[r].chars
-                   and by_role[r].links >= LINK_SHARE * by_role[r].chars]
+        dropped = [r for r in below - {article} if not by_role[article].main and aside(r)
+                   and not by_role[root].constant]
         if not by_role[root].chars:
             article = None
     return pd.DataFrame({"host": [rows["host"].iloc[0]], "n_pages": [int(rows["n_pages"].iloc[0])],

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -165,6 +166,30 @@ def test_main_text_of_templates(spark):
     assert templates.extract_text(none, templates.deduce(none)).count() == 0
 
 
+def test_the_article_slot_leaves_no_text_out(spark):
+    """Headline or intro beside a body, lists of references in an article, constant text around it."""
+    rng = random.Random(13)
+    rows, expected = [], {}
+    for k in range(24):
+        intro, body, more = prose(rng, 20), prose(rng, 70), prose(rng, 15)
+        links = "".join(f"<li><a href=/{j}>{prose(rng, 9)}</a>" for j in range(2))
+        host, html, kept = [
+            ("h", f"<article><h1>{intro}</h1><div class=body><p>{body}</div></article>", (intro, body)),
+            ("i", f"<article><div class=intro>{intro}</div><div class=body>{body}</div></article>",
+             (intro, body)),
+            ("r", f"<article><div class=body>{body}</div><ul class=refs>{links}</ul></article>", None),
+            ("c", f"<div>This page is part of our site</div><div class=wrap>{body}"
+                  + (f"<div class=rare>{more}</div>" if k == 3 else "") + "</div>",
+             (body, more) if k == 3 else (body,)),
+        ][k % 4]
+        rows.append((k, f"http://{host}.example/{k}", f"<html><body>{html}</body></html>"))
+        expected[k] = re.sub(r"\s+", " ", re.sub("<[^>]*>", " ", html)) if kept is None else " ".join(kept)
+    pages = page_frame(spark, rows)
+    found = templates.extract_text(pages, templates.deduce(pages)).collect()
+    assert {r["page_id"]: r["text"].split() for r in found} == {
+        k: t.split() for k, t in expected.items()}
+
+
 def test_classes_need_the_same_vector_and_valid_parents():
     import pandas as pd
     rows = pd.DataFrame([
