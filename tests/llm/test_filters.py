@@ -306,6 +306,18 @@ def test_toxicity_is_learnt_from_confirmed_and_unlabelled_texts(spark, odd, empt
     assert toxicity.score(df, unlearnt).where("score >= 0.5").count() == 0
 
 
+def test_very_long_texts_do_not_end_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_BYTES", 4000)
+    order = [r["id"] for r in spark.range(60).orderBy(F.xxhash64("id")).collect()]
+    size = {order[0]: 3990, order[1]: 4001}
+    docs = spark.createDataFrame([(k, "x" * size.get(k, 20)) for k in order],
+                                 "doc_id bigint, text string")
+    sizes = docs.select("doc_id", F.octet_length("text").alias("size"))
+    assert [len(t) for t in toxicity._texts(docs, sizes, 50)] == [20] * 50
+    few = sizes.where(F.col("size") > 20)
+    assert [len(t) for t in toxicity._texts(docs, few, 50)] == [3990]
+
+
 def test_held_out_labels_are_not_learnt(spark):
     rows = toxic_rows(300)
     df = frame(spark, [(k, t) for k, t, _ in rows])
