@@ -43,7 +43,7 @@ LEAST_AGREEMENT = 0.5
 LEAST_SHARED = 3
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = np.random.default_rng(12).integers(0, 1 << 63, TOKENS, np.uint64)
-CLASSES = "doc_id bigint, n_shingles bigint, class bigint, tokens array<bigint>"
+CLASSES = "doc_id bigint, n_shingles bigint, class bigint, tokens array<bigint>, text_hash bigint"
 
 
 def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> list[np.ndarray]:
@@ -80,7 +80,7 @@ def _classes(length: int):
                     tokens[k] = row
             ids = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little",
                                   signed=True) if len(s) else None for s in sets]
-            yield [batch.column(0), sizes, ids, tokens]
+            yield [batch.column(0), sizes, ids, tokens, batch.column(2)]
     return run
 
 
@@ -93,9 +93,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     linked with no other; component_id is then null and the rows are kept. Repeated rows each give
     a row. Other columns are ignored.
     """
+    return _found(docs, shingle, percent).drop("text_hash")
+
+
+def _found(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The near duplicates, with the hash of each row's text."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                          F.col("text").cast("string").alias("text"))
-    rows = cut_lineage(map_arrow(source, _classes(shingle), CLASSES), "near-classes")
+    rows = cut_lineage(map_arrow(source.withColumn("text_hash", F.xxhash64("text")), _classes(shingle), CLASSES), "near-classes")
     classes = cut_lineage(rows.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"),
         F.first("tokens").alias("tokens")), "near-unique")
@@ -104,13 +109,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         "label", F.coalesce("label", "class"))
     names = named.groupBy("label").agg(F.min("first").alias("component_id"))
     known = named.join(names, "label").select("class", "component_id")
-    with_set = rows.where("class IS NOT NULL").select("doc_id", "n_shingles", "class").join(
+    with_set = rows.where("class IS NOT NULL").select("doc_id", "n_shingles", "class", "text_hash").join(
         known, "class").drop("class")
     without = rows.where("class IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
     return with_set.unionByName(without).select(
         "doc_id", "n_shingles", "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -118,10 +123,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows repeated with the same doc_id and text one stays. Texts without words all stay.
     """
-    found = cut_lineage(near_duplicates(docs), "near-found")
-    gone = found.where(~F.col("kept") & F.col("component_id").isNotNull()).select("doc_id")
-    left = docs.join(gone.where("doc_id IS NOT NULL").distinct(), "doc_id", "left_anti").select(
-        *docs.columns)
+    found = cut_lineage(_found(docs), "near-found")
+    # Of an id with several texts only the rows of the copied text go.
+    gone = found.where(~F.col("kept") & F.col("component_id").isNotNull()
+                       & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct()
+    left = docs.join(gone, (F.col("doc_id") == F.col("_gone_id")) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col("_gone_text")), "left_anti")
     repeated = found.where("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     if repeated.isEmpty():

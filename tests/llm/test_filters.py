@@ -234,6 +234,15 @@ def test_large_groups_and_chains(spark, monkeypatch, pairs):
     check_components(frame(spark, rows), rows)
 
 
+def test_one_text_of_a_repeated_id_goes(spark):
+    rng = random.Random(41)
+    one, other = prose(rng, 30), prose(rng, 30)
+    docs = frame(spark, [(1, one), (5, one), (5, other), (9, other)])
+    left = neardup.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(1, one), (5, other)]
+
+
 def test_branches_keep_pairs_together(spark):
     """Pairs of similarity 0.8 whose nodes are all large still share a node at the last level."""
     rng = random.Random(31)
