@@ -7,8 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from firmalign.functions import vocabulary as v  # noqa: E402
 from firmalign.session import local_session  # noqa: E402
-
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+from testing_paths import SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")

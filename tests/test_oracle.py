@@ -6,9 +6,9 @@ import sys
 import duckdb
 import pytest
 
-from conftest import SF
 from firmalign.catalog.oracles import oracle_sql
 from firmalign.catalog.queries import queries
+from testing_paths import SF
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from check import rows  # noqa: E402

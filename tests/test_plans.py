@@ -44,7 +44,7 @@ def test_scan_reads_only_what_is_needed(data):
     plan = plan_of(Q["claims_usage"](data))
     assert "ReadSchema: struct<l_orderkey:bigint>" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
-    assert "IsNotNull(o_custkey)" in plan
+    assert "IsNotNull(l_orderkey)" in plan and "IsNotNull(o_orderkey)" in plan
 
 
 def test_dashboard_reads_the_table_once(data):
