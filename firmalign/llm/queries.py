@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmalign.llm import archive, coder, decontam, lines, neardup, packing, pii, sharding, templates, toxicity
+from firmalign.llm import (
+    archive, coder, decontam, lines, neardup, packing, pii, ranking, sharding, templates, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +22,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_main_text": templates.op8_main_text,
         "op9_warc": archive.op9_warc,
         "op10_line_quality": lines.op10_line_quality,
+        "op11_ranked_search": ranking.op11_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_ranked_search": ranking.ORACLE_SQL}
