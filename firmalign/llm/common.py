@@ -39,7 +39,8 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
 def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(),
              "double": pa.float64(), "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64()),
-             "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32())}
+             "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()),
+             "array<double>": pa.list_(pa.float64())}
     return pa.schema([(name, kinds[kind]) for name, kind in
                       (part.strip().split(" ", 1) for part in ddl.split(","))])
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from firmalign.llm import (
-    archive, coder, decontam, lines, neardup, packing, pii, ranking, sharding, templates, toxicity,
+    archive, coder, decontam, lines, neardup, neighbours, packing, pii, ranking, sharding, templates, toxicity,
     variants)
 
 
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": archive.op9_warc,
         "op10_line_quality": lines.op10_line_quality,
         "op11_ranked_search": ranking.op11_ranked_search,
+        "op12_quality": neighbours.op12_quality,
         "op13_spelling_variants": variants.op13_spelling_variants,
     }
 

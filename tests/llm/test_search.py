@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from conftest_llm import ODD, frame, prose
 
-from firmalign.llm import ranking, variants
+from firmalign.llm import neighbours, ranking, variants
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -213,3 +213,110 @@ def test_op13_query(spark, tmp_path):
                                 "n_near": "bigint", "form_n": "bigint"}
     assert as_sorted(map(tuple, got.select("word", "form", "root", "n", "n_near", "form_n").collect())) == \
         as_sorted(variants_by_hand(rows))
+
+
+# --- quality by nearest neighbours
+
+def labelled(rng, n):
+    """Prose, and junk of three kinds, with labels for most; every fifth id is held out by the rule."""
+    rows, labels = [], []
+    for k in range(n):
+        good = k % 3 > 0
+        text = prose(rng, rng.randint(20, 150))
+        if not good:
+            text = (" ".join(w for w in text.split()[:12] for _ in range(8)), text.upper().replace(" ", "!! "),
+                    "\n".join([text[:40]] * 30))[k // 3 % 3]
+        rows.append((k, text))
+        if k % 7:
+            labels.append((k, int(good), "x"))
+    return rows, labels
+
+
+def labels_frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, label string")
+
+
+def held(k):
+    return zlib.crc32(("" if k is None else str(k)).encode()) % 5 == 0
+
+
+def shares_by_hand(text):
+    """Feature -> share, by plain counting."""
+    tokens = text.split()
+    n, out = len(tokens), Counter()
+    if not n:
+        return {neighbours.NONE: 1.0}
+    for t in tokens:
+        shape, word = divmod(neighbours.token_code(t), neighbours.WORDS)
+        out[shape] += 1 / n
+        out[neighbours.SHAPES + word] += 1 / n
+    out[neighbours.REPEATED] = sum(a == b for a, b in zip(tokens, tokens[1:])) / n
+    out[neighbours.AGAIN] = (n - len(set(tokens))) / n
+    lines = [x for x in text.split("\n") if x.strip()]
+    out[neighbours.LINES] = (len(lines) - len(set(lines))) / len(lines)
+    out[neighbours.SOME] = 1 / n
+    out[neighbours.BANDS + min(n.bit_length(), 24)] = 0.5
+    return out
+
+
+def test_votes_equal_a_plain_loop():
+    rng = random.Random(11)
+    rows, labels = labelled(rng, 90)
+    texts, codes = [t for _, t in rows] + ["", " \n", "x"], neighbours._Codes()
+    shares = neighbours._shares(texts, codes)
+    for row, text in zip(shares, texts):
+        hand = shares_by_hand(text)
+        assert np.allclose(row ** 2, [hand.get(f, 0) for f in range(neighbours.FEATURES)], atol=1e-9)
+    known = [(k, y) for k, y, _ in labels]
+    model = neighbours.train(shares[[k for k, _ in known]], np.array([y for _, y in known]))
+    assert model.directions.shape == (neighbours.FEATURES, neighbours.DIMENSIONS)
+    got = model.votes(model.latent(shares))
+    for row, score in zip(model.latent(shares), got):
+        sims = [(-round(float(np.dot(row, v)) * neighbours.STEPS), k) for k, v in enumerate(model.vectors)]
+        near = sorted(sims)[:neighbours.NEIGHBOURS]
+        votes = [(max(-s / neighbours.STEPS, 1e-3) ** neighbours.POWER, model.labels[k]) for s, k in near]
+        assert score == pytest.approx(sum(w * y for w, y in votes) / sum(w for w, _ in votes), abs=2e-2)
+
+
+def test_quality_of_held_out_texts(spark, odd, empty):
+    rng = random.Random(12)
+    rows, labels = labelled(rng, 400)
+    docs = frame(spark, rows)
+    # Labels of held-out ids are turned round: they must not be learnt from.
+    labels = [(k, 1 - y if held(k) else y, x) for k, y, x in labels]
+    noise = [(10_000, 1, "x"), (None, 0, "x"), (3, None, "x"), (4, 0, "x"), (4, 1, "x")]
+    model = neighbours.fit(docs.repartition(4), labels_frame(spark, labels + noise + labels[:20]))
+    scores = {r["doc_id"]: r["score"] for r in neighbours.score(docs, model).collect()}
+    wrong = [k for k, _ in rows if held(k) and (scores[k] >= neighbours.LEAST_SCORE) != (k % 3 > 0)]
+    assert len(wrong) <= 0.05 * sum(held(k) for k, _ in rows)
+    again = neighbours.fit(docs.repartition(2), labels_frame(spark, labels + noise).repartition(3))
+    assert np.array_equal(again.labels, model.labels)
+    assert np.allclose(np.abs(again.vectors @ again.vectors.T), np.abs(model.vectors @ model.vectors.T), atol=1e-3)
+    few = neighbours.fit(docs, labels_frame(spark, labels), most=5)
+    assert len(few.labels) == 10 and sorted(few.labels) == [0] * 5 + [1] * 5
+
+    got = neighbours.score(odd, model).collect()
+    assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
+    by_id = {}
+    for r in got:
+        assert by_id.setdefault(r["doc_id"], r["score"]) == pytest.approx(r["score"]) or r["doc_id"] is None
+    assert neighbours.score(empty, model).count() == 0
+    nothing = neighbours.fit(docs, labels_frame(spark, []))
+    assert {r["score"] for r in neighbours.score(docs, nothing).collect()} == {0.5}
+    one = neighbours.fit(docs, labels_frame(spark, [r for r in labels if r[1] == 1]))
+    assert {r["score"] for r in neighbours.score(docs, one).collect()} == {1.0}
+    assert len(neighbours.fit(empty, labels_frame(spark, labels)).labels) == 0
+
+
+def test_op12_query(spark):
+    from testing_paths import SF
+    sf = SF.replace("sf0.001", "sf0.01")
+    got = neighbours.op12_quality(spark, sf)
+    assert dict(got.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "score": "double",
+                                "predicted": "int"}
+    truth = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = got.collect()
+    assert all(r["held_out"] == held(r["doc_id"]) for r in rows)
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    asked = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in asked) >= 0.95 * len(asked)
