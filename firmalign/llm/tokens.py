@@ -2,8 +2,8 @@
 
 The word tokenizer used by default works on each word by itself, so ids are looked up word by word
 in a bounded memo and only new words go through the library's model. A text with any character
-outside the range in which that holds, and every text of another kind of tokenizer, is handed to
-the library as a whole.
+outside the range in which that holds or with the string of an added token, and every text of
+another kind of tokenizer, is handed to the library as a whole.
 """
 
 from __future__ import annotations
@@ -71,9 +71,11 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
         spec = json.loads(self.tokenizer.to_str())
-        self.words = _Words(self.tokenizer) if self._by_word(spec) else None
+        # The library gives the string of an added token its id wherever a text holds it.
+        self.added = [t["content"].lower() for t in spec.get("added_tokens") or []]
+        simple = any(_SIMPLE.fullmatch(t) for t in self.added)
+        self.words = _Words(self.tokenizer) if self._by_word(spec) and not simple else None
 
     @staticmethod
     def _by_word(spec: dict) -> bool:
@@ -88,9 +90,10 @@ class Encoder:
         if self.words is not None and _PLAIN.fullmatch(text):
             if _SIMPLE.fullmatch(text) and not _MARKS_MEET.search(text):
                 words = text.lower().replace(".", " . ").replace(",", " , ").split()
-            else:
-                words = _PIECE.findall(text.lower())
-            return b"".join(map(self.words.__getitem__, words))
+                return b"".join(map(self.words.__getitem__, words))
+            lowered = text.lower()
+            if not any(t in lowered for t in self.added):
+                return b"".join(map(self.words.__getitem__, _PIECE.findall(lowered)))
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return _little_endian(ids)
 

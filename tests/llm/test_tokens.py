@@ -16,7 +16,6 @@ from firmalign.llm import coder, packing, tokens
 def library():
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokens.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -33,6 +32,14 @@ def test_memo_gives_the_library_ids(text):
         encoder.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
+def test_strings_of_added_tokens_get_their_ids():
+    encode = tokens.encoder(tokens.tokenizer_path()).encode
+    assert encode("hello <|endoftext|> and") == as_bytes([3306, 49407, 537])
+    for text in ("<|startoftext|>", "a<|endoftext|>b", "the cat <|ENDOFTEXT|> sat", "x <|endoftext| > y"):
+        assert encode(text) == as_bytes(
+            tokens.encoder(tokens.tokenizer_path()).tokenizer.encode(text, add_special_tokens=False).ids)
+
+
 def test_memo_keeps_values_when_full(monkeypatch, library):
     monkeypatch.setattr(tokens, "_MEMO", 3)
     encoder = tokens.Encoder(tokens.tokenizer_path())
