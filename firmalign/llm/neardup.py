@@ -1,18 +1,22 @@
 """Near duplicates by a chosen-path similarity join over minwise tokens.
 
 Documents with the same set of word shingles form one class, and the classes are joined. Each of
-``TREES`` independent trees puts a class into a node by one minwise token. A small node is compared
-exhaustively. A large one is compared with a pivot of its own and then branches: each node draws
-two token positions of its own, and a class follows both to the nodes of the tokens it has there. Two
-sets of similarity s agree on a token with probability s, so they part in all trees with probability
-(1 - s) ** TREES. As the nodes of a pair draw apart from each other, a pair of similarity 0.8 stays
-together in 1.6 nodes for each one before, and pairs below 1/2 die out. Every candidate is confirmed
-on the full sets.
-
-Before any node is compared exhaustively, each class is compared with one pivot only, the one that
-it meets in most nodes, in a few rounds. A node whose members all belong to one component by confirmed links
-needs no further look, and no pair within a component is compared: a large group of near copies
-collapses onto its pivots in these rounds and never becomes a set of pairs.
+``TREES`` independent trees puts a class into a node by one minwise token. Two sets of similarity s
+agree on a token with probability s. A class that shares nodes in fewer trees than a linked one
+would leaves the join; the others, with a byte of each of ``CODES`` tokens, are dealt out by node.
+
+A task walks down its nodes. A node of at most ``SMALL_NODE`` members is compared exhaustively, by
+matrix products over one bit of each token and then by the bytes. A larger one branches: it draws a
+token position of its own, and for three nodes in eight a second one, and its members follow the
+tokens they have there. A pair of similarity 0.8 so stays together in 1.1 nodes for each one before
+and is parted in all branches of a tree with probability 2/3 at most, in all trees with 6e-5; pairs
+below 0.7 die out. Every candidate is confirmed on the full sets.
+
+Before that, members are compared with a few pivots of their node only and each follows the best
+one and the one most agree with, in two rounds. Labels of the components found so far go along, a
+node whose members all have one label needs no further look, and no pair within a component is
+compared: a large group of near copies collapses in these rounds and never becomes a set of pairs.
+Nodes of more than ``MOST_IN_TASK`` members branch before they are given to a task.
 """
 
 from __future__ import annotations
@@ -28,22 +32,27 @@ from firmalign.llm import textwords
 from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table
 
 SHINGLE, PERCENT = 4, 80
-TOKENS, TREES, SMALL_NODE, MAX_DEPTH = 40, 12, 4, 8
-#: So many pairs across components for each class may be compared without further branching.
-PAIRS_PER_CLASS = 4
-#: Ids of classes that are broadcast at most, eight bytes each.
+CODES, TREES, SMALL_NODE, MAX_DEPTH = 160, 24, 1024, 48
+#: Of eight nodes so many draw a second position.
+SECOND_IN_EIGHT = 3
+#: Trees in which a class must share a node at all: of 24, a linked one misses 16 or more with a
+#: probability below 1e-7.
+LEAST_SHARED = 9
+#: Share of equal bytes below which a pair isn't compared on its sets: at similarity 0.8 it is 4.7
+#: standard deviations below the mean. The same for bits, which tell less, is 5.3 below.
+LEAST_AGREEMENT, LEAST_BITS = 0.65, 0.55
+#: Rounds with pivots only, and pivots of a node.
+PIVOT_ROUNDS, PIVOTS = 2, 64
+#: Members of a node, members handled together, and rows of a block of a comparison in a task.
+MOST_IN_TASK, TOGETHER, ROWS = 1 << 16, 20_000, 1024
+#: Candidates of a class compared in one task.
+MOST_COMPARED = 10_000
+#: Ids of classes that are broadcast at most, 24 bytes each.
 MOST_BROADCAST = 500_000
-#: Rounds in which each class is compared with the best pivot of its nodes only.
-PIVOT_ROUNDS = 2
-#: Share of equal tokens below which a pair isn't compared on its sets: at similarity 0.8 it is 4.7
-#: standard deviations below the mean.
-LEAST_AGREEMENT = 0.5
-#: Trees in which a class must share a node to be compared at all: of 12, a linked one misses 10 or
-#: more with a probability below 5e-6.
-LEAST_SHARED = 3
-_MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, TOKENS, np.uint64) * np.uint64(2) + np.uint64(1)
-_OFFSETS = np.random.default_rng(12).integers(0, 1 << 63, TOKENS, np.uint64)
-CLASSES = "doc_id bigint, n_shingles bigint, class bigint, tokens array<bigint>, text_hash bigint"
+_MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, CODES, np.uint64) * np.uint64(2) + np.uint64(1)
+_OFFSETS = np.random.default_rng(12).integers(0, 1 << 63, CODES, np.uint64)
+CLASSES = ("doc_id bigint, n_shingles bigint, class bigint, tokens array<bigint>, codes binary, "
+           "text_hash bigint")
 
 
 def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> list[np.ndarray]:
@@ -64,6 +73,11 @@ def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def _class_id(shingles: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little",
+                          signed=True)
+
+
 def _classes(length: int):
     def run(batches) -> Iterator[list]:
         for batch in cut_rows(batches, 2 << 20):
@@ -71,16 +85,17 @@ def _classes(length: int):
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
             tokens: list = [None] * len(sets)
+            codes: list = [None] * len(sets)
             if len(full):
                 flat = np.concatenate([sets[k] for k in full])
                 starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
                 least = np.stack([np.minimum.reduceat((flat ^ o) * m, starts)
                                   for o, m in zip(_OFFSETS, _MULTIPLIERS, strict=True)], axis=1)
-                for k, row in zip(full.tolist(), least.view(np.int64), strict=True):
-                    tokens[k] = row
-            ids = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little",
-                                  signed=True) if len(s) else None for s in sets]
-            yield [batch.column(0), sizes, ids, tokens, batch.column(2)]
+                own = textwords.mix(least).astype(np.uint8)
+                for k, row, code in zip(full.tolist(), least[:, :TREES].view(np.int64), own, strict=True):
+                    tokens[k], codes[k] = row, code.tobytes()
+            yield [batch.column(0), sizes, [_class_id(s) if len(s) else None for s in sets], tokens,
+                   codes, batch.column(2)]
     return run
 
 
@@ -89,9 +104,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     Linked are documents whose shingle sets have 100 * intersection >= percent * union; a component
     is named by its smallest doc_id. A missing or empty text has no shingles and is linked with
-    nothing. Documents without a doc_id cannot name a component, and a set that only they have is
+    nothing; a text of any length is read whole. Documents without a doc_id cannot name a component, and a set that only they have is
     linked with no other; component_id is then null and the rows are kept. Repeated rows each give
-    a row. Other columns are ignored.
+    a row. Other columns are ignored. An empty table gives no rows.
     """
     return _found(docs, shingle, percent).drop("text_hash")
 
@@ -99,11 +114,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def _found(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The near duplicates, with the hash of each row's text."""
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                         F.col("text").cast("string").alias("text"))
-    rows = cut_lineage(map_arrow(source.withColumn("text_hash", F.xxhash64("text")), _classes(shingle), CLASSES), "near-classes")
+                         F.col("text").cast("string").alias("text")).withColumn(
+        "text_hash", F.xxhash64("text"))
+    rows = cut_lineage(map_arrow(source, _classes(shingle), CLASSES), "near-classes")
+    # One document of each class stands for it, that of the smallest doc_id.
     classes = cut_lineage(rows.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"),
-        F.first("tokens").alias("tokens")), "near-unique")
+        F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_hash")).alias("m"),
+        F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens"),
+        F.first("codes").alias("codes")).select(
+            "class", F.col("m.doc_id").alias("first"), F.col("m.text_hash").alias("text_hash"), "n",
+            "tokens", "codes"), "near-unique")
     labels = _join(source, classes, shingle, percent)
     named = classes.select("class", "first").join(labels, "class", "left").withColumn(
         "label", F.coalesce("label", "class"))
@@ -118,18 +138,26 @@ def _found(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, without all but one of each component.
 
-    Of rows repeated with the same doc_id and text one stays. Texts without words all stay.
+    Of rows repeated with the same doc_id and text one stays. Texts without words and documents
+    without a doc_id all stay. Columns may have any names; an empty table stays empty.
     """
     found = cut_lineage(_found(docs), "near-found")
+    gone_id, gone_text = _unused(docs, "gone_id"), _unused(docs, "gone_text")
     # Of an id with several texts only the rows of the copied text go.
     gone = found.where(~F.col("kept") & F.col("component_id").isNotNull()
                        & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_text")).distinct()
-    left = docs.join(gone, (F.col("doc_id") == F.col("_gone_id")) & (
-        F.xxhash64(F.col("text").cast("string")) == F.col("_gone_text")), "left_anti")
+        F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct()
+    left = docs.join(gone, (F.col("doc_id").cast("bigint") == F.col(gone_id)) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col(gone_text)), "left_anti")
     repeated = found.where("kept AND doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     if repeated.isEmpty():
@@ -140,54 +168,29 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         *docs.columns)
 
 
-def _join(source: DataFrame, classes: DataFrame, shingle: int,
-          percent: int) -> DataFrame:
+# ---------------------------------------------------------------- join
+def _join(source: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(class, label) of all classes that have a confirmed link."""
-    start = classes.select("class", "n", F.posexplode(F.slice("tokens", 1, TREES)).alias(
-        "tree", "token")).select("class", F.xxhash64("tree", "token").alias("node"))
+    start = classes.select("class", F.posexplode("tokens").alias("tree", "token")).select(
+        "class", F.xxhash64("tree", "token").alias("node"))
     shared = start.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = start.join(shared.select("node"), "node")
-    # Classes met in too few trees to be similar to any other leave the join here.
     met = members.groupBy("class").agg(F.count(F.lit(1)).alias("trees")).where(
         F.col("trees") >= LEAST_SHARED).select("class")
-    met = cut_lineage(met.join(classes, "class"), "near-met")
+    met = cut_lineage(classes.select("class", "first", "text_hash", "n", "codes").join(met, "class"),
+                      "near-met")
     members = cut_lineage(members.join(met.select("class"), "class"), "near-nodes")
-    sets = cut_lineage(map_arrow(
-        source.join(met.select(F.col("first").alias("doc_id")).distinct(), "doc_id").select(
-            "doc_id", "text"), _sets(shingle), "class bigint, shingles binary"), "near-sets")
-    codes = met.select("class", "n", "tokens")
 
     labels = None
     for turn in range(PIVOT_ROUNDS):
-        best = _stars(_labelled(members, labels), F.xxhash64("class", F.lit(turn))).groupBy(
-            "class", "pivot").agg(F.count(F.lit(1)).alias("met")).groupBy("class").agg(
-                F.max_by("pivot", F.struct("met", "pivot")).alias("pivot"))
-        likely = _agreeing(best, "class", "pivot", codes, percent)
-        labels = _merged(labels, _confirmed(_ordered(likely, "class", "pivot"), sets, percent))
-    enough = PAIRS_PER_CLASS * met.count()
-    for depth in range(MAX_DEPTH + 1):
-        # Few pairs, or what still is together after so many equal tokens, are compared in full.
-        known = cut_lineage(_labelled(members, labels), "near-known")
-        last = depth == MAX_DEPTH or _pairs_left(known) <= enough
-        pairs = _candidates(known, depth, last)
-        labels = _merged(labels, _confirmed(_agreeing(pairs, "a", "b", codes, percent), sets,
-                                            percent))
-        if last:
-            break
-        members = cut_lineage(_branch(_mixed(_labelled(members, labels)), codes),
-                              "near-nodes")
-        if members.isEmpty():
-            break
-    return labels
-
-
-def _sets(shingle: int):
-    def run(batches) -> Iterator[list]:
-        for batch in cut_rows(batches, 2 << 20):
-            sets = [s.tobytes() for s in shingle_sets(batch.column(1), shingle)]
-            yield [[int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little",
-                                   signed=True) for s in sets], sets]
-    return run
+        offers = _candidates(members, met, labels, percent, turn)
+        best = offers.groupBy("class", "kind").agg(F.max_by("other", F.struct(
+            "agree", "other")).alias("other"))
+        links = _confirmed(_ordered(best, "class", "other"), met, source, shingle, percent)
+        labels = _merged(labels, links)
+    pairs = _candidates(_in_bounds(members, met, labels), met, labels, percent, None)
+    links = _confirmed(_ordered(pairs, "class", "other"), met, source, shingle, percent)
+    return _merged(labels, links)
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -196,103 +199,205 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
 
 
-def _pairs_left(known: DataFrame) -> int:
-    """Pairs across components within nodes, counted from sizes."""
-    n = F.col("n").cast("double")   # a square may exceed a long
-    nodes = known.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
-        ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("pairs"))
-    return int(nodes.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
-
-
-def _mixed(known: DataFrame) -> DataFrame:
-    """Members of the large nodes that hold more than one component."""
-    large = known.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min("label").alias("low"),
-        F.max("label").alias("high")).where((F.col("size") > SMALL_NODE)
-                                            & (F.col("low") != F.col("high"))).select("node")
-    return known.drop("label").join(large, "node")
-
-
-def _branch(members: DataFrame, codes: DataFrame) -> DataFrame:
-    """Each member follows its tokens at the two different positions that its node draws."""
-    free = TOKENS - TREES
-    first = F.pmod(F.xxhash64("node"), F.lit(free))
-    step = F.col("pick") * (1 + F.pmod(F.xxhash64("node", F.lit(1)), F.lit(free - 1)))
-    children = members.join(codes, "class").withColumn("pick", F.explode(F.array(
-        F.lit(0), F.lit(1)))).withColumn(
-            "place", (F.pmod(first + step, F.lit(free)) + TREES).cast("int")).select(
-                "class", F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"))
+def _mixed(known: DataFrame, least: int = 1) -> DataFrame:
+    """Members of the nodes of more than ``least`` members that hold more than one component."""
+    nodes = known.groupBy("node").agg(
+        F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return known.join(nodes.where((F.col("size") > least) & (F.col("low") != F.col("high")))
+                      .select("node"), "node")
+
+
+def _in_bounds(members: DataFrame, met: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The members, those of nodes too large for a task followed down to nodes that aren't."""
+    done = None
+    for _ in range(MAX_DEPTH):
+        sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
+        large = cut_lineage(sizes.where(F.col("size") > MOST_IN_TASK).select("node"), "near-large")
+        if large.isEmpty():
+            break
+        rest = members.join(large, "node", "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        inside = _mixed(_labelled(members.join(large, "node"), labels)).drop("label")
+        members = cut_lineage(_branch(inside, met), "near-nodes")
+    return members if done is None else done.unionByName(members)
+
+
+def _branch(members: DataFrame, met: DataFrame) -> DataFrame:
+    """Each member follows its tokens at the one or two positions that its node draws."""
+    draws = F.when(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(8)) < SECOND_IN_EIGHT, 1).otherwise(0)
+    place = (F.pmod(F.xxhash64("node", "pick"), F.lit(CODES - TREES)) + TREES + 1).cast("int")
+    children = members.join(met.select("class", "codes"), "class").withColumn(
+        "pick", F.explode(F.sequence(F.lit(0), draws))).withColumn("place", place).select(
+        "class", F.xxhash64("node", "place", F.expr("substring(codes, place, 1)")).alias("node"))
     shared = children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return children.join(shared.select("node"), "node")
 
 
-def _stars(known: DataFrame, order: Column, least_size: int = 1) -> DataFrame:
-    """(class, pivot): the members of each node with its first in order, across components."""
-    nodes = known.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(
-        order.alias("order"), F.col("class").alias("pivot"),
-        F.col("label").alias("pivot_label"))).alias("p")).where(F.col("size") > least_size)
-    return known.join(nodes.select("node", "p.pivot", "p.pivot_label"), "node").where(
-        "label != pivot_label")
+def _candidates(members: DataFrame, met: DataFrame, labels: DataFrame | None, percent: int,
+                turn: int | None) -> DataFrame:
+    """(class, other, kind, agree) across components: in a turn with the pivots of a node, else all."""
+    known = _mixed(_labelled(members, labels)).join(met.select("class", "n", "codes"), "class")
+    dealt = known.select("node", "class", "label", "n", "codes").repartition(
+        "node").sortWithinPartitions("node")
+    found = map_arrow(dealt, _walk(percent, turn),
+                      "class bigint, other bigint, kind int, agree int")
+    return found if turn is not None else found.distinct()
+
+
+def _walk(percent: int, turn: int | None):
+    def run(batches) -> Iterator[list]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            kept.append(batch)
+            if sum(b.num_rows for b in kept) >= TOGETHER:
+                whole = pa.concat_batches(kept)
+                nodes = whole.column(0).to_numpy()
+                # The last node may go on in the next batch.
+                end = int(np.searchsorted(nodes, nodes[-1]))
+                if end:
+                    yield _compared(whole.slice(0, end), percent, turn)
+                kept = [whole.slice(end)]
+        if kept:
+            yield _compared(pa.concat_batches(kept), percent, turn)
+    return run
+
+
+def _compared(rows: pa.RecordBatch, percent: int, turn: int | None) -> list:
+    nodes, ids, labels, n = (rows.column(k).to_numpy() for k in range(4))
+    codes = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint8).reshape(-1, CODES)
+    bits = (codes & 1).astype(np.float32) * 2 - 1
+    bounds = np.append(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])), len(nodes))
+    a, b, kinds = [], [], []
+    for begin, end, node in zip(bounds[:-1].tolist(), bounds[1:].tolist(), nodes[bounds[:-1]].tolist()):
+        node &= (1 << 64) - 1
+        if turn is None:
+            for inside in _leaves(np.arange(begin, end), node, labels, codes):
+                for x, y in _close(inside, labels, bits):
+                    a.append(x), b.append(y), kinds.append(np.zeros(len(x), np.int64))
+        else:
+            for kind, (x, y) in enumerate(_pivoted(np.arange(begin, end), node + turn, labels, bits)):
+                a.append(x), b.append(y), kinds.append(np.full(len(x), kind))
+    if not a:
+        return [[], [], [], []]
+    a, b, kinds = (np.concatenate(p) for p in (a, b, kinds))
+    fit = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+    a, b, kinds = a[fit], b[fit], kinds[fit]
+    if turn is None:        # each pair of classes once, in whichever nodes it was met
+        x, y = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+        first = np.unique(np.stack([x, y], 1), axis=0, return_index=True)[1] if len(a) else []
+        a, b, kinds = a[first], b[first], kinds[first]
+    agree = np.zeros(len(a), np.int64)
+    for at in range(0, len(a), 1 << 15):
+        cut = slice(at, at + (1 << 15))
+        agree[cut] = np.count_nonzero(codes[a[cut]] == codes[b[cut]], axis=1)
+    good = agree >= LEAST_AGREEMENT * CODES
+    a, b, kinds, agree = a[good], b[good], kinds[good], agree[good]
+    if turn is None:        # alike in every task that finds the pair
+        return [np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), kinds.astype(np.int32),
+                agree.astype(np.int32)]
+    return [ids[a], ids[b], kinds.astype(np.int32), agree.astype(np.int32)]
+
+
+def _pivoted(inside: np.ndarray, seed: int, labels: np.ndarray, bits: np.ndarray):
+    """(member, pivot) pairs: the pivot each member is closest to, and the one most are close to."""
+    order = textwords.mix(inside.astype(np.uint64) + np.uint64(seed & (1 << 63) - 1))
+    pivots = inside[np.argsort(order, kind="stable")[:PIVOTS]]
+    alike = bits[inside] @ bits[pivots].T
+    alike[labels[inside][:, None] == labels[pivots]] = -CODES
+    near = alike >= LEAST_BITS * CODES
+    closest, hub = alike.argmax(1), np.full(len(inside), near.sum(0).argmax())
+    rows = np.arange(len(inside))
+    for choice in (closest, hub):
+        good = near[rows, choice]
+        yield inside[good], pivots[choice[good]]
+
+
+def _leaves(inside: np.ndarray, node: int, labels: np.ndarray, codes: np.ndarray) -> Iterator[np.ndarray]:
+    """The nodes below a node that are small enough to be compared exhaustively."""
+    stack = [(inside, node, 0)]
+    while stack:
+        inside, node, depth = stack.pop()
+        if (labels[inside] == labels[inside[0]]).all():
+            continue
+        if len(inside) <= SMALL_NODE or depth == MAX_DEPTH:
+            yield inside
+            continue
+        draw = _mixed_bits(node)
+        for pick in range(1 + (draw >> 40) % 8 // (8 - SECOND_IN_EIGHT)):
+            place = TREES + _mixed_bits(draw + pick + 1) % (CODES - TREES)
+            column = codes[inside, place]
+            order = np.argsort(column, kind="stable")
+            cuts = np.flatnonzero(np.diff(column[order])) + 1
+            for part in np.split(inside[order], cuts):
+                if len(part) > 1:
+                    stack.append((part, _mixed_bits(draw ^ (place << 8 | int(codes[part[0], place]))),
+                                  depth + 1))
+
+
+def _mixed_bits(x: int) -> int:
+    return int(textwords.mix(np.array([x & (1 << 64) - 1], np.uint64))[0])
+
+
+def _close(inside: np.ndarray, labels: np.ndarray, bits: np.ndarray) -> Iterator[tuple]:
+    """Pairs across components that agree in enough bits, each once."""
+    own, counts = np.unique(labels[inside], return_counts=True)
+    # Members of the largest component needn't be compared with each other.
+    rest = labels[inside] != own[counts.argmax()]
+    ordered = np.append(inside[rest], inside[~rest])
+    n_rest, columns = np.count_nonzero(rest), bits[ordered].T
+    for at in range(0, n_rest, ROWS):
+        rows = ordered[at:min(at + ROWS, n_rest)]
+        r, c = np.nonzero(bits[rows] @ columns >= LEAST_BITS * CODES)
+        good = (c > r + at) & (labels[rows[r]] != labels[ordered[c]])
+        yield rows[r[good]], ordered[c[good]]
 
 
 def _ordered(pairs: DataFrame, one: str, other: str) -> DataFrame:
     return pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
 
 
-def _candidates(known: DataFrame, depth: int, last: bool) -> DataFrame:
-    """Pairs across components: all of a small node, each with the pivot of a large one."""
-    nodes = known.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min("label").alias("low"),
-        F.max("label").alias("high")).where("low != high")
-    small = nodes.where(F.lit(last) | (F.col("size") <= SMALL_NODE)).select("node")
-    inside = known.join(small, "node")
-    right = inside.select("node", F.col("class").alias("b"), F.col("label").alias("label_b"))
-    pairs = inside.select("node", F.col("class").alias("a"), "label").join(right, "node").where(
-        "a < b AND label != label_b").select("a", "b")
-    if not last:
-        pairs = pairs.unionByName(_ordered(_stars(known, F.xxhash64(
-            "class", "node", F.lit(depth)), SMALL_NODE), "class", "pivot"))
-    return pairs.distinct()
-
-
-def _agreeing(pairs: DataFrame, one: str, other: str, codes: DataFrame,
-              percent: int) -> DataFrame:
-    """The pairs whose sizes and tokens allow them to be similar, with the number of equal tokens."""
-    # One byte of each token is enough for the estimate and keeps the rows short.
-    code = codes.select("class", "n", F.transform("tokens", lambda t: (
-        t.bitwiseAND(255) - 128).cast("tinyint")).alias("code"))
-    side = lambda c, k: code.select(F.col("class").alias(c), F.col("n").alias(f"n{k}"),
-                                    F.col("code").alias(f"code{k}"))
-    agree = F.aggregate(F.zip_with("code1", "code2", lambda x, y: (x == y).cast("int")),
-                        F.lit(0), lambda total, equal: total + equal)
-    return pairs.join(side(one, 1), one).join(side(other, 2), other).where(
-        100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")).select(
-        one, other, agree.alias("agree")).where(F.col("agree") >= int(LEAST_AGREEMENT * TOKENS))
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar."""
-    likely = cut_lineage(pairs.select("a", "b").distinct(), "near-likely")
-    # Only the sets that are asked for are shuffled, if their list is short enough to broadcast.
-    wanted = likely.select(F.col("a").alias("class")).unionByName(
-        likely.select(F.col("b").alias("class"))).distinct()
-    if 2 * likely.count() <= MOST_BROADCAST:
-        sets = sets.join(F.broadcast(wanted), "class", "left_semi")
-    full = likely.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a")),
-                       "a").join(sets.select(F.col("class").alias("b"),
-                                             F.col("shingles").alias("set_b")), "b")
-    return cut_lineage(map_arrow(full.select("a", "b", "set_a", "set_b"), _comparing(percent),
-                                 "a bigint, b bigint").distinct(), "near-links")
-
-
-def _comparing(percent: int):
+def _confirmed(pairs: DataFrame, met: DataFrame, source: DataFrame, shingle: int,
+               percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar.
+
+    The texts asked for are read once and sent to their pairs. The candidates of one class meet its
+    text in one task, or in as many as they need.
+    """
+    pairs = cut_lineage(pairs.distinct(), "near-likely")
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(
+        pairs.select(F.col("b").alias("class"))).distinct().join(
+            met.select("class", "first", "text_hash"), "class")
+    wanted = wanted.select("class", F.col("first").alias("doc_id"), "text_hash")
+    if 2 * pairs.count() <= MOST_BROADCAST:
+        wanted = F.broadcast(wanted)
+    # Repeated rows of one doc_id and text are one.
+    texts = cut_lineage(source.join(wanted, ["doc_id", "text_hash"]).groupBy("class").agg(
+        F.min("text").alias("text")), "near-texts")
+    tasks = F.ceil(F.col("n") / MOST_COMPARED).cast("int")
+    split = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", tasks.alias("tasks"))
+    first = split.join(texts, F.col("a") == F.col("class")).select(
+        "a", F.lit(None).cast("bigint").alias("b"), "text",
+        F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
+    second = pairs.join(split, "a").join(texts, F.col("b") == F.col("class")).select(
+        "a", "b", "text", F.pmod(F.xxhash64("b"), F.col("tasks")).cast("int").alias("task"))
+    dealt = first.unionByName(second).repartition("a", "task").sortWithinPartitions(
+        "a", "task", F.asc_nulls_first("b"))
+    return cut_lineage(map_arrow(dealt.select("a", "b", "text"), _comparing(shingle, percent),
+                                 "a bigint, b bigint"), "near-links")
+
+
+def _comparing(shingle: int, percent: int):
     def run(batches) -> Iterator[list]:
-        for batch in cut_rows(batches):
+        own = None
+        for batch in cut_rows(batches, 2 << 20):
             found = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= percent * (len(x) + len(y) - both):
+            for a, b, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                               shingle_sets(batch.column(2), shingle), strict=True):
+                if b is None:
+                    own = x
+                    continue
+                both = len(np.intersect1d(own, x, assume_unique=True))
+                if 100 * both >= percent * (len(own) + len(x) - both):
                     found.append((a, b))
             yield [list(c) for c in zip(*found, strict=True)] if found else [[], []]
     return run

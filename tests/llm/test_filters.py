@@ -216,11 +216,13 @@ def test_components(documents, corpus, odd, empty):
     assert left.columns == odd.columns
 
 
-@pytest.mark.parametrize("pairs", [0, 4])
-def test_large_groups_and_chains(spark, monkeypatch, pairs):
+@pytest.mark.parametrize("small", [False, True])
+def test_large_groups_and_chains(spark, monkeypatch, small):
     """Near copies of one text, a chain of small changes, and a passage that many texts share."""
-    monkeypatch.setattr(neardup, "SMALL_NODE", 4)
-    monkeypatch.setattr(neardup, "PAIRS_PER_CLASS", pairs)
+    if small:       # nodes branch, before and inside tasks, and candidates are split
+        for name, value in (("SMALL_NODE", 4), ("MOST_IN_TASK", 20), ("MOST_COMPARED", 3),
+                            ("MOST_BROADCAST", 0), ("PIVOTS", 3), ("TOGETHER", 50), ("ROWS", 2)):
+            monkeypatch.setattr(neardup, name, value)
     rng = random.Random(6)
     first, passage = prose(rng, 80), prose(rng, 60)
     rows = [first] + [near_copy(rng, first, rng.randint(1, 5)) for _ in range(60)]
@@ -230,10 +232,17 @@ def test_large_groups_and_chains(spark, monkeypatch, pairs):
         rows.append(" ".join(chain))
     rows += [passage + " " + prose(rng, rng.randint(5, 60)) for _ in range(60)]
     rng.shuffle(rows)
-    rows = list(enumerate(rows, 100))
+    rows = list(enumerate(rows, 100)) * (1 if small else 2)
     check_components(frame(spark, rows), rows)
 
 
+def test_columns_of_any_name(spark):
+    docs = frame(spark, [(1, "one two three four five"), (2, "one two three four five"), (3, "other")])
+    docs = docs.withColumns({"gone_id": F.lit(1), "gone_text": F.lit("x"), "_pii_hash": F.lit(2)})
+    left = neardup.one_of_each(docs)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 3]
+
+
 def test_one_text_of_a_repeated_id_goes(spark):
     rng = random.Random(41)
     one, other = prose(rng, 30), prose(rng, 30)
@@ -243,27 +252,26 @@ def test_one_text_of_a_repeated_id_goes(spark):
     assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(1, one), (5, other)]
 
 
-def test_branches_keep_pairs_together(spark):
-    """Pairs of similarity 0.8 whose nodes are all large still share a node at the last level."""
-    rng = random.Random(31)
-    codes, members = [], []
-    for k in range(300):
-        one = [rng.getrandbits(60) for _ in range(neardup.TOKENS)]
-        other = [t if rng.random() < .8 else rng.getrandbits(60) for t in one]
-        codes += [(2 * k, one), (2 * k + 1, other)]
-        members += [(2 * k + side, 100 * k + tree) for tree in range(neardup.TREES)
-                    for side in (0, 1) if one[tree] == other[tree]]
-    codes = spark.createDataFrame(codes, "class bigint, tokens array<bigint>").cache()
-    members = spark.createDataFrame(members, "class bigint, root bigint").select(
-        "class", F.xxhash64("root").alias("node"))
-    for _ in range(neardup.MAX_DEPTH):
-        members = neardup.cut_lineage(neardup._branch(members, codes), "near-nodes")
-    assert members.select("class").distinct().count() == 600
+def test_branches_keep_pairs_together(monkeypatch):
+    """Pairs of similarity 0.8 in nodes that stay large down to the last level meet in some tree."""
+    import numpy as np
+    monkeypatch.setattr(neardup, "SMALL_NODE", 1)
+    monkeypatch.setattr(neardup, "MAX_DEPTH", 16)
+    rng = np.random.default_rng(31)
+    missed, n = 0, 1500
+    for _ in range(n):
+        one = rng.integers(0, 256, neardup.CODES, np.uint8)
+        other = np.where(rng.random(neardup.CODES) < .8, one, rng.integers(0, 256, neardup.CODES, np.uint8))
+        codes, labels = np.stack([one, other]), np.array([0, 1])
+        missed += not any(one[tree] == other[tree] and any(
+            True for _ in neardup._leaves(np.arange(2), int(rng.integers(1 << 62)), labels, codes))
+            for tree in range(neardup.TREES))
+    assert missed <= 1
 
 
 def test_pairs_in_a_hot_template_are_found(spark, monkeypatch):
     """Isolated pairs among many texts that are mostly template: all their nodes are large."""
-    monkeypatch.setattr(neardup, "PAIRS_PER_CLASS", 0)
+    monkeypatch.setattr(neardup, "SMALL_NODE", 16)
     rng = random.Random(21)
     template = prose(rng, 170).replace("\n", " ")
     rows = [template + " " + prose(rng, 40).replace("\n", " ") for _ in range(150)]
