@@ -503,9 +503,9 @@ S: dict[str, str] = {
         length(name) - length(replace(name, ' ', '')) as space_count from firm where {_SPACES}""",
     "whitespace_issues__count": f"select count(*) filter (where {_SPACES}) as names_with_whitespace_issues from firm",
     "trim_names": "select firm_id, trim(name) as name from firm",
-    "sync_details": f"""select firm_id, oa_id, {details('v2', new_id=NEW_ID)} as sync_details from graded""",
-    "sync_details__v0": f"select firm_id, oa_id, {details('v0', new_id='oa_payer_id')} as sync_details from graded1",
-    "sync_details__v1": f"select firm_id, oa_id, {details('v1', new_id='oa_payer_id')} as sync_details from graded1",
+    "sync_details": "select firm_id, sync_details from updated",
+    "sync_details__v0": "select firm_id, match_details as sync_details from annotated",
+    "sync_details__v1": "select firm_id, sync_details from updated1",
     "sync_details__feed": "select firm_id, match_details from mapped",
     "mismatch_type": f"select firm_id, {_MISMATCH} as mismatch_type from synced",
     "name_length_compare": f"""select firm_id, payer_id, name as current_name_in_firm,
@@ -703,10 +703,9 @@ S: dict[str, str] = {
         {pct('count(*)', _N['oa'])} as percentage from oa group by 1""",
     "payer_source_breakdown__firm": f"""select {source('from_v2')} as payer_id_source, count(*) as record_count,
         {pct('count(*)', _N['synced'])} as percentage from synced where sync_status is not null group by 1""",
-    "feed_cardinality": """select payer_id, name, count(*) as row_count,
-        (select string_agg(t, ', ' order by t) from (select distinct "transaction" as t from feed g
-            where g.payer_id = feed.payer_id and g.name = feed.name)) as transaction_types
-        from feed group by payer_id, name having count(*) <> 3""",
+    "feed_cardinality": """select distinct payer_id, name, row_count, "transaction" as transaction_type
+        from (select *, count(*) over (partition by payer_id, name) as row_count from feed)
+        where row_count <> 3""",
     "pivot_feed": "select * from pivoted",
     "completeness": f"""select count(payer_id_new) as has_payer_id_new, count(name_new) as has_name_new,
         {", ".join(f"count(payer_id_{k}) as has_{k}, {pct(f'count(payer_id_{k})', 'count(*)')} as {k}_percentage" for k in v.KINDS)},
@@ -760,8 +759,13 @@ S: dict[str, str] = {
     "claims_no_match__count": """select count(*) as record_count from annotated
         where match_status = 'NO_MATCH' and firm_id in (select firm_id from claim_ids)""",
     "update_preview": """select case when firm_id in (select firm_id from claim_ids) then 'In Claims'
-        else 'Patient Only' end as firm_usage, match_status, matched_via, count(*) as record_count
-        from resolved where firm_id in (select firm_id from pat_ids) group by all""",
+        else 'Patient Only' end as firm_usage, match_status, matched_via,
+        cast(sum(r) as bigint) as record_count, cast(sum(j) as bigint) as joined_rows from (
+            select firm_id, match_status, matched_via, 1 as r, 0 as j from resolved
+            union all select firm_id, match_status, matched_via, 0, 1 from (
+                select distinct h.firm_id, h.match_status, h.matched_via, o.name, o.payer_id, """ + ", ".join(
+        f"o.{c}" for c in v.PAYLOAD_COLS) + """ from hits h join oa o on o.firm_id = h.oa_id))
+        where firm_id in (select firm_id from pat_ids) group by all""",
     "active_status": """select case when starts_with(sync_status, 'ACTIVE_') then substr(sync_status, 8)
         else sync_status end as status, matched_via, count(*) as record_count from cleaned_ref
         where firm_id in (select firm_id from pat_ids) group by all""",
@@ -900,6 +904,11 @@ S: dict[str, str] = {
         from annotated where match_status = 'NO_MATCH' and payer_id is not null and name is not null""",
     "add_missing_to_oa__candidates": f"""select firm_id, payer_id, name, {IDS} from annotated
         where match_status = 'NO_MATCH' and payer_id is not null and name is not null""",
+    "analysis_cache": f"""select firm_id, payer_id as old_payer_id, name as old_name, oa_id,
+        {NEW_ID} as new_payer_id, oa_name as new_name, match_status, matched_via from resolved""",
+    "analysis_cache__preview": """select match_status, matched_via, count(*) as record_count
+        from resolved group by all""",
+    "analysis_cache__sync": f"select {TABLE_COLS} from synced",
     "mutation_counts": """select (select count(*) from resolved) as records_updated,
         (select count(*) from firm) - (select count(*) from kept) as records_deleted,
         (select count(*) from fresh) as records_inserted""",
@@ -932,10 +941,14 @@ S: dict[str, str] = {
     "v_needs_review__count": f"select count(*) as review_count from synced where {_NEEDS_REVIEW}",
     "v_needs_review__top": f"""select firm_id, payer_id, name, {_REASON} as review_reason, sync_status from synced
         where {_NEEDS_REVIEW} order by review_reason, name nulls first, firm_id limit 10""",
+    "stream_sync": f"""select {TABLE_COLS} from updated
+        union all by name select {TABLE_COLS} from inserted""",
     "run_sync": f"select {TABLE_COLS} from synced",
     "run_sync__option_c_reference": f"select {TABLE_COLS} from shaken",
     "run_sync__published": f"select {TABLE_COLS} from synced",
     "run_sync__option_b_patients": "select * from moved",
+    "run_sync__bucketed": f"select {TABLE_COLS} from synced",
+    "rollback__bucketed": f"select {TABLE_COLS} from tracked",
     "rollback__version": "select * from tracked",
     "snapshot__restore": "select * from firm",
     "run_usage_cleanup__published": f"select {TABLE_COLS} from cleaned_ref",

@@ -12,12 +12,14 @@ from ..functions import expressions as e, vocabulary as v
 from ..operators import (
     gaps as g, matching as m, mutations as mu, names as n, profiling as p, references as r,
     usage as u, views as w)
-from ..plans.sync import Tables, run_sync, synced
+from ..plans.analysis import analysis_cache
+from ..plans.sync import Tables, run_sync, synced, write_counted
 from ..plans.usage_cleanup import cleaned, run_usage_cleanup
 from ..sources import fixtures as fx
 from ..sources.tables import load_tables
+from ..streaming.changes import StreamedFirms
 from ..sources.versions import (
-    VersionedTable, checkpoint_root, cut_lineage, restore, snapshot)
+    BucketedTable, VersionedTable, checkpoint_root, cut_lineage, restore, snapshot)
 
 
 class Data:
@@ -132,6 +134,15 @@ def _published(d: Data, option: str = "A") -> tuple[DataFrame, DataFrame, DataFr
     return done, patients.read(d.spark), firms.rollback(d.spark, report["backup"])
 
 
+def _bucketed(d: Data, back: bool = False) -> DataFrame:
+    """A table of tracked firms after a sync in place, or rolled back to before it."""
+    firms = BucketedTable(_folder(d, "firms"), buckets=8)
+    firms.publish(mu.add_tracking_columns(d.firm))
+    tables = Tables(firms.read(d.spark), d.oa, d.pat, d.claims)
+    report = run_sync(tables, firms, d.ts)
+    return firms.rollback(d.spark, report["backup"]) if back else firms.read(d.spark)
+
+
 def _published_cleanup(d: Data) -> DataFrame:
     target = VersionedTable(_folder(d, "cleaned"))
     run_usage_cleanup(d.tables, target, d.ts, "reference")
@@ -162,20 +173,41 @@ def _classified_feed(d: Data, variant: str) -> DataFrame:
     return _pair_columns(m.classify_matches(pairs, variant, "single"), "single")
 
 
-def _details(d: Data, style: str) -> DataFrame:
-    key_mode = "multi" if style == "v2" else "single"
-    rows = m.classify_matches(_pairs(d, key_mode, "left"), "v2" if style == "v2" else "v1", key_mode)
-    via = "matched_via" if style == "v2" else None
-    new_id = "new_payer_id" if style == "v2" else "oa_payer_id"
-    return rows.select("firm_id", "oa_id", e.sync_details(
-        style, "match_status", via, "old_payer_id", "old_name", new_id, "new_name")
-        .alias("sync_details"))
-
-
 def _option_b(d: Data):
-    updated = mu.update_matched(d.firm_ids, d.oa, d.ts)
-    return mu.delete_garbage(updated, d.oa, d.pat, "B",
-                             garbage=g.garbage_firms(d.firm_ids, d.oa, "strict")), updated
+    both = m.two_sided(d.firm_ids, d.oa)
+    resolved = m.resolve_matches(d.firm_ids, d.oa, profile=both.profile)
+    updated = mu.update_matched(d.firm_ids, d.oa, d.ts, resolved=resolved, hot=both.hot)
+    return mu.delete_garbage(
+        updated, d.oa, d.pat, "B", resolved=resolved, hot=both.hot,
+        garbage=g.garbage_firms(d.firm_ids, d.oa, "strict", profile=both.profile))
+
+
+def _mutation_counts(d: Data) -> DataFrame:
+    """Sync and write, and report what was counted on the way."""
+    _, seen = write_counted(d.synced, VersionedTable(_folder(d, "firms")))
+    return mu.mutation_counts(seen, d.firm.count(), d.spark)
+
+
+def _streamed(d: Data) -> DataFrame:
+    """The firm table after the master arrived as a stream, in two files and micro-batches."""
+    source = _folder(d, "changes")
+    feed = d.oa.withColumn("seq", F.lit(1).cast("bigint"))
+    stream = StreamedFirms(d.spark, d.firm, _folder(d, "streamed"), buckets=8)
+    for part in ("firm_id < 1000000", "firm_id >= 1000000"):
+        feed.where(part).coalesce(1).write.mode("append").parquet(source)
+    changes = d.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream.start(changes, d.ts).awaitTermination()
+    return stream.current()
+
+
+def _analysed(d: Data, what: str) -> DataFrame:
+    """A result of a shared analysis, written before the analysis is dropped."""
+    with analysis_cache(d.firm, d.oa) as a:
+        if what == "sync":
+            out = synced(d.tables, d.ts, both=a.both, matches=a.matches)[0]
+        else:
+            out = getattr(a, what)()
+        return cut_lineage(out, "analysed")
 
 
 def _mapping(d: Data) -> DataFrame:
@@ -202,9 +234,11 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "whitespace_issues": lambda d: n.whitespace_issues(d.firm),
     "whitespace_issues__count": lambda d: n.whitespace_count(d.firm),
     "trim_names": lambda d: n.trim_names(d.firm).select("firm_id", "name"),
-    "sync_details": lambda d: _details(d, "v2"),
-    "sync_details__v0": lambda d: _details(d, "v0"),
-    "sync_details__v1": lambda d: _details(d, "v1"),
+    "sync_details": lambda d: d.updated.select("firm_id", "sync_details"),
+    "sync_details__v0": lambda d: d.annotated.select(
+        "firm_id", F.col("match_details").alias("sync_details")),
+    "sync_details__v1": lambda d: mu.update_matched(d.firm, d.oa1, d.ts, "single").select(
+        "firm_id", "sync_details"),
     "sync_details__feed": lambda d: d.mapped.select("firm_id", "match_details"),
     "mismatch_type": lambda d: d.synced.select("firm_id", e.mismatch_type().alias("mismatch_type")),
     "name_length_compare": lambda d: n.payer_id_only_review(d.annotated),
@@ -332,8 +366,7 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
         d.annotated.withColumnRenamed("match_status", "sync_status"), d.claims, d.pat),
     "claims_no_match__count": lambda d: u.claims_no_match_count(
         d.annotated.withColumnRenamed("match_status", "sync_status"), d.claims),
-    "update_preview": lambda d: u.update_preview(
-        mu.active_firms(d.firm, d.oa, d.pat, d.claims)),
+    "update_preview": lambda d: u.update_preview(d.firm, d.oa, d.pat, d.claims),
     "active_status": lambda d: u.active_status(d.cleaned, d.pat),
     "active_status__via": lambda d: u.active_via(d.cleaned),
     "reassignment_preview": lambda d: mu.reassignment_preview(_mapping(d), d.pat),
@@ -368,8 +401,8 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "delete_garbage": lambda d: d.kept,
     "delete_garbage__reference": lambda d: mu.delete_garbage(
         d.updated, d.oa, d.pat, "A", "reference"),
-    "delete_garbage__b": lambda d: _option_b(d)[0][0],
-    "delete_garbage__b_patients": lambda d: _option_b(d)[0][1],
+    "delete_garbage__b": lambda d: _option_b(d)[0],
+    "delete_garbage__b_patients": lambda d: _option_b(d)[1],
     "delete_garbage__c": lambda d: mu.delete_garbage(d.updated, d.oa, d.pat, "C"),
     "reassign_patients": lambda d: mu.reassign_patients(d.pat, _mapping(d)),
     "insert_new": lambda d: mu.insert_new(d.firm, d.oa, d.ts),
@@ -400,7 +433,10 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "add_missing_to_oa": lambda d: mu.add_missing_to_oa(d.annotated, d.oa1),
     "add_missing_to_oa__candidates": lambda d: mu.missing_in_oa(d.annotated).select(
         "firm_id", "payer_id", "name", *v.ID_COLS),
-    "mutation_counts": lambda d: mu.mutation_counts(d.firm, d.oa, d.pat),
+    "mutation_counts": _mutation_counts,
+    "analysis_cache": lambda d: _analysed(d, "listing"),
+    "analysis_cache__preview": lambda d: _analysed(d, "preview"),
+    "analysis_cache__sync": lambda d: _analysed(d, "sync"),
     # views
     "v_review": lambda d: w.v_review(d.annotated),
     "v_review__feed": lambda d: w.v_review(d.mapped, "name_from_payers_oa"),
@@ -414,10 +450,13 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "v_needs_review__count": lambda d: w.needs_review_count(d.synced),
     "v_needs_review__top": lambda d: w.needs_review_top(d.synced),
     # whole runs
+    "stream_sync": _streamed,
     "run_sync": lambda d: d.synced,
     "run_sync__option_c_reference": lambda d: d.shaken,
     "run_sync__published": lambda d: _published(d)[0],
     "run_sync__option_b_patients": lambda d: _published(d, "B")[1],
+    "run_sync__bucketed": _bucketed,
+    "rollback__bucketed": lambda d: _bucketed(d, back=True),
     "rollback__version": lambda d: _published(d)[2],
     "snapshot__restore": lambda d: restore(d.spark, snapshot(d.firm, _folder(d, "snapshot"))),
     "run_usage_cleanup__published": _published_cleanup,

@@ -35,23 +35,52 @@ def used_ids(*facts: DataFrame) -> DataFrame:
     return out if len(ids) == 1 else out.distinct()
 
 
+#: Bits of a firm's use.
+IN_PATIENTS, IN_CLAIMS = 1, 2
+
+
+def firm_usage(pat: DataFrame, claims: DataFrame) -> DataFrame:
+    """(firm_id, bits, patients, claims) of every firm some fact row refers to.
+
+    Both facts go through one aggregate, reduced before the shuffle, and are read once.
+    """
+    rows = pat.select(F.col(FK).alias("firm_id"), F.lit(IN_PATIENTS).alias("bit")).unionByName(
+        claims.select(F.col(FK).alias("firm_id"), F.lit(IN_CLAIMS).alias("bit")))
+    return rows.where("firm_id IS NOT NULL").groupBy("firm_id").agg(
+        F.bit_or("bit").alias("bits"), F.count_if(F.col("bit") == IN_PATIENTS).alias("patients"),
+        F.count_if(F.col("bit") == IN_CLAIMS).alias("claims"))
+
+
+def in_use(scope: str = "reference") -> Column:
+    """Firms of a usage table to keep: ``reference`` looks at patients only, ``safe`` at claims, too."""
+    bits = IN_PATIENTS if scope == "reference" else IN_PATIENTS | IN_CLAIMS
+    return F.col("bits").bitwiseAND(bits) != 0
+
+
+def usage_label() -> Column:
+    in_claims, patients_only = v.USAGE
+    return F.when(F.col("bits").bitwiseAND(IN_CLAIMS) != 0, in_claims).otherwise(patients_only)
+
+
 # ---------------------------------------------------------------- garbage
 def garbage_firms(firm: DataFrame, oa: DataFrame, mode: str = "reference",
-                  key_mode: str = "multi") -> DataFrame:
+                  key_mode: str = "multi", profile: DataFrame | None = None) -> DataFrame:
     """Firms the master does not know, with the number of joined rows each stands for.
 
     ``strict``: no master row matches. ``reference``: additionally every match on the name of a
     master row without any id, which deletes matched firms; such a firm counts once per row.
+    ``profile`` is the firms' match profile where it is known already.
     """
-    if mode == "strict":
+    if mode == "strict" and profile is None:
         return unmatched_firms(firm, oa, key_mode).withColumn(
             "joined_rows", F.lit(1).cast("bigint"))
-    if mode != "reference":
+    if mode not in ("reference", "strict"):
         raise ValueError("mode must be 'reference' or 'strict'")
-    rows = F.when(F.col("matched"), F.col("void")).otherwise(1).cast("bigint")
-    return (match_profile(firm, oa, key_mode)
-            .select("firm_id", "payer_id", "name", rows.alias("joined_rows"))
-            .where("joined_rows > 0"))
+    extra = F.col("void") if mode == "reference" else F.lit(0)
+    rows = F.when(F.col("matched"), extra).otherwise(1).cast("bigint")
+    profile = match_profile(firm, oa, key_mode) if profile is None else profile
+    return profile.select("firm_id", "payer_id", "name", rows.alias("joined_rows")).where(
+        "joined_rows > 0")
 
 
 def garbage_count(firm, oa, mode="reference", key_mode="multi") -> DataFrame:

@@ -15,12 +15,15 @@ whose result is the pairs, forms them.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import vocabulary as v
 from ..functions.expressions import (
     canonical_payer_id, percent, rank_order, same_name)
-from .skew import every_salt, grid_join, hot_keys, lookup, one_salt, salts_of
+from ..sources.versions import cut_lineage
+from .skew import counted_hot_keys, every_salt, grid_join, hot_keys, lookup, one_salt, salts_of
 
 
 def id_columns(key_mode: str) -> tuple[str, ...]:
@@ -99,21 +102,29 @@ def master_keys(oa: DataFrame, key_mode: str = "multi", kinds: str = "xin",
 _SORTS = ("void", "full", "empty")
 
 
-def master_index(oa: DataFrame, key_mode: str = "multi") -> DataFrame:
-    """Per key: how many master rows carry it, of which sorts, and the lowest id of each."""
+def _marked_master(oa: DataFrame, key_mode: str) -> DataFrame:
     ids = id_columns(key_mode)
-    marked = oa.selectExpr(
+    return oa.selectExpr(
         "firm_id", "name", *ids, "name IS NOT NULL AS named",
         " AND ".join(f"{c} IS NULL" for c in ids) + " AS void",
         " AND ".join(f"{c} IS NOT NULL" for c in ids) + " AS full",
         f"coalesce({ids[0]} = '', false) AS empty")
-    keys = master_keys(marked, key_mode, keep=("named",) + _SORTS)
+
+
+def _index_aggs(key_mode: str) -> list[Column]:
+    """What a key tells of its master rows; rows of firms, which have none of these, don't count."""
     groups = {via: f"via = '{via}'" for via in vias(key_mode) + ("name",)}
     groups.update({sort: sort for sort in _SORTS})
     aggs = ["count_if(named) AS n_named", "count_if(named AND full) AS n_named_full"]
     for name, hit in groups.items():
         aggs += [f"count_if({hit}) AS n_{name}", f"min(IF({hit}, oa_id, NULL)) AS best_{name}"]
-    return keys.groupBy("key").agg(*map(F.expr, aggs))
+    return [*map(F.expr, aggs)]
+
+
+def master_index(oa: DataFrame, key_mode: str = "multi") -> DataFrame:
+    """Per key: how many master rows carry it, of which sorts, and the lowest id of each."""
+    keys = master_keys(_marked_master(oa, key_mode), key_mode, keep=("named",) + _SORTS)
+    return keys.groupBy("key").agg(*_index_aggs(key_mode))
 
 
 # ---------------------------------------------------------------- profile
@@ -132,7 +143,11 @@ def match_profile(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
     """
     keys = firm_keys(firm, alt_name=alt_name)
     joined = lookup(keys, master_index(oa, key_mode), "key", "firm_id", hot=hot, keyless=False)
+    return joined.groupBy("firm_id", "payer_id", "name").agg(*_profile_aggs(key_mode)).selectExpr(
+        "*", *_profile_totals(key_mode))
 
+
+def _profile_aggs(key_mode: str) -> list[Column]:
     def at(kind, col, name):
         return f"max(IF(kind = '{kind}', {col}, NULL)) AS {name}"
 
@@ -149,10 +164,57 @@ def match_profile(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
     for sort in _SORTS:
         aggs += [number("n", f"n_{sort}", sort), at("n", f"best_{sort}", f"best_{sort}")]
     aggs += [number("x", "n_named", "named"), number("x", "n_named_full", "named_full")]
+    return [*map(F.expr, aggs)]
+
+
+def _profile_totals(key_mode: str) -> list[str]:
     by_id = " + ".join(f"i_{via}" for via in vias(key_mode))
-    return joined.groupBy("firm_id", "payer_id", "name").agg(*map(F.expr, aggs)).selectExpr(
-        "*", "IF(name IS NULL, 0, named) AS both", "IF(name IS NULL, 0, named_full) AS both_full",
-        f"{by_id} AS id_hits", f"{by_id} + same_name > 0 AS matched")
+    return ["IF(name IS NULL, 0, named) AS both", "IF(name IS NULL, 0, named_full) AS both_full",
+            f"{by_id} AS id_hits", f"{by_id} + same_name > 0 AS matched"]
+
+
+@dataclass
+class TwoSided:
+    """Both tables matched in one go and written: see ``two_sided``."""
+    profile: DataFrame      # one row per firm, as match_profile gives it
+    new: DataFrame          # firm_id of the master rows no firm matches
+    hot: dict               # hot keys of the firms, and their salts
+
+
+def two_sided(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
+              alt_name: str | None = None) -> TwoSided:
+    """Match firms and master rows by one keyed join that serves both sides.
+
+    The key rows of both tables are reduced to one row per key, with what ``match_profile`` needs
+    of the master rows and the number of firms. Written, it also holds the exact number of rows of
+    each key, so hot keys are known without a pass of their own. Both sides' rows then look their
+    keys up together; a master row is new if none of its keys has a firm. Both tables are read
+    twice, whatever is derived from the result later.
+    """
+    firm_rows = firm_keys(firm, alt_name=alt_name).select(
+        F.lit("firm").alias("side"), F.col("firm_id").alias("id"), "payer_id", "name", "kind", "key")
+    master_rows = master_keys(_marked_master(oa, key_mode), key_mode, keep=("named",) + _SORTS,
+                              every_row=True)
+    rows = firm_rows.unionByName(master_rows.withColumn("side", F.lit("master")),
+                                 allowMissingColumns=True)
+    found = "kind IN ('i', 'n')"     # a name given later and both values together are no more
+    index = cut_lineage(
+        rows.where("NOT (startswith(key, '-:') OR startswith(key, '=:'))").groupBy("key").agg(
+            *_index_aggs(key_mode), F.expr(f"count_if(side = 'firm' AND {found}) AS n_firms"),
+            F.expr("count_if(side = 'firm') AS firm_rows"),
+            F.expr(f"count_if(side = 'firm' OR {found}) AS all_rows")), "match-index")
+    looked_up = firm_rows.unionByName(master_rows.where(found).select(
+        F.lit("master").alias("side"), F.col("oa_id").alias("id"), "kind", "key"),
+        allowMissingColumns=True)
+    joined = lookup(looked_up, index, "key", "id", keyless=False,
+                    hot=counted_hot_keys(index, "key", "all_rows"))
+    stored = cut_lineage(joined.groupBy("side", "id", "payer_id", "name").agg(
+        *_profile_aggs(key_mode), F.coalesce(F.max("n_firms"), F.lit(0)).alias("firm_hits")),
+        "match-profile")
+    profile = stored.where("side = 'firm'").withColumnRenamed("id", "firm_id").drop(
+        "side", "firm_hits").selectExpr("*", *_profile_totals(key_mode))
+    new = stored.where("side = 'master' AND firm_hits = 0").select(F.col("id").alias("firm_id"))
+    return TwoSided(profile, new, counted_hot_keys(index, "key", "firm_rows"))
 
 
 def _blank(c) -> Column:
@@ -174,12 +236,13 @@ def unmatched_outcome(variant: str) -> tuple[Column, Column]:
 
 
 def outcome_counts(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
-                   variant: str = "v2", how: str = "left") -> DataFrame:
+                   variant: str = "v2", how: str = "left",
+                   profile: DataFrame | None = None) -> DataFrame:
     """(firm_id, match_status, matched_via, n): how many joined rows each firm yields.
 
     A firm has at most one line per status and via.
     """
-    profile = match_profile(firm, oa, key_mode)
+    profile = match_profile(firm, oa, key_mode) if profile is None else profile
     tracked = variant in ("v2", "preflight")
     payer = F.col("payer_id")
     rest = F.col("same_name") - F.col("both")   # same name, other id

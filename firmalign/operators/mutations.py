@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions import vocabulary as v
 from ..functions.expressions import (
     any_null, canonical_payer_id, invalid_payer_predicate, payer_source, quoted, sync_details,
     values_differ)
-from .gaps import FK, fact_counts, garbage_firms, new_ids, used_ids
+from ..sources.versions import cut_lineage
+from .gaps import (
+    FK, fact_counts, firm_usage, garbage_firms, in_use, new_ids, usage_label, used_ids)
 from .matching import (
-    firm_hot_keys, match_profile, resolve_matches, unmatched_firms, unmatched_outcome, with_master)
+    TwoSided, firm_hot_keys, resolve_matches, two_sided, unmatched_outcome, with_master)
 from .names import correct_id_by_name, sub_payer_match
 from .skew import lookup
 
@@ -53,19 +55,21 @@ def _payload() -> dict[str, Column]:
 
 def update_matched(firm: DataFrame, oa: DataFrame, run_ts: Column, key_mode: str = "multi",
                    resolved: DataFrame | None = None, hot: dict | None = None,
-                   mark: Column | None = None) -> DataFrame:
+                   mark: Column | None = None, matches: DataFrame | None = None) -> DataFrame:
     """Phase 1: matched firms take the master's values next to their own old ones.
 
     ``mark`` is an expression over the resolved match, kept as column ``_mark`` (NULL where
-    nothing matched), for a later phase to go by without matching again.
+    nothing matched), for a later phase to go by without matching again. ``matches`` are the
+    resolved matches with the master's values where these are known already.
     """
     firm = add_tracking_columns(firm)
     variant = "v2" if key_mode == "multi" else "v1"
-    if hot is None:
-        hot = firm_hot_keys(firm)
-    if resolved is None:
-        resolved = resolve_matches(firm, oa, key_mode, variant, hot=hot)
-    m = with_master(firm, oa, resolved, key_mode, hot=hot)
+    if matches is None:
+        if hot is None:
+            hot = firm_hot_keys(firm)
+        if resolved is None:
+            resolved = resolve_matches(firm, oa, key_mode, variant, hot=hot)
+        matches = with_master(firm, oa, resolved, key_mode, hot=hot)
     new_id = canonical_payer_id(OA_IDS) if key_mode == "multi" else F.col("oa_payer_id")
     columns = {
         "payer_id_new": new_id, "name_new": F.col("oa_name"), **_payload(),
@@ -78,7 +82,7 @@ def update_matched(firm: DataFrame, oa: DataFrame, run_ts: Column, key_mode: str
         columns["matched_via"] = F.col("matched_via")
     if mark is not None:
         firm, columns["_mark"] = firm.withColumn("_mark", F.lit(None).cast("boolean")), mark
-    return _apply(firm, m, columns)
+    return _apply(firm, matches, columns)
 
 
 def annotate_matches(firm: DataFrame, oa: DataFrame, run_ts: Column) -> DataFrame:
@@ -124,18 +128,22 @@ def annotate_from_feed(firm: DataFrame, pivot: DataFrame, run_ts: Column) -> Dat
 
 # ---------------------------------------------------------------- phase 2: delete
 def reassignment_map(firm: DataFrame, oa: DataFrame, mode: str = "strict",
-                     garbage: DataFrame | None = None,
-                     resolved: DataFrame | None = None) -> DataFrame:
+                     garbage: DataFrame | None = None, resolved: DataFrame | None = None,
+                     hot: dict | None = None) -> DataFrame:
     """Garbage firm -> lowest surviving firm known under one of the ids it stores itself.
 
     A garbage firm matches no master row, so its stored sub-payer ids are the only lead. A
     survivor is known under its own payer id and every id of the master row it resolves to.
-    ``garbage`` and ``resolved`` are taken as given where they are known already.
+    ``garbage``, ``resolved`` and ``hot`` are taken as given where they are known already;
+    otherwise both tables are matched once for all three.
     """
-    garbage = (garbage_firms(firm, oa, mode) if garbage is None else garbage).select("firm_id")
-    hot = firm_hot_keys(firm)
-    if resolved is None:
-        resolved = resolve_matches(firm, oa, hot=hot)
+    if garbage is None or resolved is None:
+        both = two_sided(firm, oa)
+        hot = both.hot
+        resolved = resolve_matches(firm, oa, profile=both.profile)
+        if garbage is None:
+            garbage = garbage_firms(firm, oa, mode, profile=both.profile)
+    garbage = garbage.select("firm_id")
     resolved = with_master(firm, oa, resolved, payload=v.ID_COLS, hot=hot)
     known = (resolved.join(garbage, "firm_id", "left_anti")
              .select("firm_id", F.explode(F.array("payer_id", *OA_IDS)).alias("key"))
@@ -163,7 +171,7 @@ def reassignment_preview(mapping: DataFrame, pat: DataFrame) -> DataFrame:
 
 def delete_garbage(firm: DataFrame, oa: DataFrame, pat: DataFrame, option: str = "A",
                    mode: str = "strict", garbage: DataFrame | None = None,
-                   resolved: DataFrame | None = None):
+                   resolved: DataFrame | None = None, hot: dict | None = None):
     """Phase 2. ``A`` spares firms with patients, ``C`` deletes all garbage.
 
     ``B`` first moves patients to surviving firms and then deletes what nobody refers to any
@@ -177,32 +185,32 @@ def delete_garbage(firm: DataFrame, oa: DataFrame, pat: DataFrame, option: str =
     if option == "C":
         return firm.join(ids, "firm_id", "left_anti")
     if option == "B":
-        moved = reassign_patients(pat, reassignment_map(firm, oa, mode, ids, resolved))
+        moved = reassign_patients(pat, reassignment_map(firm, oa, mode, ids, resolved, hot))
         gone = ids.join(used_ids(moved), "firm_id", "left_anti")
         return firm.join(gone, "firm_id", "left_anti"), moved
     raise ValueError("option must be 'A', 'B' or 'C'")
 
 
 # ---------------------------------------------------------------- phase 3: insert
-def allocate_ids(rows: DataFrame, key: str, start: Column, bits: int = 20) -> DataFrame:
-    """Add ``new_id`` = start + 1, start + 2, ... in the order of a unique non-negative key.
+def allocate_ids(rows: DataFrame, key: str, start: Column) -> DataFrame:
+    """Add ``new_id`` = start + 1, start + 2, ... in the order of a unique key.
 
-    The position is the sum of three counts: smaller keys in the same block of 2**bits values,
-    rows in earlier blocks of the same super block, and rows in earlier super blocks. Keys are
-    unique, so no window ever holds more than 2**bits rows, whatever the number of rows.
+    The rows are evaluated once, written, dealt into ranges of the key and written again with
+    their place in their range. An id is that place plus the rows in all ranges before, a sum over
+    one count per range. What is written doesn't change, so neither do the ids if a task is run
+    again. Bring narrow rows and join the wide ones to their number.
     """
-    block, upper = F.shiftright(key, bits), F.shiftright("_b", bits)
-    rows = rows.withColumn("_b", block)
-    blocks = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).withColumn("_u", upper)
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
-    uppers = blocks.groupBy("_u").agg(F.sum("n").alias("n")).select("_u", F.coalesce(
-        F.sum("n").over(before.orderBy("_u")), F.lit(0)).alias("_uo"))
-    offsets = blocks.withColumn("_bo", F.coalesce(F.sum("n").over(
-        before.partitionBy("_u").orderBy("_b")), F.lit(0))).join(uppers, "_u").select(
-        "_b", (F.col("_uo") + F.col("_bo")).alias("_o"))
-    local = F.row_number().over(Window.partitionBy("_b").orderBy(key))
-    return (rows.withColumn("_l", local).join(offsets, "_b")
-            .withColumn("new_id", start + F.col("_o") + F.col("_l")).drop("_b", "_l", "_o"))
+    rows = cut_lineage(rows, "to-number")
+    # The place of a row within its task is what the lower bits of this id count.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = cut_lineage(rows.repartitionByRange(key).sortWithinPartitions(key).select(
+        "*", F.spark_partition_id().alias("_range"), place.alias("_place")), "numbered")
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    return (ranged.join(offsets, "_range")
+            .withColumn("new_id", start + F.col("_before") + F.col("_place") + 1)
+            .drop("_range", "_place", "_before"))
 
 
 def new_firm_columns(run_ts: Column, status: str = v.NEW_FROM_OA,
@@ -227,43 +235,50 @@ def new_firm_columns(run_ts: Column, status: str = v.NEW_FROM_OA,
 
 def insert_new(firm: DataFrame, oa: DataFrame, run_ts: Column, status: str = v.NEW_FROM_OA,
                key_mode: str = "multi", known: DataFrame | None = None,
-               numbered_after: DataFrame | None = None) -> DataFrame:
+               numbered_after: DataFrame | None = None, new: DataFrame | None = None) -> DataFrame:
     """Phase 3: append the master rows no firm matches, under fresh consecutive ids.
 
     ``known`` is the table to look for matches in (default: ``firm``). Passing the table as it was
-    before a strict deletion gives the same rows without depending on it. Numbers start after the
-    highest id of ``numbered_after`` (default: ``known``): pass the table as it was before any
-    deletion, as facts may still point at a deleted firm, whose id must not be used again.
+    before a strict deletion gives the same rows without depending on it; ``new`` hands over the
+    ids of those rows where they are known already. Numbers start after the highest id of
+    ``numbered_after``: the table as it was before any deletion, as facts may still point at a
+    deleted firm, whose id must not be used again. It must be named where ``known`` or ``new`` is,
+    that is where the table may have been shortened.
     """
-    known = firm if known is None else known
-    numbered_after = known if numbered_after is None else numbered_after
+    if numbered_after is None:
+        if known is not None or new is not None:
+            raise ValueError("name the table before any deletion: numbered_after")
+        numbered_after = firm
     highest = numbered_after.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
+    if new is None:
+        new = new_ids(oa, firm if known is None else known, key_mode)
     # Number the bare ids first; the wide rows move only once, to meet their number.
-    numbered = oa.join(allocate_ids(new_ids(oa, known, key_mode), "firm_id", highest), "firm_id")
+    numbered = oa.join(allocate_ids(new, "firm_id", highest), "firm_id")
     return add_tracking_columns(firm).unionByName(
         numbered.select(*new_firm_columns(run_ts, status, key_mode)))
 
 
 # ---------------------------------------------------------------- usage-based cleanup
-def active_firms(firm, oa, pat, claims, scope: str = "reference") -> DataFrame:
+def active_firms(firm, oa, pat, claims, scope: str = "reference", usage: DataFrame | None = None,
+                 both: TwoSided | None = None) -> DataFrame:
     """Resolved matches of the firms in use, with their usage label.
 
-    ``reference`` takes firms patients use; ``safe`` adds those only claims use.
+    ``reference`` takes firms patients use; ``safe`` adds those only claims use. ``usage`` is what
+    ``firm_usage`` gives, ``both`` the match of the firms in use, where these are known already.
     """
-    used = used_ids(pat) if scope == "reference" else used_ids(pat, claims)
-    kept = firm.join(used, "firm_id", "left_semi")
-    in_claims, patients_only = v.USAGE
-    flags = used_ids(claims).withColumn("_hit", F.lit(1))
-    hot = firm_hot_keys(kept)
-    matches = with_master(kept, oa, resolve_matches(kept, oa, hot=hot), hot=hot)
-    return (matches.join(flags, "firm_id", "left")
-            .withColumn("firm_usage", F.when(F.col("_hit").isNotNull(), in_claims)
-                        .otherwise(patients_only)).drop("_hit"))
-
-
-def update_active(firm, oa, pat, claims, run_ts: Column, scope: str = "reference") -> DataFrame:
-    firm = add_tracking_columns(firm)
-    return _apply(firm, active_firms(firm, oa, pat, claims, scope), {
+    usage = cut_lineage(firm_usage(pat, claims), "usage") if usage is None else usage
+    if both is None:
+        both = two_sided(delete_unused(firm, pat, claims, scope, usage), oa)
+    matches = with_master(firm, oa, resolve_matches(firm, oa, profile=both.profile), hot=both.hot)
+    return matches.join(usage.select("firm_id", usage_label().alias("firm_usage")), "firm_id")
+
+
+def update_active(firm, oa, pat, claims, run_ts: Column, scope: str = "reference",
+                  usage: DataFrame | None = None, both: TwoSided | None = None) -> DataFrame:
+    if usage is None:
+        usage = cut_lineage(firm_usage(pat, claims), "usage")
+    active = active_firms(firm, oa, pat, claims, scope, usage, both)
+    return _apply(add_tracking_columns(firm), active, {
         "payer_id_new": canonical_payer_id(OA_IDS), "name_new": F.col("oa_name"), **_payload(),
         "sync_status": F.concat(F.lit(v.ACTIVE_PREFIX), "match_status"),
         "sync_details": F.concat(F.lit("Updated with OA data. Usage: "), "firm_usage",
@@ -271,9 +286,13 @@ def update_active(firm, oa, pat, claims, run_ts: Column, scope: str = "reference
         "last_synced_at": run_ts, "matched_via": F.col("matched_via")})
 
 
-def delete_unused(firm, pat, claims, scope: str = "reference") -> DataFrame:
+def delete_unused(firm, pat, claims, scope: str = "reference",
+                  usage: DataFrame | None = None) -> DataFrame:
     """Keep firms in use. ``reference`` looks at patients only and so drops firms with claims."""
-    used = used_ids(pat) if scope == "reference" else used_ids(pat, claims)
+    if usage is not None:
+        used = usage.where(in_use(scope)).select("firm_id")
+    else:
+        used = used_ids(pat) if scope == "reference" else used_ids(pat, claims)
     return firm.join(used, "firm_id", "left_semi")
 
 
@@ -293,15 +312,14 @@ def late_sync(firm, oa, run_ts: Column, only_missing: bool = True,
     if key_mode == "single":
         as_new = todo.select("firm_id", F.col("payer_id_new").alias("payer_id"),
                              F.col("name_new").alias("name"))
-        hot = firm_hot_keys(as_new)
-        m = with_master(as_new, oa, resolve_matches(as_new, oa, "single", "v1", hot=hot),
-                        "single", hot=hot)
+        both = two_sided(as_new, oa, "single")
+        resolved = resolve_matches(as_new, oa, "single", "v1", profile=both.profile)
+        m = with_master(as_new, oa, resolved, "single", hot=both.hot)
         return _apply(firm, m, {**_payload(), "sync_status": F.lit(v.SYNCED_LATE),
                                 "sync_details": F.lit("Synced in cleanup phase"),
                                 "last_synced_at": run_ts})
-    hot = firm_hot_keys(todo, "name_new")
-    profile = match_profile(todo, oa, alt_name="name_new", hot=hot)
-    m = with_master(todo, oa, resolve_matches(todo, oa, profile=profile), hot=hot)
+    both = two_sided(todo, oa, alt_name="name_new")
+    m = with_master(todo, oa, resolve_matches(todo, oa, profile=both.profile), hot=both.hot)
     return _apply(firm, m, {
         "payer_id_new": canonical_payer_id(OA_IDS), "name_new": F.col("oa_name"), **_payload(),
         "sync_status": F.lit(v.SYNCED_LATE),
@@ -444,20 +462,29 @@ def missing_in_oa(firm) -> DataFrame:
 def add_missing_to_oa(firm, oa) -> DataFrame:
     """Append those firms to the master under fresh ids, in the order of their firm id."""
     highest = oa.agg(F.coalesce(F.max("firm_id"), F.lit(0))).scalar()
-    rows = allocate_ids(missing_in_oa(firm), "firm_id", highest)
+    rows = allocate_ids(missing_in_oa(firm).select("firm_id", "payer_id", "name", *v.PAYLOAD_COLS),
+                        "firm_id", highest)
     return oa.unionByName(rows.select(F.col("new_id").cast("bigint").alias("firm_id"), "payer_id",
                                       "name", *v.PAYLOAD_COLS))
 
 
 # ---------------------------------------------------------------- counts
-def mutation_counts(firm, oa, pat, option: str = "A", mode: str = "strict") -> DataFrame:
-    """Rows each phase of a sync updates, deletes and inserts."""
-    garbage = unmatched_firms(firm, oa) if mode == "strict" else garbage_firms(firm, oa, mode)
-    updated = resolve_matches(firm, oa).agg(F.count(F.lit(1))).scalar()
-    kept = delete_garbage(firm, oa, pat, option, mode, garbage)
-    kept = kept[0] if option == "B" else kept
-    inserted = new_ids(oa, firm if mode == "strict" else kept).agg(F.count(F.lit(1))).scalar()
-    total = firm.agg(F.count(F.lit(1))).scalar()
-    return kept.agg(F.count(F.lit(1)).alias("k")).select(
-        updated.alias("records_updated"), (total - F.col("k")).alias("records_deleted"),
-        inserted.alias("records_inserted"))
+def observed(synced: DataFrame, name: str = "sync") -> tuple[DataFrame, Observation]:
+    """A synced table that counts itself while it is written.
+
+    The counters sit on the rows as they leave the plan, in the tasks that write them, so a task
+    run again is counted once and nothing is matched or read again to count.
+    """
+    seen = Observation(name)
+    return synced.observe(
+        seen, F.count(F.lit(1)).alias("final_count"),
+        F.count_if(F.col("sync_status").isin(*v.MATCHED)).alias("updated"),
+        F.count_if(F.col("sync_status") == v.NEW_FROM_OA).alias("inserted")), seen
+
+
+def mutation_counts(written: Observation, firms: int, spark) -> DataFrame:
+    """Rows the phases of a sync updated, deleted and inserted, as counted while it was written."""
+    n = written.get
+    return spark.createDataFrame(
+        [(n["updated"], firms + n["inserted"] - n["final_count"], n["inserted"])],
+        "records_updated bigint, records_deleted bigint, records_inserted bigint")

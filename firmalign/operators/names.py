@@ -102,19 +102,25 @@ def ranked_grams(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float,
-                  ranked: DataFrame | None = None, equal: bool = True) -> DataFrame:
+                  ranked: DataFrame | None = None, equal: bool = True,
+                  first: int | None = None) -> DataFrame:
     """All pairs of distinct names with similarity above ``threshold``, each once.
 
     Set-similarity join with prefix filtering. Two sets that agree above t share more than t times
     the size of either. Sorted rarest member first, the first ``size - shared + 2`` members of
     both then have two members in common, so joining on pairs of such members misses nothing and
     leaves common grams out. (Below one half, one common member is all that is certain.)
-    Other columns of both sides are carried along; ``equal=False`` leaves out equal names.
+    Other columns of both sides are carried along; ``equal=False`` leaves out equal names. With
+    ``first`` only that many of the rarest members of each name are joined on, which finds some of
+    the pairs at little cost.
     """
     together = 2 if threshold >= 0.5 else 1
     ranked = ranked_grams(left, right) if ranked is None else ranked
     shared = f"floor({threshold} * size(g) - 1e-9) + 1"
-    prefix = ranked.withColumn("p", F.expr(f"slice(g, 1, int(size(g) - ({shared}) + {together}))"))
+    length = f"size(g) - ({shared}) + {together}"
+    if first is not None:
+        length = f"least({length}, {first})"
+    prefix = ranked.withColumn("p", F.expr(f"slice(g, 1, int({length}))"))
     if together == 2:
         keys = ("flatten(transform(p, (x, i) -> transform(slice(p, i + 2, size(p)), "
                 "y -> concat(x, y))))")
@@ -144,23 +150,25 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float,
 
 
 def fuzzy_name_matches(firm: DataFrame, oa: DataFrame, lo: float = 0.6, hi: float = 1.0,
-                       k: int = 20, steps=(0.9, 0.8, 0.7)) -> DataFrame:
+                       k: int = 20, first: int = 3) -> DataFrame:
     """The k most similar (firm, master row) pairs with similarity strictly between lo and hi.
 
-    Thresholds are lowered from high to low until k pairs lie above one: the top k are then
-    among them, and the broad, costly threshold is reached only if nothing closer exists.
-    Ties go to the lowest firm, then to the lowest master row.
+    One join on the rarest grams of each name finds k pairs at little cost. The similarity of the
+    worst of them is a bound that the true top k can't fall below, so one more join, with the
+    prefixes that bound asks for, finds them all; the broad, costly threshold is reached only if
+    there is nothing closer. Ties go to the lowest firm, then to the lowest master row.
     """
     left, right = _distinct_names(firm, "firm"), _distinct_names(oa, "oa")
     order = [F.desc("name_similarity"), "firm_min", "oa_min"]
     ranked = ranked_grams(left, right)
-    for threshold in [t for t in steps if t > lo] + [lo]:
-        pairs = similar_names(left, right, threshold, ranked, equal=hi > 1.0)
+    bound = lo
+    for few in (first, None):
+        pairs = similar_names(left, right, bound, ranked, equal=hi > 1.0, first=few)
         best = pairs.where(F.col("name_similarity") < hi).orderBy(*order).limit(k)
         # One row per name pair is enough: rows of later pairs sort after k earlier ones.
         found = best.collect()   # k rows at most
-        if len(found) >= k:
-            break
+        if len(found) == k:
+            bound = max(lo, found[-1]["name_similarity"] - 1e-9)   # pairs as similar count, too
     best = firm.sparkSession.createDataFrame(found, best.schema)
 
     def lowest(df, names, tag):

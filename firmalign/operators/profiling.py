@@ -206,12 +206,13 @@ def duplicate_keys(df: DataFrame, key: str, show: str | Column, label: str,
 
 
 def feed_cardinality(feed: DataFrame) -> DataFrame:
-    """Payers that do not have exactly three feed rows, with their transaction types."""
+    """Payers that do not have exactly three feed rows, a row for each of their transaction types."""
     seen = feed.groupBy("payer_id", "name", "transaction").agg(_n().alias("n"))
-    return (seen.groupBy("payer_id", "name").agg(
-        F.sum("n").alias("row_count"),
-        F.array_join(F.array_sort(F.collect_list("transaction")), ", ")
-        .alias("transaction_types")).where("row_count <> 3"))
+    totals = (seen.groupBy(F.col("payer_id").alias("_id"), F.col("name").alias("_name"))
+              .agg(F.sum("n").alias("row_count")).where("row_count <> 3"))
+    return seen.join(totals, F.col("payer_id").eqNullSafe(F.col("_id"))
+                     & F.col("name").eqNullSafe(F.col("_name"))).select(
+        "payer_id", "name", "row_count", F.col("transaction").alias("transaction_type"))
 
 
 def pivot_feed(feed: DataFrame) -> DataFrame:

@@ -41,6 +41,17 @@ def hot_keys(df: DataFrame, key: str) -> dict:
     return {t["item"]: -(-t["count"] * parts // row["n"]) for t in row["top"] if t["count"] > fair}
 
 
+def counted_hot_keys(counts: DataFrame, key: str, n: str) -> dict:
+    """The same from a stored table of exact counts per key, without a pass over the rows."""
+    parts = _partitions(counts)
+    min_rows = int(counts.sparkSession.conf.get(MIN_HOT_ROWS, "100000"))
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).scalar()
+    # Fewer keys than partitions can lie above a fair share, so the result is bounded.
+    hot = counts.where(F.col(key).isNotNull() & (F.col(n) > min_rows)
+                       & (F.col(n) * parts > total)).select(key, n, total.alias("total"))
+    return {r[0]: -(-r[1] * parts // r[2]) for r in hot.collect()}
+
+
 def salts_of(hot: dict, key: Column) -> Column:
     """Number of salts of a key: 1 unless it is hot.
 

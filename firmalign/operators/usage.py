@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import vocabulary as v
 from ..functions.expressions import oa_match_status, percent, rank_order, strip_status_prefix
-from .gaps import FK, used_ids
+from ..sources.versions import cut_lineage
+from .gaps import FK, firm_usage, in_use, usage_label, used_ids
+from .matching import outcome_counts, resolve_matches, two_sided
 from .references import firms_with_counts, unused_firms
 
 
@@ -128,10 +130,27 @@ def usage_match_quality(firm, pat, claims) -> DataFrame:
     return groups.withColumn("percentage", percent("record_count", total))
 
 
-def update_preview(active: DataFrame) -> DataFrame:
-    """Active firms per usage, status and via, before the update."""
-    return (active.groupBy("firm_usage", "match_status", "matched_via")
-            .agg(F.count(F.lit(1)).alias("record_count"))
+def update_preview(firm, oa, pat, claims, scope: str = "reference") -> DataFrame:
+    """What an update of the firms in use would touch, per usage, status and via.
+
+    ``record_count``: firms by the match they take. ``joined_rows``: distinct (firm, master values)
+    rows behind it. Master rows that agree in every column but their id are one row there, so
+    they are merged first; the counts then come from the match profile, without forming a pair.
+    """
+    usage = cut_lineage(firm_usage(pat, claims), "usage")
+    kept = firm.join(usage.where(in_use(scope)).select("firm_id"), "firm_id", "left_semi")
+    values = [c for c in oa.columns if c != "firm_id"]
+    distinct = oa.groupBy(*values).agg(F.min("firm_id").alias("firm_id"))
+    profile = two_sided(kept, distinct).profile
+    line = ("firm_id", "match_status", "matched_via")
+    joined = outcome_counts(kept, distinct, how="inner", profile=profile).select(
+        *line, F.lit(0).cast("bigint").alias("firms"), "n")
+    taken = resolve_matches(kept, distinct, profile=profile).select(
+        *line, F.lit(1).cast("bigint").alias("firms"), F.lit(0).cast("bigint").alias("n"))
+    return (joined.unionByName(taken)
+            .join(usage.select("firm_id", usage_label().alias("firm_usage")), "firm_id")
+            .groupBy("firm_usage", "match_status", "matched_via")
+            .agg(F.sum("firms").alias("record_count"), F.sum("n").alias("joined_rows"))
             .orderBy(rank_order("firm_usage", v.USAGE), rank_order("match_status"),
                      "matched_via"))
 

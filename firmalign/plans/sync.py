@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import vocabulary as v
-from ..operators.gaps import used_ids
-from ..operators.matching import firm_hot_keys, match_profile, resolve_matches
+from ..operators.gaps import garbage_firms, used_ids
+from ..operators.matching import TwoSided, resolve_matches, two_sided
 from ..operators.mutations import (
-    add_tracking_columns, delete_garbage, insert_new, update_matched)
+    add_tracking_columns, delete_garbage, insert_new, observed, update_matched)
 from ..operators.references import orphan_total
-from ..sources.versions import VersionedTable, cut_lineage
+from ..sources.versions import VersionedTable
+from .analysis import Analysis, analysis_cache
 
 
 @dataclass
@@ -24,21 +24,23 @@ class Tables:
 
 
 def synced(tables: Tables, run_ts: Column, option: str = "A", mode: str = "strict",
-           profile: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(firms, patients) after a sync, as a lazy plan.
-
-    The firms are matched once: the update marks which of them are garbage, and the deletion goes
-    by that mark. An update never changes the columns firms are matched on, so what is new is
-    looked for in the narrow input table, less the firms a reference-mode deletion removes.
+           both: TwoSided | None = None,
+           matches: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(firms, patients) after a sync.
+
+    Firms and master rows are matched once, for both sides: the update marks which firms are
+    garbage, the deletion goes by that mark, and the master rows without a firm are the new ones.
+    An update never changes the columns firms are matched on. Only a reference-mode deletion removes
+    matched firms; what is new is then looked for again in the firms it leaves.
     """
     firm, oa, pat = tables.firm, tables.oa, tables.patients
-    hot = firm_hot_keys(firm)
-    if profile is None:
-        profile = match_profile(firm, oa, hot=hot)
-    resolved = resolve_matches(firm, oa, profile=profile)
+    if both is None:
+        both = two_sided(firm, oa)
+    resolved = resolve_matches(firm, oa, profile=both.profile)
     # A matched firm is kept, but not by reference rules if a row without ids carries its name.
     known_good = F.lit(True) if mode == "strict" else F.col("void") == 0
-    marked = update_matched(firm, oa, run_ts, resolved=resolved, hot=hot, mark=known_good)
+    marked = update_matched(firm, oa, run_ts, resolved=resolved, hot=both.hot, mark=known_good,
+                            matches=matches)
     good = F.coalesce("_mark", F.lit(False))
     if option == "A":
         used = used_ids(pat).withColumn("_used", F.lit(True))
@@ -46,14 +48,20 @@ def synced(tables: Tables, run_ts: Column, option: str = "A", mode: str = "stric
     elif option == "C":
         kept = marked.where(good)
     elif option == "B":
-        garbage = marked.where(~good).select("firm_id")
-        kept, pat = delete_garbage(marked, oa, pat, "B", mode, garbage, resolved)
+        garbage = garbage_firms(firm, oa, mode, profile=both.profile)
+        kept, pat = delete_garbage(marked, oa, pat, "B", mode, garbage, resolved, both.hot)
     else:
         raise ValueError("option must be 'A', 'B' or 'C'")
-    known = firm
+    rest = {"new": both.new}
     if mode != "strict":
-        known = firm.join(kept.select("firm_id"), "firm_id", "left_semi")
-    return insert_new(kept.drop("_mark"), oa, run_ts, known=known, numbered_after=firm), pat
+        rest = {"known": firm.join(kept.select("firm_id"), "firm_id", "left_semi")}
+    return insert_new(kept.drop("_mark"), oa, run_ts, numbered_after=firm, **rest), pat
+
+
+def write_counted(firms: DataFrame, target: VersionedTable, label: str = "synced"):
+    """Write a version and return it with what was counted while it was written."""
+    counted, seen = observed(firms)
+    return target.write(counted, label), seen
 
 
 class SyncStopped(RuntimeError):
@@ -86,24 +94,30 @@ def run_sync(tables: Tables, target: VersionedTable, run_ts: Column, option: str
              max_blank: float = 30.0) -> dict:
     """Check, back up, sync and publish new versions of the firm and patient tables.
 
-    The match profile is written once to the shared checkpoint folder, where the check, the
-    update and the deletion read it back, so a lost executor costs no second match. Both tables
-    are backed up first; option B moves patients and therefore needs ``patients_target``. With
+    One analysis of the matches serves the check, the update, the deletion and the insert. The
+    counters of the report are taken while the firms are written. Both tables are backed up first; option B moves patients and therefore needs ``patients_target``. With
     ``max_orphans`` the run stops before anything is made current if more patients would be left
     without their firm.
     """
     if option == "B" and patients_target is None:
         raise ValueError("option B moves patients: name the table to publish them in")
-    spark = tables.firm.sparkSession
-    profile = cut_lineage(match_profile(tables.firm, tables.oa), "profile")
-    report = check_gate(profile, max_no_match) | check_quality(tables.firm, max_blank)
-    firm, pat = synced(tables, run_ts, option, mode, profile)
-    report["backup"] = target.publish(add_tracking_columns(tables.firm), label="backup")
+    with analysis_cache(tables.firm, tables.oa) as analysis:
+        return _sync(tables, analysis, target, run_ts, option, mode, max_no_match,
+                     patients_target, max_orphans, max_blank)
+
+
+def _sync(tables: Tables, analysis: Analysis, target: VersionedTable, run_ts: Column, option: str,
+          mode: str, max_no_match: float, patients_target: VersionedTable | None,
+          max_orphans: int | None, max_blank: float) -> dict:
+    spark, both = tables.firm.sparkSession, analysis.both
+    report = check_gate(both.profile, max_no_match) | check_quality(tables.firm, max_blank)
+    firm, pat = synced(tables, run_ts, option, mode, both, analysis.matches)
+    report["backup"] = target.backup(add_tracking_columns(tables.firm))
     if patients_target is not None:
-        report["patients_backup"] = patients_target.publish(tables.patients, label="backup")
+        report["patients_backup"] = patients_target.backup(tables.patients)
         moved = patients_target.write(pat, label="synced")
         pat = patients_target.read(spark, moved)
-    version = target.write(firm, label="synced")
+    version, seen = write_counted(firm, target)
     done = target.read(spark, version)
     report["orphaned_patients"] = orphan_total(pat, done).first()[0]
     if max_orphans is not None and report["orphaned_patients"] > max_orphans:
@@ -114,12 +128,7 @@ def run_sync(tables: Tables, target: VersionedTable, run_ts: Column, option: str
         patients_target.point(spark, moved)
         report["patients_version"] = moved
     target.point(spark, version)
-    statuses = done.agg(
-        F.count(F.lit(1)).alias("final_count"),
-        F.count_if(F.col("sync_status").isin(*v.MATCHED)).alias("updated"),
-        F.count_if(F.col("sync_status") == v.NEW_FROM_OA).alias("inserted")).first()
-    report.update(
-        version=version, updated=statuses["updated"], inserted=statuses["inserted"],
-        final_count=statuses["final_count"],
-        deleted=report["firms"] + statuses["inserted"] - statuses["final_count"])
+    n = seen.get
+    report.update(version=version, **n,
+                  deleted=report["firms"] + n["inserted"] - n["final_count"])
     return report

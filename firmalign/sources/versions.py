@@ -12,7 +12,7 @@ import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -69,6 +69,10 @@ class VersionedTable:
         self.point(df.sparkSession, version)
         return version
 
+    def backup(self, df: DataFrame) -> str:
+        """Publish the table as it is before a change."""
+        return self.publish(df, "backup")
+
     def write(self, df: DataFrame, label: str = "v") -> str:
         """Write a version that isn't the current one yet."""
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
@@ -102,3 +106,96 @@ class VersionedTable:
         """Make an earlier version, such as a backup, the current one again."""
         self.point(spark, version)
         return self.read(spark)
+
+
+class BucketedTable:
+    """A table kept twice, dealt into buckets of its key; a pointer names the current copy.
+
+    A change is written to the other copy by overwriting, as partitions, only the buckets that
+    differ from it; readers go on with the current copy until the pointer moves, so they see the old
+    table or the new one. The copy left behind is the backup of the last change. The pointer keeps
+    the buckets in which the two copies differ, so what the other copy lacks is known.
+    """
+
+    def __init__(self, path: str, key: str = "firm_id", buckets: int = 64):
+        self.path, self.key, self.buckets = path.rstrip("/"), key, buckets
+
+    def _bucket(self) -> Column:
+        return F.coalesce(F.pmod(F.xxhash64(self.key), F.lit(self.buckets)), F.lit(0)).cast("int")
+
+    def _pointer(self, spark: SparkSession):
+        try:
+            rows = spark.read.schema("copy string, differ array<int>, n bigint").json(f"{self.path}/current")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return rows.orderBy(rows["n"].desc()).first()
+
+    def _prints(self, df: DataFrame) -> DataFrame:
+        """(bucket, print): rows and a sum of row hashes, which doesn't depend on their order."""
+        row = F.xxhash64(*[F.col(c) for c in sorted(df.columns)])
+        return df.groupBy(self._bucket().alias("bucket")).agg(F.struct(
+            F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).cast(
+                "string").alias("print"))
+
+    def _copy(self, spark: SparkSession, copy: str) -> DataFrame:
+        rows = spark.read.parquet(f"{self.path}/{copy}")
+        # A bucket without rows is kept as one row that is marked as none.
+        return rows.where("NOT _none").drop("bucket", "_none")
+
+    def write(self, df: DataFrame, label: str = "v") -> str:
+        """Bring the copy that isn't current to the state of ``df``; returns the version to point to.
+
+        ``df`` is evaluated once and kept in the checkpoint folder while buckets are compared.
+        """
+        spark, pointer = df.sparkSession, self._pointer(df.sparkSession)
+        differ, copy = list(range(self.buckets)), "a"
+        if pointer is not None:
+            copy = "b" if pointer["copy"] == "a" else "a"
+            df = cut_lineage(df, label)
+            before = self._prints(self.read(spark)).withColumnRenamed("print", "before")
+            changed = self._prints(df).join(before, "bucket", "full").where(
+                "NOT (print <=> before)").select("bucket")
+            differ = sorted(r[0] for r in changed.collect())    # at most one number a bucket
+        behind = set(differ) | set(pointer["differ"] if pointer is not None else ())
+        if behind:
+            rows = df.withColumns({"_none": F.lit(False), "bucket": self._bucket()}).where(
+                F.col("bucket").isin(sorted(behind)))
+            none = spark.createDataFrame([(b, True) for b in sorted(behind)], "bucket int, _none boolean")
+            (rows.unionByName(none, allowMissingColumns=True).repartition("bucket")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("bucket").parquet(f"{self.path}/{copy}"))
+        return f"{copy}:{','.join(map(str, differ))}"
+
+    def point(self, spark: SparkSession, version: str) -> None:
+        """Make the copy a write has returned the current one."""
+        copy, differ = version.split(":")
+        pointer = self._pointer(spark)
+        number = pointer["n"] + 1 if pointer is not None else 1
+        row = [(copy, [int(b) for b in differ.split(",") if b])]
+        spark.createDataFrame(row, "copy string, differ array<int>").coalesce(1).write.mode(
+            "errorifexists").json(f"{self.path}/current/n={number}")
+
+    def publish(self, df: DataFrame, label: str = "v") -> str:
+        version = self.write(df, label)
+        self.point(df.sparkSession, version)
+        return version
+
+    def backup(self, df: DataFrame) -> str:
+        """The current copy stays as it is during a change; a table that is none yet is published."""
+        pointer = self._pointer(df.sparkSession)
+        if pointer is None:
+            return self.publish(df, "backup")
+        return f"{pointer['copy']}:{','.join(map(str, pointer['differ']))}"
+
+    def read(self, spark: SparkSession, version: str | None = None) -> DataFrame:
+        return self._copy(spark, version.split(":")[0] if version else self._pointer(spark)["copy"])
+
+    def rollback(self, spark: SparkSession, version: str) -> DataFrame:
+        """Make the copy from before the last change the current one again."""
+        pointer = self._pointer(spark)
+        copy = version.split(":")[0]
+        if copy != pointer["copy"]:
+            self.point(spark, f"{copy}:{','.join(map(str, pointer['differ']))}")
+        return self.read(spark)

@@ -168,3 +168,32 @@ def test_prediction_matches_anchor(data):
         ("EXACT_MATCH", "fac"): 36, ("EXACT_MATCH", "pro"): 27, ("EXACT_MATCH", "elig"): 13,
         ("PAYER_ID_ONLY", "fac"): 19, ("PAYER_ID_ONLY", "pro"): 1, ("PAYER_ID_ONLY", "elig"): 1,
         ("NAME_ONLY", "name"): 41, ("NO_MATCH", None): 18}
+
+
+def test_two_sided_match_equals_the_one_sided_ones(spark, data, firms, masters):
+    from firmalign.operators import gaps as g
+    for firm, oa in ((data.firm, data.oa), (data.firm_ids, data.oa),
+                     (firms([(1, None, None), (2, "", "x"), (3, "P", "p")]),
+                      masters([(7, "P", None, None, None), (8, None, None, None, "X"), (9, None, None, None, None)]))):
+        both = m.two_sided(firm, oa)
+        one = m.match_profile(firm, oa)
+        key = lambda df: sorted(map(tuple, df.select(*sorted(one.columns)).collect()), key=repr)
+        assert key(both.profile) == key(one)
+        ids = lambda df: sorted(r[0] for r in df.select("firm_id").collect())
+        assert ids(both.new) == ids(g.new_ids(oa, firm))
+
+
+def test_two_sided_match_splits_hot_keys(spark, firms, masters):
+    from firmalign.operators.skew import MIN_HOT_ROWS
+    firm = firms([(k, "HOT", f"n{k % 3}") for k in range(300)] + [(k, f"P{k}", None) for k in range(300, 320)])
+    oa = masters([(k, "HOT", None, None, f"n{k}") for k in range(40)] + [(99, "Q", None, None, "none")])
+    plain = m.two_sided(firm, oa)
+    spark.conf.set(MIN_HOT_ROWS, "50")
+    try:
+        split = m.two_sided(firm, oa)
+        assert split.hot["i:HOT"] > 1 and not plain.hot
+        rows = lambda b: sorted(map(tuple, b.profile.collect()), key=repr)
+        assert rows(plain) == rows(split)
+        assert [r[0] for r in split.new.collect()] == [99]
+    finally:
+        spark.conf.unset(MIN_HOT_ROWS)

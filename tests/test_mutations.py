@@ -10,7 +10,7 @@ from firmalign.plans.sync import SyncStopped, Tables, check_gate, run_sync, sync
 from firmalign.plans.usage_cleanup import run_usage_cleanup
 from firmalign.sources.fixtures import run_ts
 from firmalign.sources.tables import load_tables
-from firmalign.sources.versions import VersionedTable, restore, snapshot
+from firmalign.sources.versions import BucketedTable, VersionedTable, restore, snapshot
 
 
 def rows(df):
@@ -23,11 +23,24 @@ def count(df):
 
 def test_allocate_ids_is_dense_in_key_order(spark):
     keys = [1, 2, 3, 9, 17, 18, 40, 900, 5000, 70000, 70001, 2**40, 2**40 + 7, 2**62]
-    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
-    for bits in (1, 3, 20):
-        out = mu.allocate_ids(df, "k", F.lit(100), bits=bits)
-        assert {x["k"]: x["new_id"] for x in out.collect()} == {
-            k: 101 + i for i, k in enumerate(keys)}, bits
+    for rows in (keys, keys[:1], []):
+        df = spark.createDataFrame([(k,) for k in rows], "k bigint").repartition(5)
+        out = mu.allocate_ids(df, "k", F.lit(100))
+        assert {x["k"]: x["new_id"] for x in out.collect()} == {k: 101 + i for i, k in enumerate(rows)}
+
+
+def test_ids_are_allocated_from_one_evaluation_of_the_rows(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    rows = spark.range(0, 3000, 1, 4).mapInArrow(noted, "id bigint")
+    out = mu.allocate_ids(rows, "id", F.lit(0))
+    assert out.agg(F.min("new_id"), F.max("new_id"), F.count_distinct("new_id")).first() == (1, 3000, 3000)
+    assert out.where("new_id <> id + 1").isEmpty()
+    assert seen.value == 3000
 
 
 def test_update_is_idempotent_and_keeps_old_values(data):
@@ -80,12 +93,48 @@ def test_rollback_snapshot_and_versions(spark, data, tmp_path):
     assert rows(table.rollback(spark, first)) == rows(tracked)
 
 
+def test_a_bucketed_table_writes_only_what_changed(spark, tmp_path):
+    from pathlib import Path
+    table = BucketedTable(str(tmp_path / "firm"), buckets=8)
+    base = spark.range(200).selectExpr("id AS firm_id", "concat('n', id) AS name")
+
+    def written(copy):
+        return {p.parent.name for p in Path(tmp_path, "firm", copy).glob("bucket=*/*.parquet")
+                if p.stat().st_mtime_ns > since}
+    since = 0
+    first = table.publish(base)
+    table.publish(base.where("firm_id <> 5"))                    # the other copy is new: all buckets
+    assert len(written("b")) == 8
+    one = base.where("firm_id <> 5").selectExpr("firm_id", "IF(firm_id = 7, 'new', name) AS name")
+    since = max(p.stat().st_mtime_ns for p in Path(tmp_path).rglob("*.parquet"))
+    seen = table.read(spark)
+    version = table.write(one)
+    assert len(written("a")) <= 2 and rows(seen) == rows(base.where("firm_id <> 5")), "one, and one behind"
+    table.point(spark, version)
+    assert rows(table.read(spark)) == rows(one)
+    back = table.rollback(spark, "b:")
+    assert rows(back) == rows(base.where("firm_id <> 5"))
+    since = max(p.stat().st_mtime_ns for p in Path(tmp_path).rglob("*.parquet"))
+    table.publish(one.where("firm_id < 0"))                       # every bucket becomes empty
+    assert table.read(spark).count() == 0 and table.read(spark).columns == base.columns
+    table.publish(one)
+    since = max(p.stat().st_mtime_ns for p in Path(tmp_path).rglob("*.parquet"))
+    table.publish(one)                                            # brings the other copy up, once
+    table.publish(one)
+    again = max(p.stat().st_mtime_ns for p in Path(tmp_path).rglob("*.parquet"))
+    table.publish(one)
+    assert again == max(p.stat().st_mtime_ns for p in Path(tmp_path).rglob("*.parquet"))
+    assert rows(table.read(spark)) == rows(one) and first.startswith("a:")
+
+
 def test_run_sync_publishes_and_can_be_rolled_back(spark, data, tmp_path):
     target = VersionedTable(str(tmp_path / "firm"))
     report = run_sync(data.tables, target, run_ts())
     assert rows(target.read(spark)) == rows(data.synced)
-    counts = mu.mutation_counts(data.firm, data.oa, data.pat).first()
-    assert (report["updated"], report["deleted"], report["inserted"]) == tuple(counts)
+    kept = mu.delete_garbage(data.firm, data.oa, data.pat)
+    assert report["updated"] == count(m.resolve_matches(data.firm, data.oa))
+    assert report["deleted"] == count(data.firm) - count(kept)
+    assert report["inserted"] == count(g.new_ids(data.oa, data.firm))
     assert report["orphaned_patients"] == 22
     assert rows(target.rollback(spark, report["backup"])) == rows(mu.add_tracking_columns(data.firm))
     with pytest.raises(SyncStopped):
@@ -167,3 +216,55 @@ def test_a_pointer_number_is_used_once(spark, tmp_path, monkeypatch):
         table.point(spark, first)
     monkeypatch.undo()
     assert table.read(spark).count() == 2 and table.rollback(spark, first).count() == 1
+
+
+_TRIED_AGAIN = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from firmalign.functions import vocabulary as v
+from firmalign.operators.mutations import mutation_counts, observed
+
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "3").getOrCreate())
+
+def fails_once(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+rows = spark.range(90).select("id", F.when(F.col("id") < 50, v.EXACT_MATCH).when(
+    F.col("id") < 70, v.NEW_FROM_OA).alias("sync_status")).repartition(3).mapInArrow(
+    fails_once, "id bigint, sync_status string")
+counted, seen = observed(rows)
+counted.write.parquet({out!r})
+print("COUNTS", tuple(mutation_counts(seen, 75, spark).first()))
+"""
+
+
+def test_a_task_tried_again_is_counted_once(tmp_path):
+    """In a process of its own, as retries are set when a session starts."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    script = _TRIED_AGAIN.format(repo=str(Path(__file__).parents[1]), out=str(tmp_path / "out"))
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=180)
+    assert "COUNTS (50, 5, 20)" in done.stdout, done.stderr[-2000:]
+
+
+def test_usage_is_one_row_per_firm(spark):
+    pat = spark.createDataFrame([(1,), (1,), (2,), (None,)], "insurance_firm_id bigint")
+    claims = spark.createDataFrame([(2,), (3,), (3,), (None,)], "insurance_firm_id bigint")
+    usage = g.firm_usage(pat, claims)
+    assert sorted(map(tuple, usage.collect())) == [(1, 1, 2, 0), (2, 3, 1, 1), (3, 2, 0, 2)]
+    assert sorted(r[0] for r in usage.where(g.in_use("reference")).select("firm_id").collect()) == [1, 2]
+    assert usage.where(g.in_use("safe")).count() == 3
+    assert dict(usage.select("firm_id", g.usage_label()).collect()) == {
+        1: "Patient Only", 2: "In Claims", 3: "In Claims"}
+
+
+def test_insert_after_a_deletion_must_name_the_table_before(data):
+    with pytest.raises(ValueError, match="numbered_after"):
+        mu.insert_new(data.kept, data.oa, run_ts(), known=data.firm)
+

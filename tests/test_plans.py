@@ -68,3 +68,58 @@ def test_the_fact_table_is_read_once(data):
                fix_orphans(data.pat, data.firm, mode="delete")):
         tree = df._jdf.queryExecution().optimizedPlan().toString()
         assert len(re.findall(r"Relation \[[^\]]*o_orderkey", tree)) == 1
+
+
+def _scans(df, table):
+    return len(re.findall(rf"FileScan[^\n]*{table}\.parquet", plan_of(df)))
+
+
+def test_usage_reads_each_fact_once(data, no_broadcast):
+    """Patients come from orders, claims from lineitem and orders."""
+    from firmalign.operators.gaps import firm_usage
+    usage = firm_usage(data.pat, data.claims)
+    assert _scans(usage, "orders") == 2 and _scans(usage, "lineitem") == 1
+    plan = plan_of(usage)
+    assert plan.count("keys=[firm_id") == 2, "one aggregate, partial and final"
+
+
+def test_cleanup_reads_no_fact_once_the_usage_is_known(data, no_broadcast):
+    from firmalign.plans.usage_cleanup import cleaned
+    out = cleaned(data.tables, data.ts)
+    assert _scans(out, "orders") == _scans(out, "lineitem") == 0
+    assert _scans(out, "customer") <= 6
+
+
+def test_a_sync_matches_once(data, no_broadcast):
+    from firmalign.plans.sync import synced
+    out = synced(data.tables, data.ts)[0]
+    plan = plan_of(out)
+    assert _scans(out, "customer") <= 6 and _scans(out, "orders") == 1
+    assert "inline" not in plan, "no row is keyed again"
+
+
+def _above(plan, scan, until):
+    """Operators above the first line that holds ``scan`` up to one whose name holds ``until``."""
+    lines = plan.split("\n")
+    depth = lambda line: re.search(r"[A-Za-z*(]", line).start() if re.search(r"[A-Za-z*(]", line) else 0
+    at = next(k for k, line in enumerate(lines) if scan in line)
+    found, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if line.strip() and depth(line) < level:
+            level = depth(line)
+            found.append(line[level:].split(" ")[0].split("(")[0])
+            if until in line:
+                return found
+    return found
+
+
+def test_update_reads_the_analysis_without_a_shuffle(data, no_broadcast):
+    from firmalign.plans.analysis import analysis_cache
+    with analysis_cache(data.firm, data.oa) as analysis:
+        name = analysis.matches.select("firm_id")._jdf.queryExecution().analyzed().toString()
+        plan = plan_of(analysis.update(data.ts))
+        assert "firmalign_analysis_" in plan and "firmalign_analysis_" in name
+        above = _above(plan, "firmalign_analysis_", "Join")
+        assert "Join" in above[-1] and not [x for x in above if "Exchange" in x], above
+    spark = data.spark
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("firmalign_analysis_")]
