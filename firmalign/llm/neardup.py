@@ -12,6 +12,9 @@ tokens they have there. A pair of similarity 0.8 so stays together in 1.1 nodes
 and is parted in all branches of a tree with probability 2/3 at most, in all trees with 6e-5; pairs
 below 0.7 die out. Every candidate is confirmed on the full sets.
 
+Candidates are sharpened by a longer sketch: the least shingle hash in each of ``FINE`` ranges, a byte
+each, which for short texts is nearly the whole set.
+
 Before that, members are compared with a few pivots of their node only and each follows the best
 one and the one most agree with, in two rounds. Labels of the components found so far go along, a
 node whose members all have one label needs no further look, and no pair within a component is
@@ -41,8 +44,12 @@ LEAST_SHARED = 9
 #: Share of equal bytes below which a pair isn't compared on its sets: at similarity 0.8 it is 4.7
 #: standard deviations below the mean. The same for bits, which tell less, is 5.3 below.
 LEAST_AGREEMENT, LEAST_BITS = 0.65, 0.55
+#: Ranges of the longer sketch, and the share of equal bytes that a candidate needs there: again 4.7
+#: standard deviations below 0.8.
+FINE_BITS = 10
+FINE, LEAST_FINE = 1 << FINE_BITS, 0.74
 #: Rounds with pivots only, and pivots of a node.
-PIVOT_ROUNDS, PIVOTS = 2, 64
+PIVOT_ROUNDS, PIVOTS = 3, 64
 #: Members of a node, members handled together, and rows of a block of a comparison in a task.
 MOST_IN_TASK, TOGETHER, ROWS = 1 << 16, 20_000, 1024
 #: Candidates of a class compared in one task.
@@ -52,7 +59,7 @@ MOST_BROADCAST = 500_000
 _MULTIPLIERS = np.random.default_rng(11).integers(1, 1 << 63, CODES, np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = np.random.default_rng(12).integers(0, 1 << 63, CODES, np.uint64)
 CLASSES = ("doc_id bigint, n_shingles bigint, class bigint, tokens array<bigint>, codes binary, "
-           "text_hash bigint")
+           "fine binary, text_hash bigint")
 
 
 def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> list[np.ndarray]:
@@ -86,8 +93,11 @@ def _classes(length: int):
             full = np.flatnonzero(sizes)
             tokens: list = [None] * len(sets)
             codes: list = [None] * len(sets)
+            fine: list = [None] * len(sets)
             if len(full):
                 flat = np.concatenate([sets[k] for k in full])
+                for k, row in zip(full.tolist(), _fine(flat, sizes[full]), strict=True):
+                    fine[k] = row.tobytes()
                 starts = np.concatenate(([0], np.cumsum(sizes[full])[:-1]))
                 least = np.stack([np.minimum.reduceat((flat ^ o) * m, starts)
                                   for o, m in zip(_OFFSETS, _MULTIPLIERS, strict=True)], axis=1)
@@ -95,10 +105,23 @@ def _classes(length: int):
                 for k, row, code in zip(full.tolist(), least[:, :TREES].view(np.int64), own, strict=True):
                     tokens[k], codes[k] = row, code.tobytes()
             yield [batch.column(0), sizes, [_class_id(s) if len(s) else None for s in sets], tokens,
-                   codes, batch.column(2)]
+                   codes, fine, batch.column(2)]
     return run
 
 
+def _fine(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A byte of the least hash in each range for each set; 0 where a range is empty.
+
+    ``flat`` holds the sets one after the other, each in ascending order.
+    """
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = row * FINE + (flat >> np.uint64(64 - FINE_BITS)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    out = np.zeros(len(sizes) * FINE, np.uint8)
+    out[place[first]] = flat[first] % np.uint64(255) + np.uint64(1)
+    return out.reshape(-1, FINE)
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept.
 
@@ -121,9 +144,9 @@ def _found(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     classes = cut_lineage(rows.where("class IS NOT NULL").groupBy("class").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_hash")).alias("m"),
         F.max("n_shingles").alias("n"), F.first("tokens").alias("tokens"),
-        F.first("codes").alias("codes")).select(
+        F.first("codes").alias("codes"), F.first("fine").alias("fine")).select(
             "class", F.col("m.doc_id").alias("first"), F.col("m.text_hash").alias("text_hash"), "n",
-            "tokens", "codes"), "near-unique")
+            "tokens", "codes", "fine"), "near-unique")
     labels = _join(source, classes, shingle, percent)
     named = classes.select("class", "first").join(labels, "class", "left").withColumn(
         "label", F.coalesce("label", "class"))
@@ -177,7 +200,7 @@ def _join(source: DataFrame, classes: DataFrame, shingle: int, percent: int) ->
     members = start.join(shared.select("node"), "node")
     met = members.groupBy("class").agg(F.count(F.lit(1)).alias("trees")).where(
         F.col("trees") >= LEAST_SHARED).select("class")
-    met = cut_lineage(classes.select("class", "first", "text_hash", "n", "codes").join(met, "class"),
+    met = cut_lineage(classes.drop("tokens").join(met, "class"),
                       "near-met")
     members = cut_lineage(members.join(met.select("class"), "class"), "near-nodes")
 
@@ -236,8 +259,9 @@ def _branch(members: DataFrame, met: DataFrame) -> DataFrame:
 def _candidates(members: DataFrame, met: DataFrame, labels: DataFrame | None, percent: int,
                 turn: int | None) -> DataFrame:
     """(class, other, kind, agree) across components: in a turn with the pivots of a node, else all."""
-    known = _mixed(_labelled(members, labels)).join(met.select("class", "n", "codes"), "class")
-    dealt = known.select("node", "class", "label", "n", "codes").repartition(
+    sketches = ["n", "codes"] + ["fine"] * (turn is None)
+    known = _mixed(_labelled(members, labels)).join(met.select("class", *sketches), "class")
+    dealt = known.select("node", "class", "label", *sketches).repartition(
         "node").sortWithinPartitions("node")
     found = map_arrow(dealt, _walk(percent, turn),
                       "class bigint, other bigint, kind int, agree int")
@@ -292,12 +316,26 @@ def _compared(rows: pa.RecordBatch, percent: int, turn: int | None) -> list:
         agree[cut] = np.count_nonzero(codes[a[cut]] == codes[b[cut]], axis=1)
     good = agree >= LEAST_AGREEMENT * CODES
     a, b, kinds, agree = a[good], b[good], kinds[good], agree[good]
-    if turn is None:        # alike in every task that finds the pair
+    if turn is None:
+        fine = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint8).reshape(-1, FINE)
+        good = _finely_alike(fine, a, b)
+        a, b, kinds, agree = a[good], b[good], kinds[good], agree[good]
+        # Alike in every task that finds the pair.
         return [np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), kinds.astype(np.int32),
                 agree.astype(np.int32)]
     return [ids[a], ids[b], kinds.astype(np.int32), agree.astype(np.int32)]
 
 
+def _finely_alike(fine: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    good = np.zeros(len(a), bool)
+    for at in range(0, len(a), 1 << 13):
+        x, y = fine[a[at:at + (1 << 13)]], fine[b[at:at + (1 << 13)]]
+        either = x | y
+        same = np.count_nonzero((x == y) & (either > 0), axis=1)
+        good[at:at + (1 << 13)] = same >= LEAST_FINE * np.count_nonzero(either, axis=1)
+    return good
+
+
 def _pivoted(inside: np.ndarray, seed: int, labels: np.ndarray, bits: np.ndarray):
     """(member, pivot) pairs: the pivot each member is closest to, and the one most are close to."""
     order = textwords.mix(inside.astype(np.uint64) + np.uint64(seed & (1 << 63) - 1))
@@ -305,7 +343,7 @@ def _pivoted(inside: np.ndarray, seed: int, labels: np.ndarray, bits: np.ndarray
     alike = bits[inside] @ bits[pivots].T
     alike[labels[inside][:, None] == labels[pivots]] = -CODES
     near = alike >= LEAST_BITS * CODES
-    closest, hub = alike.argmax(1), np.full(len(inside), near.sum(0).argmax())
+    closest, hub = alike.argmax(1), np.full(len(inside), np.where(near, alike, 0).sum(0).argmax())
     rows = np.arange(len(inside))
     for choice in (closest, hub):
         good = near[rows, choice]

@@ -151,6 +151,33 @@ def test_frequent_lines(spark):
         assert texts[k] == "\n".join(x for j, x in enumerate(own) if j not in gone)
 
 
+def test_words_of_lines_are_those_of_the_text(spark):
+    """White space outside ASCII parts no words, in lines as in texts."""
+    line = "a\xa0b c\u2003d e\x1cf g\x85h one two three four five six"
+    rows = [(k, "h", f"{line}\nown {k} and more words than ten here in this text {k} ok {k}x {k}y")
+            for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for r in lines.line_quality(df).collect():
+        assert r["removed_lines"] == [0] and r["lost_words"] == 10 and r["n_words"] == 10 + 15
+        assert r["kept"]
+
+
+@pytest.mark.parametrize("size", [100, 100_000])
+def test_limit_follows_the_host(spark, size):
+    """A notice in a hundredth of a host, eight documents at least, goes; sentences that recur by
+    chance, which are in more documents the larger the host is, stay."""
+    planted = max(8, size // 100)
+    notice = "all rights of this notice belong to the owner"
+    chance = max(5, int(0.3 * size ** .5))
+    docs = spark.range(size).selectExpr(
+        "id AS doc_id", "'h' AS source",
+        "concat(array_join(transform(sequence(1, 11), k -> concat('w', id, 'x', k)), ' '), "
+        f"IF(id < {planted}, '\n{notice}', ''), IF(id >= {size - chance}, '\nthis is a common sentence of six', ''), "
+        f"IF(id % {max(2, size // (2 * chance))} = 1, '\nwell then', '')) AS text")
+    removed = lines.line_quality(docs).where("size(removed_lines) > 0").select("doc_id").collect()
+    assert sorted(r[0] for r in removed) == list(range(planted))
+
+
 def test_planted_lines_of_a_hot_host_are_removed(spark):
     """A line in 1% of a large host, and one in a small host, whatever share that is."""
     rng = random.Random(18)
@@ -220,7 +247,7 @@ def test_components(documents, corpus, odd, empty):
 def test_large_groups_and_chains(spark, monkeypatch, small):
     """Near copies of one text, a chain of small changes, and a passage that many texts share."""
     if small:       # nodes branch, before and inside tasks, and candidates are split
-        for name, value in (("SMALL_NODE", 4), ("MOST_IN_TASK", 20), ("MOST_COMPARED", 3),
+        for name, value in (("SMALL_NODE", 4), ("MOST_IN_TASK", 40), ("MOST_COMPARED", 3),
                             ("MOST_BROADCAST", 0), ("PIVOTS", 3), ("TOGETHER", 50), ("ROWS", 2)):
             monkeypatch.setattr(neardup, name, value)
     rng = random.Random(6)
@@ -269,6 +296,19 @@ def test_branches_keep_pairs_together(monkeypatch):
     assert missed <= 1
 
 
+def test_the_longer_sketch_keeps_pairs_of_similarity_080():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for n in (10, 60, 300, 2000, 20000):
+        for _ in range(60):
+            both = n * 8 // 10
+            flat = rng.integers(1 << 63, size=n + (n - both) , dtype=np.uint64) * np.uint64(2)
+            rest = (n - both) // 2
+            one, other = np.sort(flat[:both + rest]), np.sort(np.append(flat[:both], flat[both + rest:n]))
+            fine = neardup._fine(np.concatenate([one, other]), np.array([len(one), len(other)]))
+            assert neardup._finely_alike(fine, np.array([0]), np.array([1]))[0]
+
+
 def test_pairs_in_a_hot_template_are_found(spark, monkeypatch):
     """Isolated pairs among many texts that are mostly template: all their nodes are large."""
     monkeypatch.setattr(neardup, "SMALL_NODE", 16)
