@@ -2,8 +2,11 @@
 
 Normalised lines are hashed and the distinct documents of each host that hold a line are counted;
 documents with the same text count once, so exact copies do not make a line frequent. A line from
-the limit on is removed, whatever the size of its host, and a document that loses too much is
-rejected. The plain counts of a document's own text come first.
+the limit on is removed and a document that loses too much is rejected. The limit grows with the
+square root of the number of documents of the host, as a share it falls: what many of a large host's
+documents hold by chance isn't removed, and what a hundredth of them holds is. Lines of few words,
+which recur by chance more often, have a higher one. The plain counts of a document's own text come
+first.
 """
 
 from __future__ import annotations
@@ -18,12 +21,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from firmalign.llm import textwords
 from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table, texts_of
 
-#: A line is frequent in a host, large or small, from so many distinct documents on.
-LEAST_DOCS = 6
+#: A line is frequent in a host from so many distinct documents on, and from this many times the
+#: square root of the host's documents on, raised in proportion for lines of fewer words than these.
+LEAST_DOCS, ROOT_SHARE, FULL_LINE = 6, 0.4, 6
 #: A document is depleted if more than this percentage of its words is in frequent lines.
 MOST_LOST_PERCENT = 50
 MIN_WORDS, MAX_REPEAT_PERCENT, RUN = 10, 20, 5
 _SPACE = " \t\n\v\f\r"
+_ONE_SPACE = str.maketrans(dict.fromkeys(_SPACE, " "))
 _COUNT_SPACE = str.maketrans("", "", _SPACE)
 _SYMBOLS = "#*$%&|<>"
 FACTS = ("uid bigint, doc_id bigint, host string, text_hash bigint, n_words bigint, "
@@ -64,8 +69,9 @@ def _facts(batches) -> Iterator[list]:
                 repeated_words(words, bounds).tolist(), strict=True):
             seen, dup, hashes, counts = set(), 0, [], []
             for line in text.split("\n"):
-                parts = line.lower().split()
-                if not line.strip(_SPACE):
+                parts = line.lower().translate(_ONE_SPACE).split(" ")
+                parts = [p for p in parts if p]
+                if not parts:
                     hashes.append(None)
                     counts.append(0)
                     continue
@@ -81,12 +87,15 @@ def _facts(batches) -> Iterator[list]:
 
 
 def line_quality(docs: DataFrame, host: str = "source", least_docs: int = LEAST_DOCS,
+                 root_share: float = ROOT_SHARE,
                  most_lost_percent: float = MOST_LOST_PERCENT) -> DataFrame:
     """Counts, verdict and removed lines (numbers from 0) of every document.
 
     ``docs`` needs doc_id, text and the host column; others are ignored. A missing text has no
     words and fails, a missing host is a host of its own, a missing doc_id is kept, and repeated
-    rows each get a row. Without frequent lines ``removed_lines`` is empty.
+    rows each get a row. Texts of any length are read whole. Without frequent lines
+    ``removed_lines`` is empty; an empty table gives no rows. Words are what the base counts take
+    for words, also in normalised lines.
     """
     facts = cut_lineage(map_arrow(docs.select(
         F.col("doc_id").cast("bigint"),
@@ -96,9 +105,14 @@ def line_quality(docs: DataFrame, host: str = "source", least_docs: int = LEAST_
         "lines", "line_words")).alias("at", "line")).select(
             "uid", "host", "text_hash", "at", F.col("line.lines").alias("line"),
             F.col("line.line_words").alias("words")).where("line IS NOT NULL")
-    frequent = cut_lineage(held.select("host", "line", "text_hash").distinct().groupBy(
-        "host", "line").agg(F.count(F.lit(1)).alias("docs")).where(
-            F.col("docs") >= least_docs).select("host", "line"), "frequent-lines")
+    sizes = facts.select("host", "text_hash").distinct().groupBy("host").agg(
+        F.count(F.lit(1)).alias("size"))
+    often = held.select("host", "line", "words", "text_hash").distinct().groupBy("host", "line").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("words").alias("words")).where(
+            F.col("docs") >= least_docs)
+    limit = root_share * F.sqrt("size") * F.greatest(F.lit(1.0), FULL_LINE / F.col("words"))
+    frequent = cut_lineage(often.join(sizes, "host").where(F.col("docs") >= limit).select(
+        "host", "line"), "frequent-lines")
     removed = held.join(frequent, ["host", "line"]).groupBy("uid").agg(
         F.sum("words").alias("lost"), F.array_sort(F.collect_list("at")).alias("removed_lines"))
     lost = F.coalesce("lost", F.lit(0))
