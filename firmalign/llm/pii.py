@@ -1,11 +1,13 @@
 """Personal data by rules and by bootstrapped contextual extraction.
 
-Rules find the seed entities: e-mail and IP addresses, card and phone numbers. Seeds and all other
-tokens that could be identifiers (they hold digits or an @) are instances; the words around them
-make lexical patterns. The graph of patterns and instances is scored in rounds: a pattern is as
-good as the share of its distinct instances that are trusted, and an instance is trusted as far as
-its patterns together vouch for it. Patterns that many different seeds share and that hardly match
-anything else then discover identifiers no rule describes.
+Rules find the seed entities: e-mail and IP addresses, card and phone numbers, and keys, long runs of
+letters and digits mixed. Seeds and all other tokens that could be identifiers (they hold three
+digits or an @) are instances; the words and marks around them make lexical patterns. The graph of
+patterns and instances is scored in rounds: a pattern is as good as the share of its distinct
+instances that are trusted, and an instance is trusted as far as its patterns together vouch for it.
+Patterns that many different seeds share and that hardly match anything else then discover
+identifiers no rule describes. A key alone is no personal data (it may be any checksum): it is found
+where such a pattern has it, like any other token.
 """
 
 from __future__ import annotations
@@ -33,11 +35,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _HINT = re.compile(r"[0-9@]")
 _MARKS = "\"'()[]{}<>,.;:!?|*&%$#="
-_NEAR = 80
+#: A key: so many letters, digits, _ and - with a letter and a digit among them.
+_KEY = re.compile(r"(?<![0-9A-Za-z_-])(?=[A-Za-z_-]*[0-9])(?=[0-9_-]*[A-Za-z])[0-9A-Za-z_-]{24,}(?![0-9A-Za-z_-])")
+#: Words and single marks of a context, and how many of them on either side.
+_CONTEXT, _REACH = re.compile(r"\w+|[^\w\s]"), 3
+#: A seed of the rules, a key, any other instance.
+OTHER, SEED, KEY = 0, 1, 2
 FACTS = ("doc_id bigint, text_hash bigint, n_email bigint, n_ip bigint, n_card bigint, "
          "n_phone bigint, base string, starts array<int>, ends array<int>, seeds array<int>, "
          "instances array<bigint>, patterns array<bigint>")
-_PER_INSTANCE = 3
+_PER_INSTANCE = 4
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -89,27 +96,51 @@ def _hash(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(parts).encode("utf-8", "replace")) - (1 << 63)
 
 
+def _around(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
+    """The words and marks next to a place on either side, each whole, however long."""
+    width = 40
+    while True:
+        low = max(0, start - width)
+        before = [(m[0], m.start()) for m in _CONTEXT.finditer(text[low:start])]
+        # A word at the edge of what was looked at may be a part of one.
+        if low == 0 or len(before) > _REACH:
+            break
+        width *= 4
+    after = []
+    for match in _CONTEXT.finditer(text, end):
+        after.append(match[0].lower())
+        if len(after) == _REACH:
+            break
+    return [w.lower() for w, _ in before[-_REACH:]], after
+
+
 def _patterns(text: str, start: int, end: int) -> list[int]:
-    """Two words before; one before and one after; two after. 0 where the text doesn't reach."""
-    before = text[max(0, start - _NEAR):start].lower().split()[-2:]
-    after = text[end:end + _NEAR].lower().split()[:2]
-    return [_hash("before", *before) if len(before) == 2 else 0,
+    """Three words or marks before, two before, one on either side, two after. 0 where there are
+    too few."""
+    before, after = _around(text, start, end)
+    return [_hash("before", *before) if len(before) == 3 else 0,
+            _hash("before", *before[-2:]) if len(before) >= 2 else 0,
             _hash("around", before[-1], after[0]) if before and after else 0,
-            _hash("after", *after) if len(after) == 2 else 0]
+            _hash("after", *after[:2]) if len(after) >= 2 else 0]
 
 
 def instances(text: str, base: list[tuple]) -> list[tuple[int, int, int]]:
-    """(start, end, whether it is a seed) of all seeds and of tokens that could be identifiers."""
-    out = [(s, e, 1) for s, _, e in base]
+    """(start, end, what it is) of all seeds, keys and tokens that could be identifiers."""
+    out = [(s, e, SEED) for s, _, e in base]
     if _HINT.search(text):
+        taken = [(s, e) for s, _, e in base]
+        free = lambda start, end: not any(s < end and start < e for s, e in taken)
+        keys = [(m.start(), m.end()) for m in _KEY.finditer(text) if free(m.start(), m.end())]
+        out += [(s, e, KEY) for s, e in keys]
+        taken += keys
         for m in _TOKEN.finditer(text):
             token = m[0].lstrip(_MARKS)
             start = m.end() - len(token)
             end = start + len(token.rstrip(_MARKS))
             part = text[start:end]
             if (len(part) >= 5 and ("@" in part or sum(map(str.isdigit, part)) >= 3)
-                    and not any(s < end and start < e for s, _, e in base)):
-                out.append((start, end, 0))
+                    and free(start, end)):
+                out.append((start, end, OTHER))
     return out
 
 
@@ -132,7 +163,8 @@ def extract(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(facts of every document, discovered spans: doc_id, text_hash, starts, ends).
 
     ``docs`` needs doc_id and text; other columns are ignored. A missing text is an empty one, a
-    missing doc_id is kept, and repeated rows have the same spans.
+    missing doc_id is kept, and repeated rows have the same spans. Texts of any length are read
+    whole. An empty table gives no rows and no patterns.
     """
     facts = cut_lineage(map_arrow(docs.select(
         F.col("doc_id").cast("bigint"), F.col("text").cast("string"),
@@ -144,10 +176,10 @@ def extract(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("one.seeds").alias("seed"), F.col("one.instances").alias("instance"),
         F.explode(F.slice("patterns", F.col("at") * _PER_INSTANCE + 1, _PER_INSTANCE)).alias(
             "pattern")).where("pattern != 0")
-    edges = cut_lineage(spots.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")),
-                        "pii-edges")
+    edges = cut_lineage(spots.groupBy("pattern", "instance").agg(
+        F.max((F.col("seed") != OTHER).cast("int")).alias("seed")), "pii-edges")
     good = _confident_patterns(edges)
-    found = spots.where("seed = 0").join(good, "pattern").select(
+    found = spots.where(F.col("seed") != SEED).join(good, "pattern").select(
         "doc_id", "text_hash", "start", "end").distinct().groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     return facts, cut_lineage(found.select(
@@ -203,11 +235,18 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents with the same columns and their personal data masked; n_chars follows."""
+    """The documents with the same columns and their personal data masked; n_chars follows.
+
+    A missing text stays missing and a missing doc_id is kept; every row stays, repeated ones alike.
+    Columns may have any names; an empty table stays empty.
+    """
     _, found = extract(docs)
-    extra = found.select(F.col("doc_id").alias("_pii_doc"), F.col("text_hash").alias("_pii_text"),
-                         F.col("starts").alias("_pii_starts"), F.col("ends").alias("_pii_ends"))
     names = docs.columns
+    longest = max(map(len, names)) * "_"     # longer than any column's name, so no column's name
+    its_doc, its_text, its_starts, its_ends, own_hash = (
+        longest + part for part in ("doc", "text", "starts", "ends", "hash"))
+    extra = found.select(F.col("doc_id").alias(its_doc), F.col("text_hash").alias(its_text),
+                         F.col("starts").alias(its_starts), F.col("ends").alias(its_ends))
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +254,8 @@ def redact(docs: DataFrame) -> DataFrame:
             texts = [None if t is None else masked(t, base_spans(t) + [
                 (s, len(KINDS), e) for s, e in zip(starts or (), ends or (), strict=True)])
                 for t, starts, ends in zip(batch.column(at).to_pylist(),
-                                           batch.column("_pii_starts").to_pylist(),
-                                           batch.column("_pii_ends").to_pylist(), strict=True)]
+                                           batch.column(its_starts).to_pylist(),
+                                           batch.column(its_ends).to_pylist(), strict=True)]
             columns = batch.columns[:len(names)]
             columns[at] = pa.array(texts, columns[at].type)
             if "n_chars" in names:
@@ -225,10 +264,10 @@ def redact(docs: DataFrame) -> DataFrame:
                                       columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    keyed = docs.withColumn("_pii_hash", _text_hash())
-    return keyed.join(extra, keyed["doc_id"].cast("bigint").eqNullSafe(extra["_pii_doc"])
-                      & (keyed["_pii_hash"] == extra["_pii_text"]), "left").select(
-        *names, "_pii_starts", "_pii_ends").mapInArrow(run, docs.schema)
+    keyed = docs.withColumn(own_hash, _text_hash())
+    return keyed.join(extra, keyed["doc_id"].cast("bigint").eqNullSafe(extra[its_doc])
+                      & (keyed[own_hash] == extra[its_text]), "left").select(
+        *names, its_starts, its_ends).mapInArrow(run, docs.schema)
 
 
 def _text_hash():

@@ -455,6 +455,55 @@ def test_patterns_of_seeds_discover_identifiers(spark):
     assert texts[101]["text"] == rows[31][1]
 
 
+def test_keys_share_their_context(spark):
+    """Keys are found where many share a context; one key alone, such as a checksum, is not."""
+    rng = random.Random(7)
+    key = lambda n=40: "".join(rng.choices("0123456789abcdef", k=n - 2)) + "a1"
+    rows = []
+    for k in range(12):
+        rows.append((k, " ".join(words(rng, 8)) + f' token = "{key()}"' + rng.choice(["", "###", ","])
+                     + " " + " ".join(words(rng, 8))))
+    rows += [(50, f"commit {key()} of today"), (51, 'its token = "a1b2c3" here'), (52, 'TOKEN = "99-88-77"!! LO'),
+             (53, 'no token = "plainword" here'), (54, "x" * 300 + f' token = "{key()}"')]
+    docs = frame(spark, rows).withColumns({"_pii_hash": F.lit(1), "_pii_starts": F.lit("x"), "n": F.lit(2)})
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs).collect() if "found" in r["spans"]}
+    assert set(found) == {*range(12), 51, 52, 54}
+    for doc_id, spans in found.items():
+        _, start, end = spans.split(":")
+        text = dict(rows)[doc_id]
+        assert text[int(start) - 1] == text[int(end)] == '"' and '"' not in text[int(start):int(end)]
+    masked = pii.redact(docs)
+    assert masked.columns == docs.columns
+    assert masked.where("doc_id = 52").first()["text"] == 'TOKEN = "[FOUND]"!! LO'
+
+
+def test_contexts_are_whole_words():
+    long = "w" * 500
+    assert pii._around(f"a {long} b 123456 {long} c d", 505, 511) == (["a", long, "b"], [long, "c", "d"])
+    assert pii._around("x=1", 2, 3) == (["x", "="], [])
+
+
+def test_rounds_of_trust_by_hand(spark):
+    import math
+    rng = random.Random(13)
+    # Odd instances are seeds; patterns from 7 on have few of them.
+    edges = sorted({(p, 2 * rng.randint(1, 400) + (rng.random() < (.9 if p < 7 else .3)))
+                    for p in range(1, 13) for _ in range(14)} | {(12, 3)})
+    seeds = {i for _, i in edges if i % 2}
+    df = spark.createDataFrame([(p, i, int(i in seeds)) for p, i in edges],
+                               "pattern bigint, instance bigint, seed int")
+    strong = {p for p in range(1, 13) if len({i for q, i in edges if q == p and i in seeds}) >= pii.LEAST_SEEDS}
+    graph = [(p, i) for p, i in edges if p in strong]
+    trust = {i: float(i in seeds) for _, i in graph}
+    for _ in range(pii.ROUNDS):
+        score = {p: sum(trust[i] for q, i in graph if q == p)
+                 / (sum(q == p for q, _ in graph) + pii.SMOOTHING) for p in strong}
+        trust = {i: max(float(i in seeds), 1 - math.prod(1 - score[p] for p, j in graph if j == i))
+                 for i in trust}
+    got = {r[0] for r in pii._confident_patterns(df).collect()}
+    assert got == {p for p, x in score.items() if x >= pii.CONFIDENT} and got and got != strong
+
+
 def test_digest_of_spans():
     assert hashlib.sha256(b"").hexdigest()[:8] == "e3b0c442"
     assert document_rows()[6][1].count("@") == 1
