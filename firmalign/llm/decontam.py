@@ -6,7 +6,9 @@ length less one where the block is in no test string, so most words are never lo
 block ends some test string the shift is zero, its bucket holds those strings by their first
 block, and they are compared word by word.
 
-The benchmark is read in blocks of bounded size and each block is searched for in all documents.
+Distinct items are read in blocks of bounded size. One block at a time goes to the tasks and is
+searched for in all documents; with more than one, the documents that hold some of its test strings are
+written before the next is read, so neither the driver nor a task ever holds more than a block.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from firmalign.llm.common import cut_rows, map_arrow, table, texts_of
+from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table, texts_of
 
 WINDOW = 10
 #: Text of the benchmark that is searched for at once; its tables take about a hundred times that.
@@ -108,20 +110,44 @@ def _matcher(shared, window: int) -> Matcher:
     return _matchers[shared.value[0]]
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list:
-    """The benchmark as broadcasts of bounded size: (a key of its own, items)."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator:
+    """Distinct items as broadcasts of bounded size, one at a time: (a key of its own, items)."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"),
-                             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+                             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
     keyed = items.withColumn("b", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     context = benchmark.sparkSession.sparkContext
-    out = []
     for k in range(n):
         rows = [(r["item_id"], r["text"]) for r in keyed.where(F.col("b") == k).collect()]
-        out.append(context.broadcast((f"{context.applicationId}-{id(rows)}-{hash(tuple(rows))}",
-                                      rows)))
-    return out
+        yield context.broadcast((f"{context.applicationId}-{k}-{hash(tuple(rows))}", rows)), n
+
+
+def _text_hash():
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+STATE = "doc_id bigint, n_words bigint, spans array<bigint>, items array<string>"
+
+
+def _hits(docs: DataFrame, first, rest: Iterator, window: int) -> DataFrame:
+    """(doc_id, text_hash, spans, items) of documents with a test string, a row for each block."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"),
+                        _text_hash().alias("text_hash"))
+    out = None
+    for shared in _chained(first, rest):
+        found = cut_lineage(map_arrow(texts, _searching(shared, window, hits=True), (
+            "doc_id bigint, text_hash bigint, spans array<bigint>, items array<string>")),
+            "contaminated")
+        shared.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
+
+
+def _chained(first, rest: Iterator) -> Iterator:
+    yield first
+    for shared, _ in rest:
+        yield shared
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -130,52 +156,69 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     An item of fewer words than ``window`` is one test string; one without words is none. A missing
     text has no words. A missing item_id is listed as an empty string, repeated items count once,
-    repeated documents each give a row, and other columns are ignored.
+    repeated documents each give a row, and other columns are ignored. Texts of any length are read
+    whole. Without items nothing is hit; without documents there are no rows.
     """
-    state = ("doc_id bigint, n_words bigint, spans array<bigint>, items array<string>")
-    found = docs.select(F.col("doc_id").cast("bigint"), F.lit(0).cast("bigint").alias("n_words"),
-                        F.array().cast("array<bigint>").alias("spans"),
-                        F.array().cast("array<string>").alias("items"), F.col("text").cast("string"))
     blocks = _blocks(benchmark, block_bytes)
-    for k, shared in enumerate(blocks):
-        last = k == len(blocks) - 1
-        found = map_arrow(found, _searching(shared, window, not last),
-                          state + ", text string" * (not last))
-    return found
+    first, n = next(blocks)
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    if n == 1:
+        return map_arrow(texts, _searching(first, window), STATE)
+    # Rows of one doc_id and text have the same hits, one row for each block at most.
+    hits = _hits(docs, first, blocks, window).groupBy("doc_id", "text_hash").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans", "items")
+    joined = texts.withColumn("text_hash", _text_hash()).join(
+        hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
 
+    def run(batches) -> Iterator[list]:
+        for batch in cut_rows(batches):
+            spans = [merged([*zip(s[::2], s[1::2])]) if s else [] for s in batch.column(2).to_pylist()]
+            yield [batch.column(0), [len(words_of(t)) for t in texts_of(batch.column(1))], spans,
+                   [i or [] for i in batch.column(3).to_pylist()]]
+    return map_arrow(joined.select("doc_id", "text", "spans", "items"), run, STATE)
 
-def _searching(shared, window: int, with_text: bool):
+
+def _searching(shared, window: int, hits: bool = False):
+    """Search the texts; with ``hits`` only rows that have some are returned, with their text's hash."""
     def run(batches) -> Iterator[list]:
         matcher = _matcher(shared, window)
         for batch in cut_rows(batches):
-            ids, _, spans, items, texts = batch.columns
-            n_words, new_spans, new_items = [], [], []
-            for s, i, text in zip(spans.to_pylist(), items.to_pylist(), texts_of(texts),
-                                  strict=True):
-                n, hit, found = matcher.search(text)
-                if s:
-                    hit = merged([*zip(s[::2], s[1::2]), *zip(hit[::2], hit[1::2])])
-                n_words.append(n)
-                new_spans.append(hit)
-                new_items.append(sorted(found.union(i)))
-            yield [ids, n_words, new_spans, new_items] + [texts] * with_text
+            found = [matcher.search(text) for text in texts_of(batch.column(1))]
+            if hits:
+                keep = [k for k, (_, spans, _) in enumerate(found) if spans]
+                yield [batch.column(0).take(pa.array(keep, pa.int64())),
+                       batch.column(2).take(pa.array(keep, pa.int64())),
+                       [found[k][1] for k in keep], [sorted(found[k][2]) for k in keep]]
+            else:
+                yield [batch.column(0), [n for n, _, _ in found], [s for _, s, _ in found],
+                       [sorted(i) for _, _, i in found]]
     return run
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                          block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents, with all their columns, in which no test string occurs."""
-    def clean(shared, at: int):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = _matcher(shared, window)
-            for batch in cut_rows(batches):
-                yield batch.filter(pa.array([not matcher.search(t)[1]
-                                             for t in texts_of(batch.column(at))], pa.bool_()))
-        return run
-
-    for shared in _blocks(benchmark, block_bytes):
-        docs = docs.mapInArrow(clean(shared, docs.columns.index("text")), docs.schema)
-    return docs
+    """The documents, with all their columns, in which no test string occurs.
+
+    A missing or empty text holds none and stays, as does a row without a doc_id; repeated rows stay
+    or go alike. Without items all stay. Columns may have any names.
+    """
+    blocks = _blocks(benchmark, block_bytes)
+    first, n = next(blocks)
+    at = docs.columns.index("text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = _matcher(first, window)
+        for batch in cut_rows(batches):
+            yield batch.filter(pa.array([not matcher.search(t)[1]
+                                         for t in texts_of(batch.column(at))], pa.bool_()))
+    if n == 1:
+        return docs.mapInArrow(clean, docs.schema)
+    # Whether a text holds a test string depends on the text alone.
+    longest = max(map(len, docs.columns)) * "_" + "hash"      # no column's name
+    gone = _hits(docs, first, blocks, window).select(F.col("text_hash").alias(longest)).distinct()
+    return docs.join(gone, _text_hash() == F.col(longest), "left_anti")
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:
