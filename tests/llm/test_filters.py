@@ -1,6 +1,7 @@
 """Decontamination, line frequency, near duplicates, toxicity and personal data by brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -341,6 +342,55 @@ def toxic_rows(n=900):
     return out
 
 
+def test_scores_and_gradient_by_plain_loops():
+    import numpy as np
+    rng = random.Random(3)
+    texts = [t for _, t, _ in toxic_rows(40)]
+    sample = toxicity._Sample(texts, 15)
+    weights = np.array([rng.gauss(0, 1) for _ in range(4096)] * (toxicity.FEATURES // 4096))
+    z = sample.scores(weights, 0.25)
+    for text, score in zip(texts, z):
+        features = [f for w in toxicity.words_of(text) for f in toxicity.features_of(w)]
+        length = math.sqrt(sum(sample.scale[f] ** 2 for f in features))
+        plain = sum(weights[f] * sample.scale[f] for f in features) / length if length else 0.0
+        assert score == pytest.approx(0.25 + plain)
+    # The slope of any weighted sum of scores, along any direction.
+    by_doc = np.array([rng.gauss(0, 1) for _ in texts])
+    way = np.array([rng.gauss(0, 1) for _ in range(toxicity.FEATURES // 256)] * 256)
+    grad, bias_grad = sample.gradient(by_doc)
+    up, down = (float(by_doc @ sample.scores(weights + e * way, 0.25)) for e in (1e-4, -1e-4))
+    assert float(grad @ way) == pytest.approx((up - down) / 2e-4, rel=1e-5)
+    assert bias_grad == pytest.approx(by_doc.sum())
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.6])
+def test_steps_follow_the_non_negative_risk(prior):
+    """The first step goes down the slope of the risk a plain loop computes, or back where the part
+    for clean texts is negative."""
+    import numpy as np
+    rows = toxic_rows(60)
+    confirmed, rest = [t for _, t, y in rows if y][:8], [t for _, t, _ in rows][:30]
+    sample = toxicity._Sample(confirmed + rest, len(confirmed))
+    start = toxicity.train(confirmed, rest, prior, steps=0)
+    one = toxicity.train(confirmed, rest, prior, steps=1, rate=1.0)
+    assert not start.adds.any()
+    step = (one.adds - start.adds).astype(float) / np.where(sample.scale > 0, sample.scale, 1)
+
+    def risk(weights, part):
+        z = sample.scores(weights, 0.0)
+        known, other = z[:len(confirmed)], z[len(confirmed):]
+        clean = np.mean([math.log1p(math.exp(x)) for x in other]) - prior * np.mean(
+            [math.log1p(math.exp(x)) for x in known])
+        toxic = prior * np.mean([math.log1p(math.exp(-x)) for x in known])
+        return {"clean": clean, "all": clean + toxic}[part]
+
+    zero = np.zeros(toxicity.FEATURES)
+    part, sign = ("all", 1) if risk(zero, "clean") >= 0 else ("clean", -1)
+    way = step / np.linalg.norm(step)
+    slope = (risk(1e-4 * way, part) - risk(-1e-4 * way, part)) / 2e-4
+    assert -sign * slope == pytest.approx(np.linalg.norm(step), rel=1e-3)
+
+
 def test_toxicity_is_learnt_from_confirmed_and_unlabelled_texts(spark, odd, empty):
     rows = toxic_rows()
     df = frame(spark, [(k, t) for k, t, _ in rows])
