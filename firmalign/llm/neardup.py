@@ -35,7 +35,7 @@ from firmalign.llm import textwords
 from firmalign.llm.common import cut_lineage, cut_rows, map_arrow, table
 
 SHINGLE, PERCENT = 4, 80
-CODES, TREES, SMALL_NODE, MAX_DEPTH = 160, 24, 1024, 48
+CODES, TREES, SMALL_NODE, MAX_DEPTH = 160, 24, 4096, 48
 #: Of eight nodes so many draw a second position.
 SECOND_IN_EIGHT = 3
 #: Trees in which a class must share a node at all: of 24, a linked one misses 16 or more with a
@@ -48,6 +48,9 @@ LEAST_AGREEMENT, LEAST_BITS = 0.65, 0.55
 #: standard deviations below 0.8.
 FINE_BITS = 10
 FINE, LEAST_FINE = 1 << FINE_BITS, 0.74
+#: A pair met in so many earlier small nodes, by the bytes of its tokens, isn't handed on again. A byte
+#: agrees by chance in one of 256, so three do where no token does once in 2e9.
+MET_BEFORE = 3
 #: Rounds with pivots only, and pivots of a node.
 PIVOT_ROUNDS, PIVOTS = 3, 64
 #: Members of a node, members handled together, and rows of a block of a comparison in a task.
@@ -195,7 +198,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 def _join(source: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(class, label) of all classes that have a confirmed link."""
     start = classes.select("class", F.posexplode("tokens").alias("tree", "token")).select(
-        "class", F.xxhash64("tree", "token").alias("node"))
+        "class", "tree", F.xxhash64("tree", "token").alias("node"))
     shared = start.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = start.join(shared.select("node"), "node")
     met = members.groupBy("class").agg(F.count(F.lit(1)).alias("trees")).where(
@@ -211,6 +214,12 @@ def _join(source: DataFrame, classes: DataFrame, shingle: int, percent: int) ->
             "agree", "other")).alias("other"))
         links = _confirmed(_ordered(best, "class", "other"), met, source, shingle, percent)
         labels = _merged(labels, links)
+    large = members.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where(
+        F.col("size") > SMALL_NODE).select("node")
+    branching = members.join(large, "node").groupBy("class").agg(
+        F.bit_or(F.expr("shiftleft(1, tree)")).alias("branching"))
+    met = cut_lineage(met.join(branching, "class", "left").withColumn(
+        "branching", F.coalesce("branching", F.lit(0))), "near-met")
     pairs = _candidates(_in_bounds(members, met, labels), met, labels, percent, None)
     links = _confirmed(_ordered(pairs, "class", "other"), met, source, shingle, percent)
     return _merged(labels, links)
@@ -251,7 +260,8 @@ def _branch(members: DataFrame, met: DataFrame) -> DataFrame:
     place = (F.pmod(F.xxhash64("node", "pick"), F.lit(CODES - TREES)) + TREES + 1).cast("int")
     children = members.join(met.select("class", "codes"), "class").withColumn(
         "pick", F.explode(F.sequence(F.lit(0), draws))).withColumn("place", place).select(
-        "class", F.xxhash64("node", "place", F.expr("substring(codes, place, 1)")).alias("node"))
+        "class", F.lit(TREES).alias("tree"),
+        F.xxhash64("node", "place", F.expr("substring(codes, place, 1)")).alias("node"))
     shared = children.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return children.join(shared.select("node"), "node")
 
@@ -259,9 +269,9 @@ def _branch(members: DataFrame, met: DataFrame) -> DataFrame:
 def _candidates(members: DataFrame, met: DataFrame, labels: DataFrame | None, percent: int,
                 turn: int | None) -> DataFrame:
     """(class, other, kind, agree) across components: in a turn with the pivots of a node, else all."""
-    sketches = ["n", "codes"] + ["fine"] * (turn is None)
+    sketches = ["n", "codes"] + ["fine", "branching"] * (turn is None)
     known = _mixed(_labelled(members, labels)).join(met.select("class", *sketches), "class")
-    dealt = known.select("node", "class", "label", *sketches).repartition(
+    dealt = known.select("node", "class", "label", *sketches, "tree").repartition(
         "node").sortWithinPartitions("node")
     found = map_arrow(dealt, _walk(percent, turn),
                       "class bigint, other bigint, kind int, agree int")
@@ -306,7 +316,10 @@ def _compared(rows: pa.RecordBatch, percent: int, turn: int | None) -> list:
     a, b, kinds = (np.concatenate(p) for p in (a, b, kinds))
     fit = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
     a, b, kinds = a[fit], b[fit], kinds[fit]
-    if turn is None:        # each pair of classes once, in whichever nodes it was met
+    if turn is None:
+        fresh = _first_met(codes, rows.column("tree").to_numpy(), rows.column("branching").to_numpy(), a, b)
+        a, b, kinds = a[fresh], b[fresh], kinds[fresh]
+        # Each pair of classes once, in whichever nodes of this task it was met.
         x, y = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
         first = np.unique(np.stack([x, y], 1), axis=0, return_index=True)[1] if len(a) else []
         a, b, kinds = a[first], b[first], kinds[first]
@@ -317,7 +330,7 @@ def _compared(rows: pa.RecordBatch, percent: int, turn: int | None) -> list:
     good = agree >= LEAST_AGREEMENT * CODES
     a, b, kinds, agree = a[good], b[good], kinds[good], agree[good]
     if turn is None:
-        fine = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint8).reshape(-1, FINE)
+        fine = np.frombuffer(b"".join(rows.column("fine").to_pylist()), np.uint8).reshape(-1, FINE)
         good = _finely_alike(fine, a, b)
         a, b, kinds, agree = a[good], b[good], kinds[good], agree[good]
         # Alike in every task that finds the pair.
@@ -326,6 +339,26 @@ def _compared(rows: pa.RecordBatch, percent: int, turn: int | None) -> list:
     return [ids[a], ids[b], kinds.astype(np.int32), agree.astype(np.int32)]
 
 
+def _first_met(codes: np.ndarray, tree: np.ndarray, branching: np.ndarray, a: np.ndarray,
+               b: np.ndarray) -> np.ndarray:
+    """Which pairs haven't met in ``MET_BEFORE`` earlier nodes, each compared exhaustively.
+
+    Where tokens agree in an earlier tree the pair shares that node, too; if it was small it was
+    compared there. Trees in which their nodes branch don't count. A pair of a node that branched
+    before it came to this task, which has no tree, is always handed on.
+    """
+    good = np.zeros(len(a), bool)
+    places = np.arange(TREES)
+    for at in range(0, len(a), 1 << 16):
+        x, y = a[at:at + (1 << 16)], b[at:at + (1 << 16)]
+        branched = (branching[x] | branching[y])[:, None] >> places & 1
+        own = tree[x][:, None]
+        before = ((codes[x, :TREES] == codes[y, :TREES]) & (places < own) & (branched == 0)
+                  & (own < TREES))
+        good[at:at + (1 << 16)] = np.count_nonzero(before, 1) < MET_BEFORE
+    return good
+
+
 def _finely_alike(fine: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     good = np.zeros(len(a), bool)
     for at in range(0, len(a), 1 << 13):

@@ -297,6 +297,46 @@ def test_branches_keep_pairs_together(monkeypatch):
     assert missed <= 1
 
 
+@pytest.mark.parametrize("small", [4, 4096])
+def test_a_task_finds_all_close_pairs(monkeypatch, small):
+    """Members of one group in all trees: every pair that agrees enough is a candidate once."""
+    import numpy as np
+    import pyarrow as pa
+    for name, value in (("SMALL_NODE", small), ("ROWS", 3)):
+        monkeypatch.setattr(neardup, name, value)
+    rng = np.random.default_rng(17)
+    center = rng.integers(0, 256, neardup.CODES, np.uint8)
+    codes = np.stack([np.where(rng.random(neardup.CODES) < keep, center, rng.integers(
+        0, 256, neardup.CODES, np.uint8)) for keep in rng.uniform(.8, 1, 40)])
+    labels = np.arange(40) // 4
+    fine = rng.integers(1, 255, neardup.FINE, np.uint8).tobytes()
+    # As in the join: the members of a tree's node are those with one token, here with its byte.
+    nodes = [(int(node), k, tree) for tree, node in enumerate(np.sort(rng.integers(1 << 62, size=neardup.TREES)))
+             for k in range(40) if codes[k, tree] == center[tree]]
+    branching = sum(1 << tree for tree in range(neardup.TREES) if small < 40)
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([n for n, _, _ in nodes]), pa.array([k for _, k, _ in nodes]),
+         pa.array([int(labels[k]) for _, k, _ in nodes]), pa.array([100] * len(nodes)),
+         pa.array([codes[k].tobytes() for _, k, _ in nodes]), pa.array([fine] * len(nodes)),
+         pa.array([branching] * len(nodes)), pa.array([t for _, _, t in nodes], pa.int32())],
+        ["node", "class", "label", "n", "codes", "fine", "branching", "tree"])
+    a, b, _, agree = neardup._compared(rows, 80, None)
+    got = list(zip(a.tolist(), b.tolist()))
+    assert len(got) == len(set(got)) and all(x < y and labels[x] != labels[y] for x, y in got)
+    close = {(x, y) for x in range(40) for y in range(x) if labels[x] != labels[y]
+             and (codes[x] == codes[y]).mean() >= .8}
+    assert {(y, x) for x, y in close} <= set(got)
+    if small > 40:      # one tree after the other: three of them hand a pair on, no more
+        times = Counter()
+        for tree in range(neardup.TREES):
+            at = [i for i, (_, _, t) in enumerate(nodes) if t == tree]
+            x, y, _, _ = neardup._compared(rows.slice(at[0], len(at)), 80, None)
+            times.update(zip(x.tolist(), y.tolist()))
+        assert set(times) == set(got) and max(times.values()) == neardup.MET_BEFORE
+    one, other, kinds, _ = neardup._compared(rows, 80, 0)
+    assert set(kinds.tolist()) <= {0, 1} and all(labels[x] != labels[y] for x, y in zip(one, other))
+
+
 def test_the_longer_sketch_keeps_pairs_of_similarity_080():
     import numpy as np
     rng = np.random.default_rng(5)
