@@ -3,14 +3,15 @@
 The tokens of a page are its structural tags, told apart by their path of tags, classes and ids. For
 each host the tokens are grouped by their occurrence vector, the number of times they occur in each
 page: tokens with the same vector over enough pages form an equivalence class. Classes whose tokens
-hang below tokens of valid classes nest into the host's template. The deepest slot that leaves out no text
-but the host's constant text and, outside article and main, lists of links is the article slot.
+hang below tokens of valid classes nest into the host's template. An article or main element that
+nearly every page of the host has once is the article slot, and what lies outside it goes, constant or
+not; otherwise the deepest slot that leaves out no text but the host's constant text and lists of links.
 
 Vectors are never collected: a vector is compared by the exclusive or of hashes of (page, count),
 which Spark sums up per host and token with partial aggregation. Pages aren't shuffled by host
 unless the templates are too large for Spark to broadcast. What menus, adverts, comments and the
-like are called is fixed below; pages of hosts with too few pages, or without their host's article
-slot, go by these names alone.
+like are called is fixed below and is cut on every page first, never around an article; pages of hosts
+with too few pages, or without their host's article slot, go by these names alone.
 """
 
 from __future__ import annotations
@@ -45,11 +46,18 @@ CHROME_NAMES = frozenset(
     "social share sharing related recommended breadcrumb breadcrumbs pagination pager comment comments "
     "reply replies disqus respond discussion search form skip legal copyright".split())
 MAIN_NAMES = frozenset("main".split())
+#: Words that say nothing of their own next to one of the names above.
+PLAIN_NAMES = frozenset(
+    "box list block wrap wrapper section area container bar item items link links post posts article "
+    "articles entry story news user users reader readers inner outer content contents top bottom left "
+    "right fixed sticky site page pages global main primary secondary group panel row col column text "
+    "title heading icon button btn image img unit slot zone body count form".split())
 
 _TAG = re.compile(
     r"<!--.*?-->|<!--.*|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL)
+_MAIN_TAG = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
@@ -66,12 +74,27 @@ def _signed(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) - (1 << 63)
 
 
+def _named(attributes: str) -> dict[str, str]:
+    return {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(attributes)} if attributes else {}
+
+
+def _chrome_words(names: dict[str, str]) -> set[str]:
+    """The fixed names an element goes by. A compound name counts if the rest of it says nothing, so
+    ``comment-list`` does and ``has-sidebar`` and ``related-work`` don't."""
+    found: set[str] = set()
+    for value in names.values():
+        for name in value.split():
+            parts = {p.lower() for p in _PARTS.findall(name)}
+            if parts <= CHROME_NAMES | PLAIN_NAMES:
+                found |= parts & CHROME_NAMES
+    return found
+
+
 class Element:
     __slots__ = ("tag", "role", "chrome", "main", "chars", "links", "said", "own", "words")
 
-    def __init__(self, tag: str, attributes: str, parent: Element | None):
-        names = {k.lower(): a or b or c for k, a, b, c in _NAMES.findall(attributes)} \
-            if attributes else {}
+    def __init__(self, tag: str, attributes: str, parent: Element | None, holds_main: bool):
+        names = _named(attributes)
         label = _DIGITS.sub("0", " ".join(f"{k}={names[k]}" for k in sorted(names)))
         self.tag = tag
         self.role = _signed(f"{parent.role if parent else 0} {tag} {label}")
@@ -79,14 +102,32 @@ class Element:
                  for p in _PARTS.findall(names[k])}
         self.main = tag in ("article", "main") or bool(words & MAIN_NAMES)
         inside = parent is not None and parent.chrome
-        own = tag in CHROME_TAGS or (tag not in ("html", "body") and bool(words & CHROME_NAMES)
-                                     and not (self.main and not words & {"comment", "comments"}))
+        chrome = _chrome_words(names)
+        if parent is not None and parent.main:      # an article may have a header of its own
+            chrome -= {"header"}
+        own = tag in CHROME_TAGS or (tag not in ("html", "body") and bool(chrome) and not holds_main
+                                     and not (self.main and not chrome & {"comment", "comments"}))
         header = tag == "header" and not (parent is not None and parent.main)
         self.chrome = inside or own or header
         self.main = (self.main or (parent is not None and parent.main)) and not self.chrome
         self.chars = self.links = self.said = self.own = self.words = 0
 
 
+def _end_of(tag: str, html: str, at: int) -> int:
+    """Where an element opened before ``at`` ends: at its end tag, or where a block ends a paragraph."""
+    paragraph = tag == "p" or tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+    depth = 1
+    for match in re.compile(rf"<(/?){tag}(?=[\s/>])" + "|<(?:/?)(?:div|section|article|main|body|html)(?=[\\s/>])"
+                            * (paragraph or tag in INLINE), re.I).finditer(html, at):
+        if match[1] is None or (paragraph and not match[1]):
+            return match.start()
+        depth += -1 if match[1] else 1
+        if not depth:
+            end = html.find(">", match.end())
+            return end + 1 if end >= 0 else len(html)
+    return len(html)
+
+
 def events(html: str) -> Iterator[tuple]:
     """("open", element), ("close", element), ("break",), ("link", on) and ("text", text), in order.
 
@@ -110,12 +151,16 @@ def events(html: str) -> Iterator[tuple]:
         if tag == "a":
             yield "link", not closing
         if tag in INLINE:
+            if attributes and not closing and tag not in VOID and _chrome_words(_named(attributes)):
+                at = _end_of(tag, html, at)
             continue
         yield ("break",)
         if tag in VOID:
             continue
-        if tag in CLOSED_BY_BLOCK:
-            continue                      # blocks of text, but no tokens of a template
+        if tag in CLOSED_BY_BLOCK:        # blocks of text, but no tokens of a template
+            if attributes and not closing and _chrome_words(_named(attributes)):
+                at = _end_of(tag, html, at)
+            continue
         if closing:
             if any(e.tag == tag for e in stack):
                 while True:
@@ -132,7 +177,9 @@ def events(html: str) -> Iterator[tuple]:
             skip = html.find(">", at)
             at = skip + 1 if skip >= 0 else end
             continue
-        element = Element(tag, attributes, stack[-1] if stack else None)
+        holds_main = bool(attributes) and tag not in CHROME_TAGS and bool(
+            _MAIN_TAG.search(html, at, _end_of(tag, html, at)))
+        element = Element(tag, attributes, stack[-1] if stack else None, holds_main)
         stack.append(element)
         yield "open", element
     while stack:
@@ -291,7 +338,15 @@ def _template(rows: pd.DataFrame) -> pd.DataFrame:
         article, vector = root, by_role[root].vector
         aside = lambda r: not by_role[r].main and by_role[r].chars and (
             by_role[r].constant or by_role[r].links >= LINK_SHARE * by_role[r].chars)
-        while True:
+        # An article or main element of the root's class, or near it, is the slot: what the host's pages
+        # have outside it is no part of the article, whether it is constant or not.
+        whole = [r for r in template if by_role[r].main and by_role[r].chars
+                 and by_role[r].parent in by_role and not by_role[by_role[r].parent].main
+                 and by_role[r].once == by_role[r].support
+                 and by_role[r].support >= 0.9 * by_role[root].support] if not by_role[root].main else []
+        if whole:
+            article = max(whole, key=lambda r: (by_role[r].chars, r))
+        while not whole:
             # Tokens of the root's own class, or near it, that occur once in a page.
             children = [r for r in template if by_role[r].parent == article]
             left = by_role[article].own + sum(by_role[r].chars for r in children if not aside(r))

@@ -93,6 +93,33 @@ def test_buckets_are_passed_over():
     assert list(group.rows()) == [(0, 0, 8000)] and sum(asked) <= ranking.BUCKET
 
 
+@pytest.mark.parametrize("bucket, focus", [(1, 1), (8, 2), (256, 8)])
+def test_bounds_lose_no_document(monkeypatch, bucket, focus):
+    """The k best of random vectors, in several calls, against all inner products."""
+    monkeypatch.setattr(ranking, "BUCKET", bucket)
+    monkeypatch.setattr(ranking, "FOCUS", focus)
+    monkeypatch.setattr(ranking, "GROUP_ITEMS", 4)
+    monkeypatch.setattr(ranking, "GROUP_TERMS", 12)
+    rng = np.random.default_rng(bucket)
+    n_terms = 30
+    queries = [{int(t): int(rng.integers(-500, 3000)) for t in rng.choice(n_terms, rng.integers(1, 9), False)}
+               for _ in range(11)]
+    groups = ranking._groups(queries, 5, n_terms)
+    assert len(groups) > 2
+    dense = np.where(rng.random((600, n_terms)) < .2, rng.integers(1, 900, (600, n_terms)), 0)
+    for at in range(0, 600, 150):
+        row, term = np.nonzero(dense[at:at + 150])
+        for group in groups:
+            group.search(list(range(at, at + 150)), row, term, dense[at:at + 150][row, term])
+    got = sorted(r for g in groups for r in g.rows())
+    hand = []
+    for q, query in enumerate(queries):
+        scores = sum(dense[:, t] * w for t, w in query.items())
+        best = sorted((-s, d) for d, s in enumerate(scores.tolist()) if s > 0)[:5]
+        hand += [(q, d, -s) for s, d in best]
+    assert got == sorted(hand)
+
+
 def test_ties_go_by_doc_id(spark):
     docs = frame(spark, [(k, "ba de ki") for k in (7, None, 3, -1, 3, 12)] + [(99, "lo mu tz " * 9)])
     got = ranking.search(docs, items_frame(spark, [(1, "ki")]), k=4).collect()
@@ -187,6 +214,28 @@ def test_no_words(spark, empty):
     assert variants.group_variants(frame(spark, [(1, None), (2, "short words only")])).count() == 0
 
 
+@pytest.mark.parametrize("at_once", [3, 1 << 15])
+def test_near_words_of_a_chunk(monkeypatch, at_once):
+    monkeypatch.setattr(variants, "MOST_SEARCHED", at_once)
+    rng = random.Random(at_once)
+    words = sorted({"".join(rng.choices("abÿ", k=rng.randint(7, 9))) for _ in range(150)})
+    counts = {w: rng.randint(2, 9) for w in words}
+    rows = []
+    for w in words:
+        for m in {len(w), len(w) - 1} - {6}:
+            a = m // 2
+            rows += [(f"L{m}{w[:a]}", w, counts[w], m, "L", a, m, 0),
+                     (f"R{m}{w[a - m:]}", w, counts[w], m, "R", m - a, m, a)]
+    got = {w: (n, best_n, best) for w, n, best_n, best in zip(*map(list, variants._searched(rows)))}
+    hand = {}
+    for w in words:
+        near = [v for v in words if v != w and differ_by_one(v, w)]
+        if near:
+            best = min(near, key=lambda v: (-counts[v], v))
+            hand[w] = (len(near), counts[best], best)
+    assert got == hand and len(hand) > 20
+
+
 def test_search_scheme_keeps_both_directions_in_step():
     rng = random.Random(6)
     words = sorted({"".join(rng.choices("abé", k=rng.randint(7, 9))).encode("latin-1") for _ in range(200)})

@@ -190,6 +190,45 @@ def test_the_article_slot_leaves_no_text_out(spark):
         k: t.split() for k, t in expected.items()}
 
 
+def test_names_count_whole_and_never_hold_the_article():
+    text = lambda body: templates.main_text(f"<html><body>{body}</body></html>")
+    article = "<article><h1>T</h1><p>Body text.</p></article>"
+    assert text(f'<div class="content has-sidebar">{article}</div>') == "T\nBody text."
+    assert text(f'<div id="sidebar">{article}</div>') == "T\nBody text."
+    assert text('<article><section class="related-work"><p>Prior.</p></section><p>Now.</article>') == "Prior.\nNow."
+    assert text('<main><div class="discussion-of-results">D.</div><div class="comment-list">nice</div></main>') == "D."
+    assert text('<article><p class="cookie-notice">We use cookies<p>More <span class="ad">buy <span>now</span>'
+                '</span>text.</article>') == "More text."
+    assert text('<article><div class="header"><h1>H</h1></div><p>x</p></article>') == "H\nx"
+
+
+def test_the_template_alone_finds_the_article(monkeypatch):
+    """Without any fixed name: adverts and footers of every text lie outside the host's article slot."""
+    import pandas as pd
+    rng = random.Random(23)
+    monkeypatch.setattr(templates, "CHROME_NAMES", frozenset())
+    html, bodies = [], []
+    for k in range(9):
+        bodies.append(prose(rng, 40).replace("\n", " "))
+        html.append(f"<html><body><div class=ad>{prose(rng, 6)}</div><article><p>{bodies[-1]}</p></article>"
+                    f"<div class=sidebar>{prose(rng, 9)}</div></body></html>")
+    roles = {}
+    for page_id, text in enumerate(html):
+        for role, parent, times, chars, links, said, main, own, words_ in templates.page_tokens(text):
+            at = roles.setdefault(role, {"host": "h", "n_pages": len(html), "role": role, "parent": parent,
+                                         "vector": 0, "support": 0, "chars": 0, "links": 0, "once": 0,
+                                         "main": 0, "own": 0, "constant": False})
+            at["vector"] ^= templates._signed(f"{page_id} {times}")
+            at["support"] += 1
+            at["chars"] += chars
+            at["links"] += links
+            at["once"] += times == 1
+            at["main"] = max(at["main"], main)
+            at["own"] += own
+    article = int(templates._template(pd.DataFrame(list(roles.values()))).iloc[0]["article"])
+    assert [templates.main_text(text, article) for text in html] == bodies
+
+
 def test_classes_need_the_same_vector_and_valid_parents():
     import pandas as pd
     rows = pd.DataFrame([
