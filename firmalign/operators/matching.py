@@ -23,7 +23,7 @@ from ..functions import vocabulary as v
 from ..functions.expressions import (
     canonical_payer_id, percent, rank_order, same_name)
 from ..sources.versions import cut_lineage
-from .skew import counted_hot_keys, every_salt, grid_join, hot_keys, lookup, one_salt, salts_of
+from .skew import every_salt, grid_join, hot_keys, lookup, one_salt, salts_of, store_counted
 
 
 def id_columns(key_mode: str) -> tuple[str, ...]:
@@ -198,23 +198,23 @@ def two_sided(firm: DataFrame, oa: DataFrame, key_mode: str = "multi",
     rows = firm_rows.unionByName(master_rows.withColumn("side", F.lit("master")),
                                  allowMissingColumns=True)
     found = "kind IN ('i', 'n')"     # a name given later and both values together are no more
-    index = cut_lineage(
+    index, hot, firm_hot = store_counted(
         rows.where("NOT (startswith(key, '-:') OR startswith(key, '=:'))").groupBy("key").agg(
             *_index_aggs(key_mode), F.expr(f"count_if(side = 'firm' AND {found}) AS n_firms"),
             F.expr("count_if(side = 'firm') AS firm_rows"),
-            F.expr(f"count_if(side = 'firm' OR {found}) AS all_rows")), "match-index")
+            F.expr(f"count_if(side = 'firm' OR {found}) AS all_rows")),
+        "key", "match-index", "all_rows", "firm_rows")
     looked_up = firm_rows.unionByName(master_rows.where(found).select(
         F.lit("master").alias("side"), F.col("oa_id").alias("id"), "kind", "key"),
         allowMissingColumns=True)
-    joined = lookup(looked_up, index, "key", "id", keyless=False,
-                    hot=counted_hot_keys(index, "key", "all_rows"))
+    joined = lookup(looked_up, index, "key", "id", keyless=False, hot=hot)
     stored = cut_lineage(joined.groupBy("side", "id", "payer_id", "name").agg(
         *_profile_aggs(key_mode), F.coalesce(F.max("n_firms"), F.lit(0)).alias("firm_hits")),
         "match-profile")
     profile = stored.where("side = 'firm'").withColumnRenamed("id", "firm_id").drop(
         "side", "firm_hits").selectExpr("*", *_profile_totals(key_mode))
     new = stored.where("side = 'master' AND firm_hits = 0").select(F.col("id").alias("firm_id"))
-    return TwoSided(profile, new, counted_hot_keys(index, "key", "firm_rows"))
+    return TwoSided(profile, new, firm_hot)
 
 
 def _blank(c) -> Column:

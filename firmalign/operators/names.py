@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import vocabulary as v
 from ..functions.expressions import name_length_compare, quoted, space_count, whitespace_issue
 from ..sources.versions import cut_lineage
-from .skew import grid_join, lookup
+from .skew import grid_join, lookup, store_counted
 
 
 def whitespace_issues(firm: DataFrame) -> DataFrame:
@@ -94,9 +94,11 @@ def ranked_grams(left: DataFrame, right: DataFrame) -> DataFrame:
     sets = left.select("name").unionByName(right.select("name")).distinct().select(
         "name", trigrams(F.col("name")).alias("grams")).where(F.size("grams") > 0)
     exploded = sets.select("name", F.explode("grams").alias("gram"))
-    freq = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    freq, hot = store_counted(exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df")),
+                              "gram", "gram-counts", "df")
     # A name has few grams: the list per name is bounded by the length of the name.
-    return cut_lineage(lookup(exploded, freq, "gram", "name", how="inner", keyless=False).groupBy(
+    return cut_lineage(lookup(exploded, freq, "gram", "name", how="inner", keyless=False,
+                              hot=hot).groupBy(
         "name").agg(F.expr("transform(array_sort(collect_list(struct(df, gram))), x -> x.gram)")
                     .alias("g")), "name-grams")
 
@@ -127,14 +129,16 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float,
     else:
         keys = "p"
     prefix = prefix.selectExpr("name", "g", f"explode({keys}) AS key")
-    prefix = cut_lineage(prefix, "name-prefixes")   # read for both sides and their hot keys
+    # Names of both sides have prefixes, so a key hot on either side is among the hot ones.
+    hot = store_counted(prefix.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key",
+                        "prefix-counts", "n")[1]
 
     def side(df, tag):
         carried = [c for c in df.columns if c != "name"]
         return prefix.join(df, "name").select(
             "key", F.col("name").alias(f"{tag}_name"), F.col("g").alias(f"{tag}_g"), *carried)
 
-    pairs = grid_join(side(left, "firm"), side(right, "oa"), "key", "firm_name", "oa_name")
+    pairs = grid_join(side(left, "firm"), side(right, "oa"), "key", "firm_name", "oa_name", hot)
     if not equal:
         pairs = pairs.where("firm_name <> oa_name")
     # Sizes rule most pairs out before their members are compared.
@@ -178,7 +182,7 @@ def fuzzy_name_matches(firm: DataFrame, oa: DataFrame, lo: float = 0.6, hi: floa
                          F.col("name").alias(f"{tag}_name_as_is"),
                          F.col("payer_id").alias(f"{tag}_payer_id"))
         rank = F.row_number().over(Window.partitionBy("lname").orderBy(f"{tag}_id"))
-        return (lookup(rows, wanted, "lname", f"{tag}_id", how="left_semi")
+        return (rows.join(F.broadcast(wanted), "lname", "left_semi")    # k names at most
                 .withColumn("_r", rank).where(F.col("_r") <= k).drop("_r")
                 .withColumnRenamed("lname", names))
 

@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
+
+from ..sources.versions import cut_lineage
 
 MIN_HOT_ROWS = "spark.firmalign.hotKeyMinRows"
 #: Fixed value: the most items Spark's sketch tracks. It needs several for each key asked for.
@@ -41,15 +43,25 @@ def hot_keys(df: DataFrame, key: str) -> dict:
     return {t["item"]: -(-t["count"] * parts // row["n"]) for t in row["top"] if t["count"] > fair}
 
 
-def counted_hot_keys(counts: DataFrame, key: str, n: str) -> dict:
-    """The same from a stored table of exact counts per key, without a pass over the rows."""
+def store_counted(counts: DataFrame, key: str, name: str, *columns: str) -> tuple:
+    """Write a table of exact counts per key; returns it and the hot keys by each count column.
+
+    The largest and the total counts are observed while the table is written. Only if some key can be
+    hot is it read for them, and fewer keys than partitions can lie above a fair share.
+    """
     parts = _partitions(counts)
     min_rows = int(counts.sparkSession.conf.get(MIN_HOT_ROWS, "100000"))
-    total = counts.agg(F.coalesce(F.sum(n), F.lit(0))).scalar()
-    # Fewer keys than partitions can lie above a fair share, so the result is bounded.
-    hot = counts.where(F.col(key).isNotNull() & (F.col(n) > min_rows)
-                       & (F.col(n) * parts > total)).select(key, n, total.alias("total"))
-    return {r[0]: -(-r[1] * parts // r[2]) for r in hot.collect()}
+    seen = Observation(name)
+    stored = cut_lineage(counts.observe(seen, *[f(F.coalesce(F.col(c), F.lit(0))).alias(f"{c}_{f.__name__}")
+                                                for c in columns for f in (F.max, F.sum)]), name)
+    facts, found = seen.get, []
+    for c in columns:
+        fair = max((facts[f"{c}_sum"] or 0) / parts, min_rows)
+        hot = []
+        if (facts[f"{c}_max"] or 0) > fair:
+            hot = stored.where(F.col(key).isNotNull() & (F.col(c) > fair)).select(key, c).collect()
+        found.append({r[0]: -(-r[1] * parts // facts[f"{c}_sum"]) for r in hot})
+    return stored, *found
 
 
 def salts_of(hot: dict, key: Column) -> Column:
@@ -102,10 +114,13 @@ def lookup(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "lef
 
 
 def grid_join(left: DataFrame, right: DataFrame, key: str, left_by: str,
-              right_by: str) -> DataFrame:
-    """Many-to-many inner join: a key hot on either side is cut into a grid of tasks."""
+              right_by: str, hot: dict | None = None) -> DataFrame:
+    """Many-to-many inner join: a key hot on either side is cut into a grid of tasks.
+
+    ``hot`` are the hot keys where those of both sides are known to be among them.
+    """
     left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
-    left_hot, right_hot = hot_keys(left, key), hot_keys(right, key)
+    left_hot, right_hot = (hot, hot) if hot is not None else (hot_keys(left, key), hot_keys(right, key))
     on = [key]
     if left_hot:
         n = salts_of(left_hot, F.col(key))

@@ -95,7 +95,7 @@ def test_a_sync_matches_once(data, no_broadcast):
     out = synced(data.tables, data.ts)[0]
     plan = plan_of(out)
     assert _scans(out, "customer") <= 6 and _scans(out, "orders") == 1
-    assert "inline" not in plan, "no row is keyed again"
+    assert "concat(i:" not in plan, "no row is keyed again"
 
 
 def _above(plan, scan, until):
