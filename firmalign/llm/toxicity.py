@@ -37,7 +37,7 @@ MISSED, LEAST_ASIDE = 0.02, 10
 LEAST_SEEN, MOST_NEEDED = 3, 10
 FOLDS = 5
 _WORD = re.compile(r"\w+")
-_MOST_KEPT = 400_000
+_MOST_KEPT = 200_000
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
