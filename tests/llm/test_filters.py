@@ -286,7 +286,7 @@ def test_branches_keep_pairs_together(monkeypatch):
     monkeypatch.setattr(neardup, "SMALL_NODE", 1)
     monkeypatch.setattr(neardup, "MAX_DEPTH", 16)
     rng = np.random.default_rng(31)
-    missed, n = 0, 1500
+    missed, n = 0, 120
     for _ in range(n):
         one = rng.integers(0, 256, neardup.CODES, np.uint8)
         other = np.where(rng.random(neardup.CODES) < .8, one, rng.integers(0, 256, neardup.CODES, np.uint8))
@@ -294,7 +294,7 @@ def test_branches_keep_pairs_together(monkeypatch):
         missed += not any(one[tree] == other[tree] and any(
             True for _ in neardup._leaves(np.arange(2), int(rng.integers(1 << 62)), labels, codes))
             for tree in range(neardup.TREES))
-    assert missed <= 1
+    assert missed <= 1     # expected: 0.007
 
 
 @pytest.mark.parametrize("small", [4, 4096])
