@@ -253,6 +253,25 @@ def test_a_task_tried_again_is_counted_once(tmp_path):
     assert "COUNTS (50, 5, 20)" in done.stdout, done.stderr[-2000:]
 
 
+def test_orphan_repair_is_backed_up_gated_and_published(spark, tmp_path):
+    from firmalign.plans.orphan_repair import run_orphan_repair
+    firm = spark.createDataFrame([(1, "A", "x")], "firm_id bigint, payer_id_new string, name_new string")
+    firm = firm.selectExpr("*", *[f"CAST(NULL AS STRING) AS {c}" for c in v.ID_COLS])
+    before = spark.createDataFrame([(1, "A", "x"), (2, "A", "y"), (3, "Q", "z")],
+                                   "firm_id bigint, payer_id string, name string")
+    pat = spark.createDataFrame([(10, 1), (11, 2), (12, 3), (13, None)],
+                                "patient_insurance_id bigint, insurance_firm_id bigint")
+    target = VersionedTable(str(tmp_path / "patients"))
+    with pytest.raises(SyncStopped):
+        run_orphan_repair(pat, firm, target, before, max_left=0)
+    assert rows(target.read(spark)) == rows(pat), "only the backup is published"
+    report = run_orphan_repair(pat, firm, target, before)
+    assert (report["orphans_before"], report["orphans_left"]) == (2, 1)
+    assert sorted(map(tuple, target.read(spark).collect())) == [(10, 1), (11, 1), (12, 3), (13, None)]
+    assert rows(target.rollback(spark, report["backup"])) == rows(pat)
+    assert run_orphan_repair(pat, firm, target, mode="delete", max_left=0)["orphans_left"] == 0
+
+
 def test_usage_is_one_row_per_firm(spark):
     pat = spark.createDataFrame([(1,), (1,), (2,), (None,)], "insurance_firm_id bigint")
     claims = spark.createDataFrame([(2,), (3,), (3,), (None,)], "insurance_firm_id bigint")
