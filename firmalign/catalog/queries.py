@@ -173,6 +173,14 @@ def _classified_feed(d: Data, variant: str) -> DataFrame:
     return _pair_columns(m.classify_matches(pairs, variant, "single"), "single")
 
 
+def _details(d: Data, style: str) -> DataFrame:
+    """The text of every joined row, also of those a firm's update doesn't take."""
+    rows = m.classify_matches(_pairs(d, "single", "left"), "v1", "single")
+    return rows.select("firm_id", "oa_id", e.sync_details(
+        style, "match_status", None, "old_payer_id", "old_name", "oa_payer_id", "new_name")
+        .alias("sync_details"))
+
+
 def _option_b(d: Data):
     both = m.two_sided(d.firm_ids, d.oa)
     resolved = m.resolve_matches(d.firm_ids, d.oa, profile=both.profile)
@@ -235,8 +243,7 @@ Q: dict[str, Callable[[Data], DataFrame]] = {
     "whitespace_issues__count": lambda d: n.whitespace_count(d.firm),
     "trim_names": lambda d: n.trim_names(d.firm).select("firm_id", "name"),
     "sync_details": lambda d: d.updated.select("firm_id", "sync_details"),
-    "sync_details__v0": lambda d: d.annotated.select(
-        "firm_id", F.col("match_details").alias("sync_details")),
+    "sync_details__v0": lambda d: _details(d, "v0"),
     "sync_details__v1": lambda d: mu.update_matched(d.firm, d.oa1, d.ts, "single").select(
         "firm_id", "sync_details"),
     "sync_details__feed": lambda d: d.mapped.select("firm_id", "match_details"),

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+from firmalign.catalog.queries import queries
 from firmalign.operators import gaps as g, matching as m, mutations as mu
 from firmalign.operators.skew import MIN_HOT_ROWS, hot_keys
 from firmalign.sources.fixtures import run_ts
@@ -197,3 +198,27 @@ def test_two_sided_match_splits_hot_keys(spark, firms, masters):
         assert [r[0] for r in split.new.collect()] == [99]
     finally:
         spark.conf.unset(MIN_HOT_ROWS)
+
+
+def check_details(data, query, wording):
+    """Each joined row has its own text, also a second master row of the same firm."""
+    firm_rows = [tuple(r) for r in data.firm.select("firm_id", "payer_id", "name").collect()]
+    oa_rows = [(r[0], r[1], None, None, r[2])
+               for r in data.oa1.select("firm_id", "payer_id", "name").collect()]
+    expected = []
+    for f, o, ids in joined(firm_rows, oa_rows, lambda o: [o[1]]):
+        status, _ = grade("v1", f[1], f[2], ids, o and o[4])
+        old_new = {"PAYER_ID_ONLY": (f[2], o and o[4]), "NAME_ONLY": (f[1], ids[0])}.get(status, ())
+        text = None if None in old_new else wording[status].format(*old_new)
+        expected.append((f[0], o and o[0], text))
+    assert len(expected) > len({f for f, *_ in expected}) == len(firm_rows)
+    got = queries()[query](data.spark, data.path).select("firm_id", "oa_id", "sync_details")
+    assert Counter(map(tuple, got.collect())) == Counter(expected)
+
+
+def test_v0_details_of_every_joined_row(data):
+    check_details(data, "sync_details__v0", {
+        "EXACT_MATCH": "Perfect match. Data synced from insurance_firm_oa.",
+        "PAYER_ID_ONLY": 'Payer ID matches but name differs. Old: "{}", New: "{}"',
+        "NAME_ONLY": 'Name matches but payer_id differs. Old: "{}", New: "{}"',
+        "NO_MATCH": "No matching record found in insurance_firm_oa"})
