@@ -222,3 +222,11 @@ def test_v0_details_of_every_joined_row(data):
         "PAYER_ID_ONLY": 'Payer ID matches but name differs. Old: "{}", New: "{}"',
         "NAME_ONLY": 'Name matches but payer_id differs. Old: "{}", New: "{}"',
         "NO_MATCH": "No matching record found in insurance_firm_oa"})
+
+
+def test_v1_details_of_every_joined_row(data):
+    check_details(data, "sync_details__v1", {
+        "EXACT_MATCH": "Perfect match. Old values preserved, new values in *_new columns.",
+        "PAYER_ID_ONLY": 'Payer ID matches. Name differs - old: "{}", new: "{}"',
+        "NAME_ONLY": 'Name matches. Payer ID differs - old: "{}", new: "{}"',
+        "NO_MATCH": "Unknown"})
