@@ -49,7 +49,7 @@ _FULL_MIX, _FULL_0 = 1 << MIX_BITS, 1 << ORDER0_BITS
 #: What a weight moves to, a sixteenth at a time, by what was right: nothing, order 2, order 1.
 #: Both weights are kept in one integer, order 2 in the upper half; a weight ends near 32 or 4000.
 _RATE, _KEEP = 4, np.int32(0x0FFF0FFF)
-_GAIN = np.array([2 << 16 | 2, 248 << 16 | 2, 2 << 16 | 248], np.int32)
+_WRONG, _RIGHT2, _RIGHT1 = np.int32(2 << 16 | 2), np.int32(246 << 16), np.int32(246)
 _HASH1, _HASH2, _HASH3 = np.int32(40503), np.int32(31153), np.int32(52711)
 _SLOTS = np.int32((1 << SLOTS_BITS) - 1)
 
@@ -74,7 +74,22 @@ class _Order0:
         return cls(symbols.astype(np.uint32), freq)
 
     def decode_table(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.freq), dtype=np.int32), self.freq.astype(np.int64))
+        kind = np.uint16 if len(self.freq) <= 1 << 16 else np.int32
+        return np.repeat(np.arange(len(self.freq), dtype=kind), self.freq.astype(np.int64))
+
+
+def _mask(where: np.ndarray) -> np.ndarray:
+    """All bits where true, none elsewhere: choosing by masks costs a fraction of masked copies."""
+    return np.negative(where, dtype=np.int32, casting="unsafe")
+
+
+def _wide_mask(mask: np.ndarray) -> np.ndarray:
+    return mask.astype(np.int64).view(_U)
+
+
+def _take(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``values[at]``; no place is out of range, and "clip" spares the check that would say so."""
+    return values.take(at, mode="clip")
 
 
 class _Model:
@@ -84,8 +99,8 @@ class _Model:
     """
 
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes, dtype=np.int32) << SLOTS_BITS
-        self.mix_base = np.arange(lanes, dtype=np.int32) << 4
+        self.base = np.arange(lanes, dtype=np.intp) << SLOTS_BITS
+        self.mix_base = np.arange(lanes, dtype=np.intp) << 4
         self.order1, self.order2 = (np.zeros(lanes << SLOTS_BITS, np.int32) for _ in range(2))
         self.weights = np.full(lanes << 4, 128 << 16 | 128, np.int32)
         self.last, self.before = (np.zeros(lanes, np.int32) for _ in range(2))
@@ -96,32 +111,33 @@ class _Model:
         base = self.base[:n]
         self.at1 = base + (last * _HASH1 >> 8 & _SLOTS)
         self.at2 = base + (last * _HASH2 + self.before[:n] >> 8 & _SLOTS)
-        self.s1, self.s2 = self.order1.take(self.at1), self.order2.take(self.at2)
+        self.s1, self.s2 = _take(self.order1, self.at1), _take(self.order2, self.at2)
         self.p1, self.p2 = self.s1 >> 2, self.s2 >> 2
         self.row = self.mix_base[:n] + ((self.s2 & 3) << 2 | self.s1 & 3)
-        self.both = self.weights.take(self.row)
+        self.both = _take(self.weights, self.row)
         self.w1, self.w2 = self.both & 0xFFFF, self.both >> 16
 
     def interval(self, hit1: np.ndarray, hit2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and width of what was coded first: a prediction, or that none is right."""
-        # Masked copies are several times as fast as choosing element by element.
-        begin = self.w1 + self.w2
-        width = _FULL_MIX - begin
-        np.copyto(begin, self.w2, where=hit1)
-        np.copyto(width, self.w1, where=hit1)
-        np.copyto(begin, 0, where=hit2)
-        np.copyto(width, self.w2, where=hit2)
+        """Begin and width of what was coded first: a prediction, or that none is right.
+
+        ``hit1`` and ``hit2`` are masks.
+        """
+        begin = (self.w2 + (self.w1 & ~hit1)) & ~hit2
+        width = _FULL_MIX - self.w1 - self.w2
+        width ^= (width ^ self.w1) & hit1
+        width ^= (width ^ self.w2) & hit2
         return begin.astype(_U), width.astype(_U)
 
     def update(self, x: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
         n = len(x)
-        right = hit1.view(np.uint8) << 1 | hit2.view(np.uint8)
-        self.weights[self.row] = self.both - (self.both >> _RATE & _KEEP) + _GAIN.take(right)
-        for table, at, s, same in ((self.order1, self.at1, self.s1, self.p1 == x),
+        self.weights[self.row] = (self.both - (self.both >> _RATE & _KEEP) + _WRONG
+                                  + (hit2 & _RIGHT2) + (hit1 & _RIGHT1))
+        fresh = x << 2
+        for table, at, s, same in ((self.order1, self.at1, self.s1, _mask(self.p1 == x)),
                                    (self.order2, self.at2, self.s2, hit2)):
-            state = x << 2
-            np.copyto(state, s - 1, where=(s & 3).astype(bool))
-            np.copyto(state, s | 3, where=same)
+            # Right: confident. Wrong: less confident, or replaced where there was no confidence.
+            state = fresh | same & 3
+            state ^= (state ^ (s - 1)) & ~same & -((s & 3) + 3 >> 2)
             table[at] = state
         np.multiply(self.last[:n], _HASH3, out=self.before[:n])
         self.last[:n] = x
@@ -147,11 +163,13 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> tuple[_Order0, list[b
     low, wide = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     # An id takes at most 32 bits and what truncating a range costs; four words end a block.
     room = 3 * block + 8
-    words, count = np.zeros(lanes * room, np.uint16), np.arange(lanes, dtype=np.int64) * room
+    # Words of equal rank lie side by side: lanes write about as many, so writes stay close.
+    words, place = np.zeros(lanes * room, np.uint16), np.arange(lanes)
 
-    def put(at: np.ndarray) -> None:
-        words[count[at]] = (low[at] >> _U(48)).astype(np.uint16)
-        count[at] += 1
+    def put(at: np.ndarray, lows: np.ndarray) -> None:
+        to = _take(place, at)
+        words[to] = (lows >> _U(48)).astype(np.uint16)
+        place[at] = to + lanes
 
     for t in range(block if lanes else 0):
         n = lanes - (lengths[-1] <= t)
@@ -159,41 +177,50 @@ def encode_segment(ids: np.ndarray, block: int = BLOCK) -> tuple[_Order0, list[b
             break
         x = steps[t, :n]
         model.predict(n)
-        hit2 = model.p2 == x
-        hit1 = (model.p1 == x) & ~hit2
-        begin, width = model.interval(hit1, hit2)
-        part = wide[:n] >> _U(MIX_BITS)
-        low[:n] += part * begin
-        np.multiply(part, width, out=wide[:n])
-        spelt = ~(hit1 | hit2)
-        part = wide[:n] >> _U(ORDER0_BITS)
-        low[:n] += part * order0.low.take(x) * spelt
-        np.copyto(wide[:n], part * order0.freq.take(x), where=spelt)
-        _renew(low, wide, n, put)
+        hit2 = _mask(model.p2 == x)
+        hit1 = _mask(model.p1 == x) & ~hit2
+        _narrow(low[:n], wide[:n], model.interval(hit1, hit2), order0, x, hit1 | hit2)
+        _renew(low[:n], wide[:n], put)
         model.update(x, hit1, hit2)
     for _ in range(4):
-        put(np.arange(lanes))
+        put(np.arange(lanes), low)
         low <<= _U(16)
-    blocks = [words[k * room:count[k]].astype("<u2").tobytes() for k in range(lanes)]
+    counts = place // lanes if lanes else place
+    by_lane = words.reshape(room, lanes)[:counts.max(initial=0)].T.astype("<u2", order="C")
+    blocks = [row[:n].tobytes() for row, n in zip(by_lane, counts.tolist(), strict=True)]
     ends = np.cumsum(lengths)
     plain = ids.astype("<u4")
     sums = [zlib.crc32(plain[e - n:e].tobytes()) for e, n in zip(ends, lengths, strict=True)]
     return order0, blocks, sums
 
 
-def _renew(low: np.ndarray, wide: np.ndarray, n: int, move) -> None:
+def _narrow(low: np.ndarray, wide: np.ndarray, interval: tuple, order0: _Order0, x: np.ndarray,
+            hit: np.ndarray) -> None:
+    """Go to the interval of the mix and, in lanes without a right prediction, to that of the id."""
+    begin, width = interval
+    part = wide >> _U(MIX_BITS)
+    low += part * begin
+    np.multiply(part, width, out=wide)
+    spelt, at = _wide_mask(~hit), x.astype(np.intp)
+    part = wide >> _U(ORDER0_BITS)
+    low += part * _take(order0.low, at) & spelt
+    part *= _take(order0.freq, at)
+    wide ^= (wide ^ part) & spelt
+
+
+def _renew(low: np.ndarray, wide: np.ndarray, move) -> None:
     """Shift lanes that have become too narrow by 16 bits until all are wide enough."""
-    at = np.flatnonzero(wide[:n] < _BOTTOM)
+    at = np.flatnonzero(wide < _BOTTOM)
     while len(at):
-        lows, widths = low.take(at), wide.take(at)
+        lows, widths = _take(low, at), _take(wide, at)
         open_end = np.flatnonzero((lows ^ (lows + widths - _U(1))) >= _TOP)
         if len(open_end):   # the first word isn't settled: end the range where it would change
             widths[open_end] = (_U(0) - lows[open_end]) & (_BOTTOM - _U(1))
-        move(at)
+        move(at, lows)
+        lows <<= _U(16)
         widths <<= _U(16)
-        low[at] = lows << _U(16)
-        wide[at] = widths
-        at = at[widths < _BOTTOM]
+        low[at], wide[at] = lows, widths
+        at = _take(at, np.flatnonzero(widths < _BOTTOM))
 
 
 def decode_segment(order0: _Order0, blocks: list[bytes], sums: list[int], n_ids: int,
@@ -202,18 +229,19 @@ def decode_segment(order0: _Order0, blocks: list[bytes], sums: list[int], n_ids:
     lengths = _lanes(n_ids, block)
     lanes = len(lengths)
     sizes = np.array([len(b) // 2 for b in blocks], np.int64)
-    words = np.frombuffer(b"".join(blocks) + bytes(16), "<u2")
-    place = np.cumsum(sizes) - sizes
-    last = np.cumsum(sizes)
+    # As when they were written, with zeros after the end of a block.
+    words = np.zeros((lanes, int(sizes.max(initial=0)) + 1), np.uint16)
+    words[np.arange(words.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(blocks), "<u2")
+    words, place = np.ravel(words.T), np.arange(lanes)
     find = order0.decode_table()
     model = _Model(lanes)
     low, wide = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     code = np.zeros(lanes, _U)
 
-    def take(at: np.ndarray) -> None:
-        code[at] = (code[at] << _U(16)) | np.where(place[at] < last[at], words[np.minimum(
-            place[at], len(words) - 1)], 0).astype(_U)
-        place[at] += 1
+    def take(at: np.ndarray, _=None) -> None:
+        come = _take(place, at)
+        code[at] = _take(code, at) << _U(16) | _take(words, come)
+        place[at] = come + lanes
 
     for _ in range(4):
         take(np.arange(lanes))
@@ -224,21 +252,17 @@ def decode_segment(order0: _Order0, blocks: list[bytes], sums: list[int], n_ids:
             break
         model.predict(n)
         part = wide[:n] >> _U(MIX_BITS)
-        value = np.minimum((code[:n] - low[:n]) // part, _U(_FULL_MIX)).astype(np.int32)
-        hit2 = value < model.w2
-        hit1 = ~hit2 & (value < model.w1 + model.w2)
+        value = code[:n] - low[:n]
+        hit2 = _mask(value < part * model.w2.astype(_U))
+        hit1 = _mask(value < part * (model.w1 + model.w2).astype(_U)) & ~hit2
         begin, width = model.interval(hit1, hit2)
-        low[:n] += part * begin
-        np.multiply(part, width, out=wide[:n])
-        spelt = ~(hit1 | hit2)
-        part = wide[:n] >> _U(ORDER0_BITS)
-        value = np.minimum((code[:n] - low[:n]) // part, _U(_FULL_0 - 1)).view(np.int64)
-        x = find.take(value)
-        np.copyto(x, model.p1, where=hit1)
-        np.copyto(x, model.p2, where=hit2)
-        low[:n] += part * order0.low.take(x) * spelt
-        np.copyto(wide[:n], part * order0.freq.take(x), where=spelt)
-        _renew(low, wide, n, take)
+        # The id of a lane without a right prediction; of the others, one that is not used.
+        value = (value - part * begin) // (part * width >> _U(ORDER0_BITS))
+        x = _take(find, np.minimum(value, _U(_FULL_0 - 1)).view(np.intp)).astype(np.int32)
+        x ^= (x ^ model.p1) & hit1
+        x ^= (x ^ model.p2) & hit2
+        _narrow(low[:n], wide[:n], (begin, width), order0, x, hit1 | hit2)
+        _renew(low[:n], wide[:n], take)
         model.update(x, hit1, hit2)
         steps[t, :n] = x
     ids = order0.symbols[steps.T.reshape(-1)[:n_ids]] if n_ids else np.zeros(0, np.uint32)

@@ -12,6 +12,7 @@ import json
 import os
 import re
 import struct
+from functools import lru_cache
 
 WORD_BPE = "word_bpe_49k.json"
 #: Normal form, white space, lower-casing and splitting of other characters are left to the library.
@@ -22,7 +23,7 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Most texts: the only marks stand alone, so blanks around them do the splitting.
 _SIMPLE = re.compile(r"[\t\n\r .,a-zA-Zªµº\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
-_MARKS_MEET = re.compile(r"[.,]{2}")
+_MARKS_MEET = ("..", ",,", ".,", ",.")
 #: Entries in each of the two generations of a memo.
 _MEMO = 250_000
 
@@ -55,15 +56,22 @@ class _Words(_Memo):
         from tokenizers.pre_tokenizers import ByteLevel
         super().__init__()
         self.model = tokenizer.model
-        self.to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # Each character is shown by itself, as the characters of its UTF-8 bytes.
+        self.shown = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
 
     def work_out(self, word: str) -> bytes:
-        shown = word if word.isascii() else self.to_bytes.pre_tokenize_str(word)[0][0]
+        shown = word if word.isascii() else word.translate(self.shown)
         return _little_endian([t.id for t in self.model.tokenize(shown)])
 
 
+@lru_cache(1024)
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
 def _little_endian(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _packer(len(ids))(*ids)
 
 
 class Encoder:
@@ -88,7 +96,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers, without special tokens."""
         if self.words is not None and _PLAIN.fullmatch(text):
-            if _SIMPLE.fullmatch(text) and not _MARKS_MEET.search(text):
+            if _SIMPLE.fullmatch(text) and not any(m in text for m in _MARKS_MEET):
                 words = text.lower().replace(".", " . ").replace(",", " , ").split()
                 return b"".join(map(self.words.__getitem__, words))
             lowered = text.lower()

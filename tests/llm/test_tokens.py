@@ -158,6 +158,23 @@ def test_blocks_are_independent_and_checked():
         coder.decode_segment(order0, blocks, sums, 1000, 100)
 
 
+def test_coded_words_stay_the_same():
+    """Files of earlier versions can be read: the blocks, and so their predictions, are unchanged."""
+    ids = np.random.default_rng(7).zipf(1.4, 4000).clip(max=49_000).astype("<u4")
+    order0, blocks, sums = coder.encode_segment(ids, 64)
+    assert zlib.crc32(b"".join(blocks)) == 261412152
+    assert (coder.decode_segment(order0, blocks, sums, 4000, 64) == ids).all()
+    blocks[5] = blocks[5][:-20]
+    with pytest.raises(ValueError, match="block 5"):
+        coder.decode_segment(order0, blocks, sums, 4000, 64)
+
+
+def test_every_latin_letter_is_shown_as_the_library_does(library):
+    encoder = tokens.Encoder(tokens.tokenizer_path())
+    for text in map("x{0}y {0} é{0}".format, map(chr, range(0xA0, 0x100))):
+        assert encoder.encode(text) == as_bytes(library(text))
+
+
 def check_files(rows, read, library):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     got = sorted((r["start"], r["doc_id"], bytes(r["ids"])) for r in read)
