@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from ..functions import vocabulary as v
 from ..functions.expressions import name_length_compare, quoted, space_count, whitespace_issue
 from ..sources.versions import cut_lineage
-from .skew import grid_join, lookup, store_counted
+from .skew import MIN_HOT_ROWS, grid_join, lookup
+
+_WORD = r"([\p{L}\p{N}]+)"
+
+# Fixed values of the similarity join; none of them decides which pairs are found.
+_CELLS, _HASH_BITS = 4096, 48       # cells of gram counts; bits of a gram's hash below its rank
+_RANKED_NAMES = 32_768              # names of a side that grams are counted in
+_SAMPLED_NAMES, _SAMPLED_KEYS = 4096, 4_000_000     # names of a side that pairs are estimated from
+_SIDES = ("left", "right")
+_KEY_LENGTHS = (1, 2, 3, 4, 6, 8, 12, 16)
+_MOST_KEYS = 50_000                 # keys of one name
+_FEW_PAIRS = 1_000_000_000           # pairs of names up to which no length is looked for
+_KEY_COST = 4                       # a key costs as much as so many pairs that meet
 
 
 def whitespace_issues(firm: DataFrame) -> DataFrame:
@@ -76,10 +91,10 @@ def sub_payer_match(firm: DataFrame, oa: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- trigram similarity
 def trigrams(name):
     """Distinct 3-grams of a lower-cased name, each word padded by two blanks and one blank."""
-    words = F.regexp_extract_all(name, F.lit(r"([\p{L}\p{N}]+)"), 1)
-    grams = F.transform(words, lambda w: F.transform(
-        F.sequence(F.lit(1), F.length(w) + 1),
-        lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3))))
+    words = F.regexp_extract_all(name, F.lit(_WORD), 1)
+    padded = F.transform(words, lambda w: F.concat(F.lit("  "), w, F.lit(" ")))
+    grams = F.transform(padded, lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3))))
     return F.array_distinct(F.flatten(grams))
 
 
@@ -89,91 +104,224 @@ def _distinct_names(df: DataFrame, side: str) -> DataFrame:
             .agg(F.min("firm_id").alias(f"{side}_min")))
 
 
-def ranked_grams(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The grams of every name, the rarest first. Ranked once and written, for any threshold."""
-    sets = left.select("name").unionByName(right.select("name")).distinct().select(
-        "name", trigrams(F.col("name")).alias("grams")).where(F.size("grams") > 0)
-    exploded = sets.select("name", F.explode("grams").alias("gram"))
-    freq, hot = store_counted(exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df")),
-                              "gram", "gram-counts", "df")
-    # A name has few grams: the list per name is bounded by the length of the name.
-    return cut_lineage(lookup(exploded, freq, "gram", "name", how="inner", keyless=False,
-                              hot=hot).groupBy(
-        "name").agg(F.expr("transform(array_sort(collect_list(struct(df, gram))), x -> x.gram)")
-                    .alias("g")), "name-grams")
+class RankedGrams(NamedTuple):
+    """Names of either side with their grams as numbers, the rarest first.
+
+    ``rows`` holds name, the columns of both sides, ``left`` and ``right`` for the sides it is on, the
+    numbers ``g``, how many they are (``n``) and a sketch of them, 64 bits that are each the parity of
+    the numbers that fall on it (``bits``); ``sizes`` tells how many names a side has of each n.
+    """
+    rows: DataFrame
+    sizes: dict[str, dict[int, int]]
+
+    def of_size(self, least: int) -> RankedGrams:
+        """Only the names with that many grams or more."""
+        return RankedGrams(self.rows.where(F.col("n") >= least), {
+            side: {n: c for n, c in sizes.items() if n >= least} for side, sizes in self.sizes.items()})
+
+
+def _sampled(side: str, every: int):
+    """True for one name of a side in so many, drawn by hash and independently of the other side."""
+    return F.col(side) & (F.pmod(F.xxhash64("name", F.lit(side)), F.lit(every)) == 0)
+
+
+def _gram_numbers(grams, common: list[int]):
+    """The grams as numbers that sort by how common they are: a rank, then bits of their hash."""
+    ranks = F.expr(f"cast(split('{','.join(map(str, common))}', ',') AS array<bigint>)")
+    hashes = F.transform(grams, lambda gram: F.xxhash64(gram))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
+        F.get(ranks, h.bitwiseAND(F.lit(_CELLS - 1)).cast("int")), _HASH_BITS).bitwiseOR(
+        h.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)))))
+
+
+def ranked_grams(left: DataFrame, right: DataFrame) -> RankedGrams:
+    """The grams of every name, the rarest first. Ranked once and written, for any threshold.
+
+    Any order that is the same for all names will do. It follows how often the hashes of grams fall
+    into each of a fixed number of cells in some of the names, so it needs no join and no table of
+    grams, and grams met nowhere among them count as rare.
+    """
+    seen = Observation("names")
+    both = left.withColumn("left", F.lit(True)).join(
+        right.withColumn("right", F.lit(True)), "name", "full").fillna(False, ["left", "right"])
+    names = cut_lineage(both.observe(seen, F.count(F.lit(1)).alias("n")), "names")
+    every = max(1, seen.get["n"] // _RANKED_NAMES)
+    cell = F.xxhash64("gram").bitwiseAND(F.lit(_CELLS - 1))
+    often = (names.where(_sampled("left", every) | _sampled("right", every))
+             .select(F.explode(trigrams(F.col("name"))).alias("gram"))
+             .groupBy(cell.alias("cell")).count().collect())    # one row per cell at most
+    ranks = [0] * _CELLS
+    for rank, row in enumerate(sorted(often, key=lambda r: (r["count"], r["cell"])), 1):
+        ranks[row["cell"]] = rank
+    rows = cut_lineage(
+        names.where(F.col("name").rlike(_WORD))
+        .withColumn("g", _gram_numbers(trigrams(F.col("name")), ranks))
+        .withColumns({"n": F.size("g"), "bits": F.expr(
+            "aggregate(g, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))")}), "name-grams")
+    counts = rows.groupBy("n").agg(*[F.count_if(side).alias(side) for side in _SIDES]).collect()
+    return RankedGrams(rows, {side: {r["n"]: r[side] for r in counts if r[side]} for side in _SIDES})
+
+
+def _shared(n: int, threshold: float) -> int:
+    """How many members a set of n shares at least with any set more similar than threshold."""
+    return math.floor(threshold * n - 1e-9) + 1
+
+
+def _keys(threshold: float, lacking: int | None, length: int):
+    """The keys of a name: of ``length`` of its first members each, or of all that are certain.
+
+    A set of n shares s members or more with another, so lacks n - s of its own there at most. The
+    first ``length`` common members then lie within the first ``n - s + length`` of both sets. A key
+    is the exclusive or of so many of these. The other set may be one that shares fewer than
+    ``length`` members, which takes shorter keys.
+    """
+    def certain(n):
+        s = f"int(floor({threshold!r}D * ({n}) - 1e-9D) + 1)"
+        return s if lacking is None else f"greatest({s}, ({n}) - {lacking})"
+
+    s, least = certain("n"), f"least({length}, {certain(certain('n'))})"
+    part = f"slice(g, 1, n - {s} + j)"
+    whole = f"aggregate({part}, 0L, (a, x) -> a ^ x)"
+    # One member more with each step: (its place, the exclusive or so far), leaving out n - s at most.
+    steps = (f"aggregate(sequence(1, j), array(struct(0 AS i, 0L AS x)), (a, step) -> flatten("
+             f"transform(a, e -> transform(slice(g, e.i + 1, n - {s} - e.i + step), "
+             f"(y, d) -> struct(e.i + d + 1 AS i, e.x ^ y AS x)))), a -> a.x)")
+    one = (f"CASE n - {s} WHEN 0 THEN array({whole}) "
+           f"WHEN 1 THEN transform(array({whole}), w -> transform({part}, x -> w ^ x))[0] "
+           f"ELSE {steps} END")
+    return F.expr(f"flatten(transform(sequence({least}, least({length}, {s})), j -> {one}))")
+
+
+def _key_length(ranked: RankedGrams, threshold: float, lacking: int | None) -> tuple[int, dict]:
+    """The length of keys at which keys and pairs cost least together; also the hot keys of it.
+
+    Short keys are few but join many pairs, long ones the other way round. Keys are counted from the
+    sizes of the sets, pairs estimated from some names. That decides what the join costs and where its
+    rows go, never which pairs it finds.
+    """
+    sizes = ranked.sizes
+    counts = {side: sum(sizes[side].values()) for side in _SIDES}
+    if not all(counts.values()):
+        return 1, {}
+
+    def certain(n):
+        return _shared(n, threshold) if lacking is None else max(_shared(n, threshold), n - lacking)
+
+    def number(n, length):
+        s = certain(n)
+        return sum(math.comb(n - s + j, j) for j in range(min(length, certain(s)), min(length, s) + 1))
+
+    largest = max(n for side in sizes.values() for n in side)
+    lengths = [x for x in _KEY_LENGTHS if x == 1 or number(largest, x) <= _MOST_KEYS]
+    if counts["left"] * counts["right"] <= _FEW_PAIRS:
+        return lengths[:2][-1], {}
+    keys = {x: sum(n * number(size, x) for side in sizes.values() for size, n in side.items())
+            for x in lengths}
+    lengths = [x for x in lengths if keys[x] <= 4 * _KEY_COST * keys[lengths[0]]]
+    # As many names as a bounded number of keys allows.
+    share = _SAMPLED_KEYS * sum(counts.values()) / sum(keys[x] for x in lengths)
+    size = int(max(256, min(_SAMPLED_NAMES, share / 2)))
+    every = {side: max(1, n // size) for side, n in counts.items()}
+    some = ranked.rows.withColumns({side: _sampled(side, every[side]) for side in _SIDES}).where(
+        "left OR right").select(*_SIDES, F.explode(F.array(*[
+            F.struct(F.lit(x).alias("length"), _keys(threshold, lacking, x).alias("keys"))
+            for x in lengths])).alias("k"))
+    met = some.select(*_SIDES, "k.length", F.explode("k.keys").alias("key")).groupBy(
+        "length", "key").agg(*[F.count_if(side).alias(side) for side in _SIDES])
+    rows = sum(F.col(side) * every[side] for side in _SIDES)
+    found = met.groupBy("length").agg(F.sum(F.col("left") * F.col("right")).alias("pairs"),
+                                      F.max(rows).alias("most")).collect()    # one row per length
+    cost = {r["length"]: r["pairs"] * every["left"] * every["right"] + _KEY_COST * keys[r["length"]]
+            for r in found}
+    most = {r["length"]: r["most"] for r in found}
+    length = min(cost, key=lambda x: (cost[x], x))
+    parts = int(ranked.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fair = max(keys[length] / parts, int(ranked.rows.sparkSession.conf.get(MIN_HOT_ROWS, "100000")))
+    if most[length] <= fair:
+        return length, {}
+    hot = met.where((F.col("length") == length) & (rows > fair)).select(
+        "key", rows.alias("n")).collect()     # fewer keys than partitions lie above a fair share
+    return length, {r["key"]: -(-r["n"] * parts // keys[length]) for r in hot}
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float,
-                  ranked: DataFrame | None = None, equal: bool = True,
+                  ranked: RankedGrams | None = None, equal: bool = True,
                   first: int | None = None) -> DataFrame:
     """All pairs of distinct names with similarity above ``threshold``, each once.
 
     Set-similarity join with prefix filtering. Two sets that agree above t share more than t times
-    the size of either. Sorted rarest member first, the first ``size - shared + 2`` members of
-    both then have two members in common, so joining on pairs of such members misses nothing and
-    leaves common grams out. (Below one half, one common member is all that is certain.)
+    the size of either, so a few of the rarest members of both have several members in common. Names
+    are joined on combinations of those, as long as it takes to keep chance meetings few (see
+    ``_keys``). Sizes and sketches rule most pairs out before their grams are compared.
     Other columns of both sides are carried along; ``equal=False`` leaves out equal names. With
-    ``first`` only that many of the rarest members of each name are joined on, which finds some of
-    the pairs at little cost.
+    ``first`` only pairs are found neither name of which lacks more than that many grams of the
+    other, at little cost.
     """
-    together = 2 if threshold >= 0.5 else 1
     ranked = ranked_grams(left, right) if ranked is None else ranked
-    shared = f"floor({threshold} * size(g) - 1e-9) + 1"
-    length = f"size(g) - ({shared}) + {together}"
-    if first is not None:
-        length = f"least({length}, {first})"
-    prefix = ranked.withColumn("p", F.expr(f"slice(g, 1, int({length}))"))
-    if together == 2:
-        keys = ("flatten(transform(p, (x, i) -> transform(slice(p, i + 2, size(p)), "
-                "y -> concat(x, y))))")
-    else:
-        keys = "p"
-    prefix = prefix.selectExpr("name", "g", f"explode({keys}) AS key")
-    # Names of both sides have prefixes, so a key hot on either side is among the hot ones.
-    hot = store_counted(prefix.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key",
-                        "prefix-counts", "n")[1]
-
-    def side(df, tag):
+    length, hot = _key_length(ranked, threshold, first)
+    rows = ranked.rows.withColumn("key", F.explode(_keys(threshold, first, length)))
+
+    def side(df, tag, on):
         carried = [c for c in df.columns if c != "name"]
-        return prefix.join(df, "name").select(
-            "key", F.col("name").alias(f"{tag}_name"), F.col("g").alias(f"{tag}_g"), *carried)
+        return rows.where(on).select(
+            "key", *carried, *[F.col(c).alias(f"{tag}_{c}") for c in ("name", "n", "bits")])
 
-    pairs = grid_join(side(left, "firm"), side(right, "oa"), "key", "firm_name", "oa_name", hot)
+    pairs = grid_join(side(left, "firm", "left"), side(right, "oa", "right"), "key",
+                      "firm_name", "oa_name", hot)
     if not equal:
         pairs = pairs.where("firm_name <> oa_name")
-    # Sizes rule most pairs out before their members are compared.
-    pairs = pairs.where(f"size(firm_g) > {threshold} * size(oa_g) "
-                        f"AND size(oa_g) > {threshold} * size(firm_g)")
+    # At most so many members belong to one set only.
+    apart = (f"firm_n + oa_n - 2 * (floor({threshold / (1 + threshold)!r}D * (firm_n + oa_n) - 1e-9D) + 1)")
+    if first is not None:
+        apart = f"least({apart}, {2 * first} - abs(firm_n - oa_n))"
+    # Sketches differ in no more bits than their sets have members that are not common to both.
+    pairs = pairs.where(f"bit_count(firm_bits ^ oa_bits) <= {apart}")
     out = [c for df in (left, right) for c in df.columns if c != "name"]
-    scored = pairs.selectExpr(
-        "firm_name", "oa_name", *out, "size(firm_g) + size(oa_g) AS total",
+    # Grams that a generator makes stay above it: filters on them aren't moved down into the join.
+    scored = pairs.select("firm_name", "oa_name", *out).distinct().select("*", F.inline(F.array(F.struct(
+        trigrams(F.col("firm_name")).alias("firm_g"), trigrams(F.col("oa_name")).alias("oa_g"))))).selectExpr(
+        "firm_name", "oa_name", *out, "size(firm_g) AS firm_size", "size(oa_g) AS oa_size",
         "CAST(size(array_intersect(firm_g, oa_g)) AS DOUBLE) AS shared")
+    if first is not None:
+        scored = scored.where(f"greatest(firm_size, oa_size) - shared <= {first}")
     return (scored.selectExpr("firm_name", "oa_name", *out,
-                              "shared / (total - shared) AS name_similarity")
-            .where(F.col("name_similarity") > threshold).distinct())
+                              "shared / (firm_size + oa_size - shared) AS name_similarity")
+            .where(F.col("name_similarity") > threshold))
 
 
 def fuzzy_name_matches(firm: DataFrame, oa: DataFrame, lo: float = 0.6, hi: float = 1.0,
                        k: int = 20, first: int = 3) -> DataFrame:
     """The k most similar (firm, master row) pairs with similarity strictly between lo and hi.
 
-    One join on the rarest grams of each name finds k pairs at little cost. The similarity of the
-    worst of them is a bound that the true top k can't fall below, so one more join, with the
-    prefixes that bound asks for, finds them all; the broad, costly threshold is reached only if
-    there is nothing closer. Ties go to the lowest firm, then to the lowest master row.
+    Pairs that lack one gram of each other at most are found first, then those that lack up to
+    ``first``, then all others. The similarity of the worst of k pairs found is a bound that the true
+    top k can't fall below, so a later join takes it for its threshold and leaves out the sizes for
+    which an earlier one has found all such pairs; with none left it isn't made. The broad, costly
+    threshold is reached only if there is nothing closer. Ties go to the lowest firm, then to the
+    lowest master row.
     """
     left, right = _distinct_names(firm, "firm"), _distinct_names(oa, "oa")
     order = [F.desc("name_similarity"), "firm_min", "oa_min"]
     ranked = ranked_grams(left, right)
-    bound = lo
-    for few in (first, None):
-        pairs = similar_names(left, right, bound, ranked, equal=hi > 1.0, first=few)
+    bound, done, found = lo, -1, None
+    largest = max((n for side in ranked.sizes.values() for n in side), default=0)
+    for lacking in (1, first, None):
+        # Up to ``done`` grams lacking, every pair above the bound is found.
+        open_size = next((n for n in range(1, largest + 1) if n - _shared(n, bound) > done),
+                         None if found is not None else 1)
+        if open_size is None:
+            break
+        pairs = similar_names(left, right, bound, ranked.of_size(_shared(open_size, bound)),
+                              equal=hi > 1.0, first=lacking)
+        if found:
+            pairs = pairs.unionByName(firm.sparkSession.createDataFrame(found, pairs.schema)).distinct()
         best = pairs.where(F.col("name_similarity") < hi).orderBy(*order).limit(k)
         # One row per name pair is enough: rows of later pairs sort after k earlier ones.
-        found = best.collect()   # k rows at most
+        found, schema = best.collect(), best.schema   # k rows at most
+        done = lacking
         if len(found) == k:
             bound = max(lo, found[-1]["name_similarity"] - 1e-9)   # pairs as similar count, too
-    best = firm.sparkSession.createDataFrame(found, best.schema)
+    best = firm.sparkSession.createDataFrame(found, schema)
 
     def lowest(df, names, tag):
         """The k lowest rows of each wanted name; ranked before the shuffle, so bounded."""
